@@ -361,7 +361,7 @@ def first_nonempty(spark: SparkSession, sf_dir: str) -> DataFrame:
     "fuzzy_amount",
     """
     SELECT o_orderkey,
-           CASE WHEN o_orderstatus = 'O' THEN round(o_totalprice)::BIGINT::VARCHAR
+           CASE WHEN o_orderstatus = 'O' THEN floor(o_totalprice)::BIGINT::VARCHAR
                 WHEN o_orderstatus = 'F' THEN regexp_replace(o_totalprice::VARCHAR, '\\.0$', '')
                 WHEN o_custkey % 2 = 0 THEN o_custkey::VARCHAR END AS amount
     FROM orders
@@ -374,7 +374,7 @@ def fuzzy_amount_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(status == "F", F.struct(F.lit("USD").alias("currency"), F.col("o_totalprice").alias("value"))).alias(
             "Total_Amount"
         ),
-        F.when(status == "O", F.bround("o_totalprice")).alias("Amount"),
+        F.when(status == "O", F.floor("o_totalprice").cast("double")).alias("Amount"),
         F.when(F.col("o_custkey") % 2 == 0, F.col("o_custkey")).alias("amount_due"),
     )
     return records.select("o_orderkey", fuzzy_amount(records).alias("amount"))
@@ -423,7 +423,7 @@ def parse_iso_ts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@workload("epoch_millis", "SELECT event_id, epoch_ms(ts) AS millis FROM events")
+@workload("epoch_millis", "SELECT event_id, epoch_us(ts) // 1000 AS millis FROM events")
 def epoch_millis(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         "event_id", times.epoch_millis(F.col("ts")).alias("millis")
