@@ -52,20 +52,25 @@ def explode_subform(parents: DataFrame, key: str = "id") -> DataFrame:
         for inner in field.dataType.elementType.fields:
             kinds[inner.name] = common_type(kinds.get(inner.name, inner.dataType), inner.dataType)
 
-    def element(item: Column, have: T.StructType) -> Column:
-        def part(name: str, kind: T.DataType) -> Column:
+    def elements(field: T.StructField) -> Column:
+        have = field.dataType.elementType
+
+        def part(item: Column, name: str) -> Column:
+            kind = kinds[name]
             if name not in have.names:
                 return F.lit(None).cast(kind)
             if isinstance(kind, T.StringType):
                 return as_text(item.getField(name), have[name].dataType)
             return item.getField(name).cast(kind)
 
-        return F.struct(*[part(n, k).alias(n) for n, k in kinds.items()])
+        return F.transform(
+            quoted(field.name),
+            lambda item: F.struct(*[part(item, name).alias(name) for name in kinds]),
+        )
 
     picked = F.lit(None)
     for field in reversed(candidates):
-        have = field.dataType.elementType
-        rows = F.transform(quoted(field.name), lambda item, have=have: element(item, have))
+        rows = elements(field)
         picked = F.when(F.size(rows) > 0, rows).otherwise(picked)
 
     names = [quoted(n).cast("string") for n in PARENT_NAMES if n in parents.columns]
