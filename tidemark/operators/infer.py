@@ -29,7 +29,7 @@ def infer_types(records: DataFrame, json_column: str) -> DataFrame:
     parsed = records.select(F.try_parse_json(F.col(json_column)).alias("record"))
     entries = parsed.lateralJoin(
         records.sparkSession.tvf.variant_explode(F.col("record").outer())
-    ).select(
+    ).filter(F.col("key").isNotNull()).select(
         clean_name(F.col("key")).alias("column"),
         _type_bit(F.schema_of_variant(F.col("value"))).alias("bit"),
     )

@@ -94,3 +94,12 @@ def resolve_labels_exact(
     return last.unionByName(
         wanted.join(last.select("label"), "label", "left_anti"), allowMissingColumns=True
     )
+
+
+def discovered_names(resolved: DataFrame, default: Sequence[str]) -> list[str]:
+    """Api names of the resolved labels, or the default ones where none was found.
+
+    They are the modules a run goes through, so the driver reads them.
+    """
+    found = resolved.filter(F.col("api_name").isNotNull()).select("api_name").distinct()
+    return sorted(row["api_name"] for row in found.collect()) or list(default)

@@ -9,6 +9,14 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from tidemark.functions.text import as_text, blank_to_null, canonical_amount
 from tidemark.operators.normalize import quoted
 
+# The properties read of an object when its catalog is unavailable, and
+# the ones whose absence is reported.
+DEFAULT_PROPERTIES = {
+    "deals": ("dealname", "amount", "dealstage", "pipeline", "closedate"),
+    "companies": ("name", "domain"),
+}
+REQUIRED_PROPERTIES = {"deals": ("bidding",)}
+
 
 def visible_names(catalog: DataFrame) -> list[str]:
     """Names of a property catalog that are not hidden; a missing flag means visible.

@@ -7,7 +7,6 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.times import as_utc, event_time, time_literal
-from tidemark.operators.upsert import upsert
 
 # The reach of a first run and the overlap of later ones.
 INITIAL_LOOKBACK = timedelta(days=3650)
@@ -27,8 +26,12 @@ def _instant(value: datetime) -> Column:
     return time_literal(value, T.TimestampType())
 
 
+def _mine(source: str, module: str) -> Column:
+    return (F.col("source") == source) & (F.col("module") == module)
+
+
 def point_lookup(marks: DataFrame, source: str, module: str) -> DataFrame:
-    return marks.filter((F.col("source") == source) & (F.col("module") == module)).limit(1)
+    return marks.filter(_mine(source, module)).limit(1)
 
 
 def get_watermark(
@@ -40,34 +43,29 @@ def get_watermark(
     overlap: timedelta = OVERLAP,
     lookback: timedelta = INITIAL_LOOKBACK,
 ) -> DataFrame:
-    """One row ``since``: the stored mark less the overlap, else the first-run reach."""
-    stored = marks.filter((F.col("source") == source) & (F.col("module") == module))
+    """One row: the stored mark, null before the first run, and the time to read from,
+    which is the mark less the overlap, else the reach of a first run."""
+    stored = marks.filter(_mine(source, module)).agg(F.max("last_synced_at").alias("stored"))
     reach = F.make_dt_interval(secs=F.lit(overlap.total_seconds()))
-    return stored.agg(
-        F.coalesce(F.max("last_synced_at") - reach, _instant(as_utc(run_ts) - lookback)).alias("since")
-    )
-
-
-def mark_row(marks: DataFrame, source: str, module: str, value: datetime, run_ts: datetime) -> DataFrame:
-    """The one-row delta that advances a mark; the stored value is never undercut."""
-    newest = F.greatest(_instant(value), F.max("last_synced_at"))
-    return (
-        marks.filter((F.col("source") == source) & (F.col("module") == module))
-        .agg(newest.alias("last_synced_at"))
-        .select(
-            F.lit(source).alias("source"),
-            F.lit(module).alias("module"),
-            "last_synced_at",
-            _instant(run_ts).alias("updated_at"),
-        )
-    )
+    first = _instant(as_utc(run_ts) - lookback)
+    return stored.select("stored", F.coalesce(F.col("stored") - reach, first).alias("since"))
 
 
 def set_watermark(
     marks: DataFrame, source: str, module: str, value: datetime, run_ts: datetime
 ) -> DataFrame:
-    """The watermark table with one mark advanced."""
-    return upsert(marks, mark_row(marks, source, module, value, run_ts), ["source", "module"])
+    """The watermark table with one mark put to ``value``, but never moved back.
+
+    The key is a constant, so the upsert is a filter and a union, without a join.
+    """
+    mine = _mine(source, module)
+    row = marks.filter(mine).agg(F.max("last_synced_at").alias("stored")).select(
+        F.lit(source).alias("source"),
+        F.lit(module).alias("module"),
+        F.greatest(_instant(value), F.col("stored")).alias("last_synced_at"),
+        _instant(run_ts).alias("updated_at"),
+    )
+    return marks.filter(~mine).unionByName(row)
 
 
 def reset_watermark(marks: DataFrame, module: str, source: str | None = None) -> DataFrame:
@@ -102,6 +100,6 @@ def advance(
 ) -> Column:
     """The next mark. ``hold`` keeps the stored one when a batch brings nothing newer;
     ``now`` moves it to the run time. No policy moves it back."""
-    newer = F.coalesce(observed > stored, F.lit(False)) & (rows > 0)
+    newer = (rows > 0) & F.coalesce(observed > stored, observed.isNotNull())
     idle = {"hold": stored, "now": F.greatest(stored, run_ts)}[policy]
     return F.when(newer, observed).otherwise(idle)

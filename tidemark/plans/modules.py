@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.times import as_utc, offset_time
 from tidemark.operators.explode import explode_subform
@@ -38,6 +38,9 @@ class Module:
     feed: Feed
     modified: tuple[str, ...] = ("Modified_Time",)
     key: tuple[str, ...] = ("id",)
+    partition_by: Column | None = None
+    """For a large target: an expression over the staged columns that never changes for
+    a key, such as the month of creation. Only the partitions of a delta are rewritten."""
     keeps_history: bool = False
     subform_of: str | None = None
     """Label of a module whose delta holds these records as a subform, for when the
@@ -66,8 +69,12 @@ def batch_facts(staged: DataFrame, modified: Sequence[str]) -> tuple[int, dateti
 
 
 def next_mark(
-    stored: datetime | None, since: datetime, observed: datetime | None, records: int,
-    run_ts: datetime, policy: str,
+    stored: datetime | None,
+    since: datetime,
+    observed: datetime | None,
+    records: int,
+    run_ts: datetime,
+    policy: str,
 ) -> datetime:
     """The mark to store after a batch; see :func:`tidemark.operators.watermark.advance`."""
     floor = stored or as_utc(since)
@@ -105,17 +112,26 @@ def append_changes(store: Store, changes: DataFrame, run_ts: datetime) -> None:
 
 
 def load_batch(
-    store: Store, source: str, module: Module, staged: DataFrame, since: datetime,
-    run_id: str, run_ts: datetime, idle: str,
+    store: Store,
+    source: str,
+    module: Module,
+    staged: DataFrame,
+    marks: tuple[datetime | None, datetime],
+    run_id: str,
+    run_ts: datetime,
+    idle: str,
 ) -> Synced:
     """Upsert a staged batch, check the target and advance the mark."""
     records, observed = batch_facts(staged, module.modified)
-    stored = store.stored_mark(source, module.label)
+    stored, since = marks
     mark = next_mark(stored, since, observed, records, run_ts, idle)
     healthy = True
     if records:
         names = [n for n in map(loader_name, module.modified) if n in staged.columns]
-        store.upsert(module.table, staged, list(module.key), [F.col(n) for n in names], run_id)
+        order = [F.col(n) for n in names]
+        store.upsert(
+            module.table, staged, list(module.key), order, run_id, module.partition_by
+        )
         check = check_min_rows(store.read(module.table), module.table, 1).first()
         healthy = check["healthy"]
         if not healthy:
@@ -139,9 +155,9 @@ def sync_modules(
     raw_deltas: dict[str, DataFrame] = {}
     try:
         for module in modules:
-            since = store.since(source, module.label, run_ts)
+            marks = store.mark(source, module.label, run_ts)
             try:
-                raw = module.feed(since)
+                raw = module.feed(marks[1])
                 if module.keeps_history or module.label in parents:
                     raw = store.stage(raw, f"{module.table}_raw", run_id)
                 staged = store.stage(for_loading(raw), module.table, run_id)
@@ -157,7 +173,7 @@ def sync_modules(
             if module.keeps_history:
                 log_changes(store, raw, run_id, run_ts)
             results.append(
-                load_batch(store, source, module, staged, since, run_id, run_ts, idle)
+                load_batch(store, source, module, staged, marks, run_id, run_ts, idle)
             )
     except Exception as failure:
         log_run(store, source, "FAILED", results, run_ts, str(failure))

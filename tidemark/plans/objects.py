@@ -55,9 +55,9 @@ def sync_objects(
 
     def delta(label: str, table: str, fetch: Callable[[datetime], DataFrame]) -> DataFrame:
         module = Module(label, table, fetch, OBJECT_MODIFIED)
-        since = store.since(source, label, run_ts)
-        staged = store.stage(for_loading(fetch(since)), table, run_id)
-        results.append(load_batch(store, source, module, staged, since, run_id, run_ts, idle))
+        marks = store.mark(source, label, run_ts)
+        staged = store.stage(for_loading(fetch(marks[1])), table, run_id)
+        results.append(load_batch(store, source, module, staged, marks, run_id, run_ts, idle))
         return staged
 
     try:

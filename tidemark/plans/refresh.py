@@ -23,18 +23,14 @@ from tidemark.operators.ranking import latest_per_key
 from tidemark.plans.modules import Synced, append_changes, history_path
 from tidemark.plans.objects import owners_with_names
 from tidemark.plans.store import Store
-from tidemark.sinks.tables import append
+from tidemark.sinks.tables import append, drop_table
 from tidemark.sources.pages import feed_complete, unwrap_module_pages
 from tidemark.sources.tables import read_if_exists
 
 
 def replace_table(store: Store, table: str, df: DataFrame, run_id: str) -> int:
     """Replace a table by a non-empty input; an empty one changes nothing."""
-    staged = store.stage(for_full_refresh(df), table, run_id)
-    records = staged.count()
-    if records:
-        store.target(table).publish(staged, run_id)
-    return records
+    return store.target(table).replace(for_full_refresh(df), run_id)
 
 
 def log_refresh(
@@ -127,25 +123,35 @@ def _stages(store: Store, run_id: str) -> Callable[[DataFrame], DataFrame]:
 
 
 def refresh_with_history(
-    store: Store, modules: Sequence[PagedModule], run_id: str, run_ts: datetime
+    store: Store,
+    modules: Sequence[PagedModule],
+    run_id: str,
+    run_ts: datetime,
+    *,
+    obsolete: Sequence[str] = (),
 ) -> list[Synced]:
     """Every module's table anew, the changes of one of them logged before.
 
-    A module whose feed was cut keeps its table and logs no deletions.
+    A module whose feed was cut keeps its table and logs no deletions. ``obsolete``
+    names catalog tables to drop at the end.
     """
     results: list[Synced] = []
     try:
         for module in modules:
             pages = module.pages()
             complete = feed_complete(pages).first()["complete"]
-            records = store.stage(unwrap_module_pages(pages), f"{module.table}_raw", run_id)
-            if module.keeps_history and not records.isEmpty():
-                log_snapshot_changes(store, records, run_id, run_ts, deletes=complete)
+            records = unwrap_module_pages(pages)
+            if module.keeps_history:
+                records = store.stage(records, f"{module.table}_raw", run_id)
+                if not records.isEmpty():
+                    log_snapshot_changes(store, records, run_id, run_ts, deletes=complete)
             if complete:
                 count = replace_table(store, module.table, records, run_id)
                 results.append(Synced(module.label, "replaced" if count else "idle", count))
             else:
                 results.append(Synced(module.label, "incomplete", healthy=False))
+        for table in obsolete:
+            drop_table(store.spark, table)
     except Exception as failure:
         log_refresh(store, "FAILED", results, run_ts, str(failure))
         raise

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -12,10 +12,11 @@ from tidemark.operators.upsert import upsert
 from tidemark.operators.watermark import (
     WATERMARK_SCHEMA,
     get_watermark,
-    mark_row,
     reset_watermark,
+    set_watermark,
 )
 from tidemark.session import materialize
+from tidemark.sinks.partitioned import PartitionedTable
 from tidemark.sinks.snapshot import SnapshotTable
 from tidemark.sinks.tables import append
 from tidemark.sources.tables import read_if_exists
@@ -23,24 +24,49 @@ from tidemark.sources.tables import read_if_exists
 
 @dataclass(frozen=True)
 class Store:
-    """Targets, staging tables, watermarks and run log below one shared path."""
+    """Targets, staging tables, watermarks and run log below one shared path.
+
+    One store writes at a time; it remembers which version of a table it made current.
+    """
 
     spark: SparkSession
     root: str
+    _tables: dict[str, SnapshotTable] = field(default_factory=dict, repr=False)
 
     def target(self, name: str) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/target/{name}")
+        return self._snapshot(f"target/{name}")
+
+    def _snapshot(self, path: str) -> SnapshotTable:
+        if path not in self._tables:
+            self._tables[path] = SnapshotTable(self.spark, f"{self.root}/{path}")
+        return self._tables[path]
 
     def read(self, name: str) -> DataFrame | None:
-        return self.target(name).read()
+        """A target in either layout, None before its first load."""
+        whole = self.target(name).read()
+        return self.partitioned(name).read() if whole is None else whole
+
+    def partitioned(self, name: str) -> PartitionedTable:
+        return PartitionedTable(self.spark, f"{self.root}/partitioned/{name}")
 
     def stage(self, df: DataFrame, name: str, run_id: str) -> DataFrame:
         """The run's rows of one table, written once and then read by every step."""
         return materialize(df, f"{self.root}/staging/{name}/{run_id}")
 
     def upsert(
-        self, name: str, staged: DataFrame, keys: list[str], order: list[Column], run_id: str
+        self,
+        name: str,
+        staged: DataFrame,
+        keys: list[str],
+        order: list[Column],
+        run_id: str,
+        partition_by: Column | None = None,
     ) -> None:
+        """Apply staged rows to a target: a new version of the whole, or, given a
+        partitioning, only the partitions the rows fall into."""
+        if partition_by is not None:
+            self.partitioned(name).upsert(staged, keys, partition_by, order)
+            return
         target = self.target(name)
         target.publish(upsert(target.read(), staged, keys, order), run_id)
 
@@ -52,26 +78,25 @@ class Store:
         marks = self._marks().read()
         return self.spark.createDataFrame([], WATERMARK_SCHEMA) if marks is None else marks
 
-    def since(self, source: str, module: str, run_ts: datetime) -> datetime:
-        row = get_watermark(self.watermarks(), source, module, run_ts)
-        return from_micros(row.select(F.unix_micros("since").alias("m")).first()["m"])
-
-    def stored_mark(self, source: str, module: str) -> datetime | None:
-        mine = (F.col("source") == source) & (F.col("module") == module)
-        row = self.watermarks().filter(mine).agg(F.max(F.unix_micros("last_synced_at")).alias("m"))
-        return from_micros(row.first()["m"])
+    def mark(
+        self, source: str, module: str, run_ts: datetime
+    ) -> tuple[datetime | None, datetime]:
+        """The stored mark, if any, and the time to read the module's delta from."""
+        row = get_watermark(self.watermarks(), source, module, run_ts).select(
+            F.unix_micros("stored").alias("stored"), F.unix_micros("since").alias("since")
+        )
+        found = row.first()
+        return from_micros(found["stored"]), from_micros(found["since"])
 
     def advance(self, source: str, module: str, value: datetime, run_ts: datetime, run_id: str) -> None:
-        row = mark_row(self.watermarks(), source, module, value, run_ts)
-        self._marks().publish(
-            upsert(self.watermarks(), row, ["source", "module"]), f"{run_id}/{source}/{module}"
-        )
+        marks = set_watermark(self.watermarks(), source, module, value, run_ts)
+        self._marks().publish(marks, f"{run_id}/{source}/{module}")
 
     def reset(self, module: str, run_id: str) -> None:
         self._marks().publish(reset_watermark(self.watermarks(), module), f"{run_id}/reset/{module}")
 
     def _marks(self) -> SnapshotTable:
-        return SnapshotTable(self.spark, f"{self.root}/meta/watermarks")
+        return self._snapshot("meta/watermarks")
 
     # Run log
 

@@ -34,6 +34,7 @@ class SnapshotTable:
         if slots < 2:
             raise ValueError("a version is written beside the one it is made from")
         self.spark, self.path, self.slots = spark, path.rstrip("/"), slots
+        self._published: Published | None = None
 
     def _pointers(self) -> DataFrame | None:
         return read_if_exists(
@@ -41,6 +42,9 @@ class SnapshotTable:
         )
 
     def current(self) -> Published | None:
+        """The version to read: the one this object published, else the newest pointer."""
+        if self._published is not None:
+            return self._published
         pointers = self._pointers()
         if pointers is None:
             return None
@@ -53,15 +57,34 @@ class SnapshotTable:
         return None if now is None else self.spark.read.parquet(self._slot(now.slot))
 
     def publish(self, df: DataFrame, run_id: str, at: datetime | None = None) -> int:
-        """Write the next version and make it current.
+        """Write the next version and make it current; returns its number.
 
         A run repeated after a crash publishes again; an upsert of rows already applied
         gives the same table.
         """
+        version, slot = self._next()
+        df.write.mode("overwrite").parquet(self._slot(slot))
+        self._make_current(version, slot, run_id, at)
+        return version
+
+    def replace(self, df: DataFrame, run_id: str, at: datetime | None = None) -> int:
+        """Publish a new content of the table unless it is empty; returns its rows.
+
+        They are counted in the written files, which costs no second run of ``df``.
+        """
+        version, slot = self._next()
+        df.write.mode("overwrite").parquet(self._slot(slot))
+        records = self.spark.read.schema(df.schema).parquet(self._slot(slot)).count()
+        if records:
+            self._make_current(version, slot, run_id, at)
+        return records
+
+    def _next(self) -> tuple[int, int]:
         now = self.current()
         version = 1 if now is None else now.version + 1
-        slot = version % self.slots
-        df.write.mode("overwrite").parquet(self._slot(slot))
+        return version, version % self.slots
+
+    def _make_current(self, version: int, slot: int, run_id: str, at: datetime | None) -> None:
         stamp = as_utc(at or datetime.now(timezone.utc)).isoformat()
         row = self.spark.range(1).select(
             F.lit(version).cast("bigint").alias("version"),
@@ -70,7 +93,7 @@ class SnapshotTable:
             F.lit(stamp).alias("published_at"),
         )
         row.coalesce(1).write.mode("append").json(f"{self.path}/published")
-        return version
+        self._published = Published(version, slot, run_id)
 
     def _slot(self, slot: int) -> str:
         return f"{self.path}/slot={slot}"

@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.operators.upsert import upsert
 from tidemark.sources.tables import read_if_exists
 
 # Tables that grow with each load; every other table is replaced.
@@ -80,54 +79,6 @@ def write_bucketed(df: DataFrame, table: str, keys: Sequence[str], buckets: int)
     )
 
 
-def key_bucket(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
-
-
-def write_partitioned(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
-    """A table in directories by key hash, for :func:`upsert_partitions`."""
-    bucketed = df.withColumn("bucket", key_bucket(keys, buckets))
-    bucketed.hint("rebalance", "bucket").write.mode("overwrite").partitionBy("bucket").parquet(path)
-
-
-def upsert_partitions(
-    path: str,
-    delta: DataFrame,
-    keys: Sequence[str],
-    buckets: int,
-    order: Sequence[Column] = (),
-) -> int:
-    """Upsert into a table laid out by :func:`write_partitioned`, rewriting only the
-    directories the delta touches. Returns how many those are.
-
-    The driver sees only the bucket numbers, of which there are at most ``buckets``.
-    Each directory is replaced when the job commits; a repeated run gives the same
-    rows. The delta should be a written table, as it is read twice.
-    """
-    spark = delta.sparkSession
-    delta = delta.withColumn("bucket", key_bucket(keys, buckets))
-    touched = [r["bucket"] for r in delta.select("bucket").distinct().collect()]
-    if not touched:
-        return 0
-    table = spark.read.option("mergeSchema", "true").parquet(path)
-    clash = [
-        f.name
-        for f in delta.schema.fields
-        if f.name in table.columns and table.schema[f.name].dataType != f.dataType
-    ]
-    if clash:
-        raise TypeError(f"column types differ, rewrite the whole table instead: {clash}")
-    result = upsert(table.filter(F.col("bucket").isin(touched)), delta, [*keys, "bucket"], order)
-    (
-        result.hint("rebalance", "bucket")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("bucket")
-        .parquet(path)
-    )
-    return len(touched)
-
-
 def merge_into(delta: DataFrame, table: str, keys: Sequence[str]) -> None:
     """Upsert in place, for a table format that takes MERGE. The delta holds each key once."""
     match = None

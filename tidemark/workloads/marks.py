@@ -106,7 +106,7 @@ def get_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     marks = stored_marks(spark, sf_dir)
     stored = M.get_watermark(marks, "click", "7", RUN).withColumn("kind", F.lit("stored"))
     first = M.get_watermark(marks, "click", "nobody", RUN).withColumn("kind", F.lit("first run"))
-    return _ntz(stored.unionByName(first), "since")
+    return _ntz(stored.unionByName(first).drop("stored"), "since")
 
 
 @workload(

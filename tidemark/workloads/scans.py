@@ -146,7 +146,9 @@ def scan_module_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def line_item_pages(lineitem: DataFrame) -> DataFrame:
     """Pages of line items; returned ones are linked to no deal."""
     item = F.struct(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"),
+        F.concat_ws(
+            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag"
+        ).alias("id"),
         F.create_map(
             F.lit("name"),
             F.concat(F.lit("part "), F.col("l_partkey").cast("string")),
@@ -172,7 +174,7 @@ def line_item_pages(lineitem: DataFrame) -> DataFrame:
 @workload(
     "scan_line_items",
     """
-    SELECT l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey AS id,
+    SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag) AS id,
            'part ' || l_partkey AS name, l_extendedprice::VARCHAR AS price,
            l_quantity::VARCHAR AS quantity, l_extendedprice::VARCHAR AS amount,
            l_partkey::VARCHAR AS hs_product_id, NULL::VARCHAR AS description,

@@ -252,7 +252,8 @@ _OBJECTS = """
     SELECT 'Companies', c_custkey::VARCHAR, c_name FROM customer
     WHERE c_custkey IN (SELECT k FROM named) {delta}
     UNION ALL
-    SELECT 'Line_Items', l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey,
+    SELECT {distinct} 'Line_Items',
+           concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag),
            CASE WHEN l_returnflag <> 'R' THEN l_orderkey::VARCHAR END FROM lineitem
 """
 
@@ -276,6 +277,7 @@ def _object_tables(store: Store) -> DataFrame:
         deal_filter="o_orderdate >= TIMESTAMP '1999-10-10 12:00:00'",
         unnamed="ELSE split_part(s_name, '#', 2)",
         delta="OR c_acctbal > 9000",
+        distinct="DISTINCT",
     )
     + """
     UNION ALL
@@ -314,7 +316,7 @@ def sync_objects_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @workload(
     "full_refresh_objects",
-    _OBJECTS.format(deal_filter="true", unnamed="", delta="")
+    _OBJECTS.format(deal_filter="true", unnamed="", delta="", distinct="")
     + """
     UNION ALL
     SELECT 'etl_logs', 'SUCCESS', (
