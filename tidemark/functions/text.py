@@ -49,18 +49,15 @@ def float_text(c: Column) -> Column:
     """
     printed = c.cast("string")
     size = F.abs(c)
-    digits = F.regexp_replace(printed.try_cast("decimal(38,21)").cast("string"), "0+$", "")
-    positional = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
-    exponent = F.regexp_extract(printed, r"E-?(\d+)$", 1)
-    scientific = F.concat(
-        F.regexp_replace(printed, r"(\.0)?E.*$", ""),
-        F.when(printed.contains("E-"), "e-").otherwise("e+"),
-        F.when(F.length(exponent) < 2, F.lpad(exponent, 2, "0")).otherwise(exponent),
+    padded = c.try_cast("decimal(38,21)").cast("string")
+    positional = F.regexp_replace(padded, r"^(-?\d+\.(?:\d*[1-9]|0))0*$", "$1")
+    signed = F.replace(F.regexp_replace(printed, r"(\.0)?E", "e+"), F.lit("e+-"), F.lit("e-"))
+    two_digits = F.regexp_replace(signed, r"e([+-])(\d)$", "e$10$2")
+    scientific = F.replace(
+        F.replace(two_digits, F.lit("NaN"), F.lit("nan")), F.lit("Infinity"), F.lit("inf")
     )
     return (
-        F.when(F.isnan(c), "nan")
-        .when(size == float("inf"), F.when(c > 0, "inf").otherwise("-inf"))
-        .when(~printed.contains("E"), printed)
+        F.when(((size >= 1e-3) & (size < 1e7)) | (size == 0), printed)
         .when((size >= 1e-4) & (size < 1e16), positional)
         .otherwise(scientific)
     )

@@ -12,13 +12,14 @@ from tidemark.operators.ranking import latest_per_key
 from tidemark.operators.union import align_types
 
 
-def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per key, the last in the given ascending order of columns."""
-    return latest_per_key(df, keys, [c.desc_nulls_last() for c in order])
+def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
+    """One row per key, the last in the given ascending order of columns, nulls first."""
+    columns = [F.col(c) if isinstance(c, str) else c for c in order]
+    return latest_per_key(df, keys, [c.desc_nulls_last() for c in columns])
 
 
 def dedupe_keep_last(
-    older: DataFrame, newer: DataFrame, keys: Sequence[str], order: Sequence[Column]
+    older: DataFrame, newer: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 ) -> DataFrame:
     """Concatenate two tables and keep the last row of each key; the newer table wins."""
     older, newer = align_types(older, newer)
@@ -32,7 +33,7 @@ def upsert(
     target: DataFrame | None,
     delta: DataFrame,
     keys: Sequence[str] = ("id",),
-    order: Sequence[Column] = (),
+    order: Sequence[Column | str] = (),
     *,
     dedupe_target: bool = False,
 ) -> DataFrame:
