@@ -13,13 +13,16 @@ def scan_table(spark: SparkSession, path: str) -> DataFrame:
 def read_if_exists(
     spark: SparkSession, path: str, schema: T.StructType | None = None, *, format: str = "parquet"
 ) -> DataFrame | None:
-    """The table at a path, or None when there is none; any other failure is raised."""
+    """The table at a path, or None when there is none; any other failure is raised.
+
+    A folder without data files, as a first write that died leaves it, is no table.
+    """
     reader = spark.read.format(format)
     if schema is not None:
         reader = reader.schema(schema)
     try:
         return reader.load(path)
     except AnalysisException as e:
-        if e.getCondition() == "PATH_NOT_FOUND":
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
         raise
