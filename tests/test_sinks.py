@@ -89,6 +89,15 @@ class TestPartitioned:
         assert len(got) == 20 and got["5"] == (50, "x") and got["6"] == (6, None)
         assert table.upsert(frame(spark), ["id"], by) == 0
 
+    def test_partition_values_stay_texts(self, spark, path):
+        table = PartitionedTable(spark, path)
+        months = frame(spark, ("a", 1), ("b", 2), ("c", 3)).withColumn(
+            "m", F.when(F.col("id") == "a", "01").when(F.col("id") == "b", "1")
+        )
+        for _ in range(2):
+            assert table.upsert(months, ["id"], F.col("m")) == 3
+        assert rows(table.read()) == sorted([("a", 1, "01"), ("b", 2, "1"), ("c", 3, None)], key=repr)
+
     def test_conflicting_types_are_refused(self, spark, path):
         table = PartitionedTable(spark, path)
         table.upsert(frame(spark, ("a", 1)), ["id"], F.lit(0))

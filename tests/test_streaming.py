@@ -1,17 +1,22 @@
 from __future__ import annotations
 
+import pytest
+
 from tests.conftest import rows
+from tidemark.operators.upsert import upsert_newest
+from tidemark.sinks.partitioned import PartitionedTable, key_bucket
 from tidemark.sinks.snapshot import SnapshotTable
-from tidemark.streaming.upsert import newest_rows, stream_upsert
+from tidemark.streaming.upsert import stream_upsert
 
 SCHEMA = "id string, v int, seq int"
 
 
-def run(spark, path, target):
+def run(spark, path, target, partition_by=None):
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{path}/landing")
     query = stream_upsert(
         stream, target, ["id"], ["seq"], name="test_upsert",
         checkpoint=f"{path}/checkpoint", staging=f"{path}/staging",
+        partition_by=partition_by,
     )
     query.awaitTermination()
     assert query.exception() is None
@@ -35,9 +40,20 @@ def test_files_are_applied_once_and_late_rows_lose(spark, path):
     assert rows(SnapshotTable(spark, f"{path}/target").read()) == [("a", 1, 5), ("b", 2, 7), ("c", 3, 1)]
 
 
+def test_partitioned_target(spark, path):
+    target = PartitionedTable(spark, f"{path}/target")
+    land(spark, path, *[(str(i), 1, 5) for i in range(20)])
+    land(spark, path, ("3", 0, 2), ("4", 2, 7))
+    run(spark, path, target, key_bucket(["id"], 8))
+    got = {r["id"]: r["v"] for r in target.read().collect()}
+    assert len(got) == 20 and (got["3"], got["4"]) == (1, 2)
+    with pytest.raises(ValueError):
+        run(spark, path, target)
+
+
 def test_a_replayed_batch_changes_nothing(spark):
     target = spark.createDataFrame([("a", 1, 5), ("b", 1, 1)], SCHEMA)
     batch = spark.createDataFrame([("a", 2, 6), ("b", 0, 0)], SCHEMA)
-    once = newest_rows(target, batch, ["id"], ["seq"])
+    once = upsert_newest(target, batch, ["id"], ["seq"])
     assert rows(once) == [("a", 2, 6), ("b", 1, 1)]
-    assert rows(newest_rows(once, batch, ["id"], ["seq"])) == rows(once)
+    assert rows(upsert_newest(once, batch, ["id"], ["seq"])) == rows(once)

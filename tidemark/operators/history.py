@@ -82,6 +82,13 @@ def _state(df: DataFrame, name: str, *extra: str) -> DataFrame:
     return df.select("id", F.struct(*STATE, *extra).alias(name))
 
 
+def _one_per_key(current: DataFrame) -> DataFrame:
+    """Rows with a key, each key once: copies of a record, however many, are reduced in
+    the map tasks. The joins that follow use the same partitioning and order."""
+    given = current.filter(F.col("id").isNotNull())
+    return latest_per_key(given, ["id"], [F.xxhash64(*STATE)])
+
+
 def _entries(rows: DataFrame, run_id: str, run_ts: datetime) -> DataFrame:
     """History rows of (id, state struct ``row``, Type)."""
     stamp = offset_time(
@@ -107,8 +114,8 @@ def snapshot_diff(
     ``previous`` is first cut to the delta's keys, which for a small delta is a
     broadcast filter over the large side instead of a shuffle of it.
     """
-    now = _state(current.filter(F.col("id").isNotNull()), "now")
-    touched = now.select("id").distinct()
+    now = _state(_one_per_key(current), "now")
+    touched = current.select("id").distinct()
     was = _state(previous.join(touched, "id", "left_semi"), "was")
     compared = now.join(was, "id", "left").select(
         "id",
@@ -149,7 +156,7 @@ def snapshot_diff_full(
 ) -> DataFrame:
     """History rows of a whole snapshot: created, changed, replaced and deleted keys.
 
-    Both sides hold one row per key. ``deletes=False`` is for a snapshot that may be
+    ``previous`` holds one row per key. ``deletes=False`` is for a snapshot that may be
     incomplete: no key is then taken as vanished. A key logged as deleted and seen
     again is created anew (``reseen="create"``) or compared with its last state
     (``"compare"``). ``stage`` writes the differing rows once, as three results are
@@ -157,7 +164,7 @@ def snapshot_diff_full(
     """
     if reseen not in ("create", "compare"):
         raise ValueError(f"unknown reseen: {reseen}")
-    now = _state(current.filter(F.col("id").isNotNull()), "now")
+    now = _state(_one_per_key(current), "now")
     if reseen == "create":
         previous = previous.filter(active_history(F.col("Type")))
     was = _state(previous, "was", "Type")

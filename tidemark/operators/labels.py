@@ -73,26 +73,25 @@ def resolve_labels(
 
 
 def resolve_labels_exact(
-    catalog: DataFrame, labels: DataFrame, *, sequence: str = "sequence"
+    catalog: DataFrame, labels: Sequence[str], *, sequence: str = "sequence"
 ) -> DataFrame:
     """(label, api_name): the catalog entries whose plural label or api name is a
     configured label, by plural label, the last entry winning; plus the configured
-    labels no entry has, with a null name."""
-    wanted = labels.select("label").distinct()
-    keys = catalog.select(
-        F.explode(F.array_distinct(F.array("plural_label", "api_name"))).alias("label"),
-        F.col("plural_label"),
-        F.col("api_name"),
-        F.col(sequence).alias("seq"),
-    )
-    matched = keys.join(wanted, "label", "left_semi").filter(F.col("plural_label").isNotNull())
+    labels no entry has, with a null name.
+
+    The labels are configuration, so the match is a filter of the scan, not a join.
+    """
+    wanted = list(dict.fromkeys(labels))
+    matched = catalog.filter(
+        F.col("plural_label").isNotNull()
+        & (F.col("plural_label").isin(wanted) | F.col("api_name").isin(wanted))
+    ).select(F.col("plural_label").alias("label"), "api_name", F.col(sequence).alias("seq"))
     last = latest_per_key(
-        matched.select(F.col("plural_label").alias("label"), "api_name", "seq"),
-        ["label"],
-        [F.col("seq").desc(), F.col("api_name").desc()],
+        matched, ["label"], [F.col("seq").desc(), F.col("api_name").desc()]
     ).drop("seq")
+    asked = catalog.sparkSession.createDataFrame([(x,) for x in wanted], "label string")
     return last.unionByName(
-        wanted.join(last.select("label"), "label", "left_anti"), allowMissingColumns=True
+        asked.join(last.select("label"), "label", "left_anti"), allowMissingColumns=True
     )
 
 

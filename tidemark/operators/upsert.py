@@ -58,3 +58,18 @@ def upsert(
     return target.join(replaced, keys, "left_anti").unionByName(
         keep_last(delta, keys, order), allowMissingColumns=True
     )
+
+
+def upsert_newest(
+    target: DataFrame | None,
+    delta: DataFrame,
+    keys: Sequence[str] = ("id",),
+    order: Sequence[Column | str] = (),
+) -> DataFrame:
+    """Upsert for rows that may come late: a key's row in the target takes part in the
+    choice, so an older delta row does not replace it."""
+    if target is None:
+        return upsert(None, delta, keys, order)
+    rivals = target.join(delta.select(*keys).distinct(), list(keys), "left_semi")
+    rivals, delta = align_types(rivals, delta)
+    return upsert(target, rivals.unionByName(delta, allowMissingColumns=True), keys, order)

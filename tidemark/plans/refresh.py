@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from tidemark.functions.times import as_utc
 from tidemark.operators.associations import referenced_only
@@ -19,7 +19,6 @@ from tidemark.operators.history import (
 )
 from tidemark.operators.normalize import for_full_refresh
 from tidemark.operators.quality import full_refresh_log_row
-from tidemark.operators.ranking import latest_per_key
 from tidemark.plans.modules import Synced, append_changes, history_path
 from tidemark.plans.objects import owners_with_names
 from tidemark.plans.store import Store
@@ -91,11 +90,7 @@ def log_snapshot_changes(
     store: Store, records: DataFrame, run_id: str, run_ts: datetime, *, deletes: bool
 ) -> None:
     """Append what changed between the last logged state and a snapshot."""
-    current = latest_per_key(
-        history_state(records).filter(F.col("id").isNotNull()),
-        ["id"],
-        [F.xxhash64("amount", "Revenue_date", "Block_id", "block_name")],
-    )
+    current = history_state(records)
     history = read_if_exists(store.spark, history_path(store))
     if history is None:
         history = store.spark.createDataFrame([], HISTORY_SCHEMA)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.upsert import upsert
-from tidemark.sources.tables import read_if_exists
+from tidemark.sources.tables import ABSENT
 
 PART = "__part"
+NO_VALUE = "__none"
 
 
 def key_bucket(keys: Sequence[str], buckets: int) -> Column:
@@ -30,23 +32,37 @@ class PartitionedTable:
         self.spark, self.path = spark, path.rstrip("/")
 
     def _stored(self) -> DataFrame | None:
-        spark = self.spark
-        found = read_if_exists(spark, self.path)
-        return None if found is None else spark.read.option("mergeSchema", "true").parquet(self.path)
+        """The table with its partition values as the texts they were written as."""
+        reader = self.spark.read.option("mergeSchema", "true")
+        try:
+            found = reader.parquet(self.path).schema
+        except AnalysisException as e:
+            if e.getCondition() in ABSENT:
+                return None
+            raise
+        fields = [f for f in found.fields if f.name != PART]
+        schema = T.StructType([*fields, T.StructField(PART, T.StringType())])
+        return self.spark.read.schema(schema).parquet(self.path)
 
     def read(self) -> DataFrame | None:
         stored = self._stored()
         return None if stored is None else stored.drop(PART)
 
     def upsert(
-        self, delta: DataFrame, keys: Sequence[str], by: Column, order: Sequence[Column] = ()
+        self,
+        delta: DataFrame,
+        keys: Sequence[str],
+        by: Column,
+        order: Sequence[Column | str] = (),
+        *,
+        apply: Callable[..., DataFrame] = upsert,
     ) -> int:
         """Apply a delta; returns how many partitions were rewritten.
 
         The driver sees the delta's partition values, never its rows. The delta should be
-        a written table, as it is read twice.
+        a written table, as it is read twice. ``apply`` may be ``upsert_newest``.
         """
-        delta = delta.withColumn(PART, by.cast("string"))
+        delta = delta.withColumn(PART, F.coalesce(by.cast("string"), F.lit(NO_VALUE)))
         touched = [row[PART] for row in delta.select(PART).distinct().collect()]
         if not touched:
             return 0
@@ -56,15 +72,14 @@ class PartitionedTable:
             clash = [
                 f.name
                 for f in delta.schema.fields
-                if f.name != PART and kinds.get(f.name.lower(), f.dataType) != f.dataType
+                if kinds.get(f.name.lower(), f.dataType) != f.dataType
             ]
             if clash:
                 raise TypeError(f"column types differ from the stored ones: {clash}")
-            stored = stored.withColumn(PART, F.col(PART).cast("string"))
-            stored = stored.filter(F.col(PART).isin([t for t in touched if t is not None]))
-        result = upsert(stored, delta, [*keys, PART], order)
+            stored = stored.filter(F.col(PART).isin(touched))
         (
-            result.hint("rebalance", PART)
+            apply(stored, delta, keys, order)
+            .hint("rebalance", PART)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PART)

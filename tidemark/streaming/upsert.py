@@ -7,32 +7,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.operators.upsert import upsert
+from tidemark.operators.upsert import upsert_newest
 from tidemark.session import materialize
+from tidemark.sinks.partitioned import PartitionedTable
 from tidemark.sinks.snapshot import SnapshotTable
 
 
 def stream_upsert(
     stream: DataFrame,
-    target: SnapshotTable,
+    target: SnapshotTable | PartitionedTable,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[Column | str],
     *,
     name: str,
     checkpoint: str,
     staging: str,
+    partition_by: Column | None = None,
 ) -> StreamingQuery:
     """Upsert every micro-batch of a stream into a target, then stop when none is left.
 
     The checkpoint remembers which files were read, in place of a watermark. A batch
     replayed after a failure holds the rows it had, and upserting them again changes
-    nothing. A row that comes late does not replace a newer one: the target's row of
-    the same key competes in the order.
+    nothing. A row that comes late does not replace a newer one. A large target is a
+    partitioned table: each batch then rewrites only the partitions it falls into.
     """
+    if isinstance(target, PartitionedTable) != (partition_by is not None):
+        raise ValueError("a partitioned target, and only that, needs partition_by")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         staged = materialize(batch, f"{staging}/batch={batch_id}")
-        target.publish(newest_rows(target.read(), staged, keys, order), f"{name}-{batch_id}")
+        if isinstance(target, PartitionedTable):
+            target.upsert(staged, keys, partition_by, order, apply=upsert_newest)
+        else:
+            target.publish(
+                upsert_newest(target.read(), staged, keys, order), f"{name}-{batch_id}"
+            )
 
     return (
         stream.writeStream.foreachBatch(apply)
@@ -41,14 +50,3 @@ def stream_upsert(
         .queryName(name)
         .start()
     )
-
-
-def newest_rows(
-    target: DataFrame | None, batch: DataFrame, keys: Sequence[str], order: Sequence[Column]
-) -> DataFrame:
-    """Upsert in which the target's rows of the batch's keys take part in the choice."""
-    if target is None:
-        return upsert(None, batch, keys, order)
-    touched = batch.select(*keys).distinct()
-    rivals = target.join(touched, list(keys), "left_semi")
-    return upsert(target, rivals.unionByName(batch, allowMissingColumns=True), keys, order)

@@ -120,8 +120,8 @@ def latest_per_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Change history. Orders stand for revenue records: the block is one of 50, the date is
-# the status, both sometimes missing. The log knows the orders but every tenth; some
-# were changed since, some logged as deleted. The snapshot lacks every eleventh order.
+# the status, both sometimes missing. The log knows all but the urgent orders; some were
+# changed since, some logged as deleted. The snapshot lacks the orders of low priority.
 
 _STATES = """
     WITH history AS (
@@ -129,7 +129,7 @@ _STATES = """
              nullif(o_orderstatus, 'P') AS date, o_totalprice::VARCHAR AS amount,
              CASE WHEN o_orderkey % 17 = 0 THEN 'Delete'
                   WHEN o_orderkey % 5 = 0 THEN 'Amount changed' ELSE 'Create' END AS type
-      FROM orders WHERE o_orderkey % 10 <> 0),
+      FROM orders WHERE o_orderpriority <> '1-URGENT'),
     previous AS (
       SELECT id, block, 'Block ' || block AS name, date,
              regexp_replace(amount, '\\.0$', '') AS amount, type FROM history),
@@ -140,7 +140,7 @@ _STATES = """
              CASE WHEN o_orderkey % 23 = 0 THEN NULL ELSE regexp_replace(
                (CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 1 ELSE o_totalprice END)::VARCHAR,
                '\\.0$', '') END AS amount
-      FROM orders WHERE o_orderkey % 11 <> 0),
+      FROM orders WHERE o_orderpriority <> '5-LOW'),
     active AS (SELECT * FROM previous WHERE type <> 'Delete')
 """
 _ENTRY = """
@@ -161,7 +161,7 @@ def _block() -> Column:
 
 def revenue_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """History rows: a creation for each known order, then for some a later entry."""
-    known = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 10 != 0)
+    known = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") != "1-URGENT")
     later = F.when(F.col("o_orderkey") % 17 == 0, "Delete").when(
         F.col("o_orderkey") % 5 == 0, "Amount changed"
     )
@@ -197,7 +197,7 @@ def revenue_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     raised = F.when(key % 7 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
     return (
         table(spark, sf_dir, "orders")
-        .filter(key % 11 != 0)
+        .filter(F.col("o_orderpriority") != "5-LOW")
         .select(
             key.cast("string").alias("id"),
             F.when(key % 23 != 0, raised).alias("Amount"),
