@@ -257,10 +257,10 @@ _PAIRS = """
     vanished AS (SELECT * FROM active WHERE id NOT IN (SELECT id FROM current)),
     pairs AS (
       SELECT n.id AS new_id, o.id AS old_id FROM
-        (SELECT *, row_number() OVER (PARTITION BY block, date ORDER BY substr(md5(id), 1, 4), id) AS rn
+        (SELECT *, row_number() OVER (PARTITION BY block, date ORDER BY substr(md5(id), 1, 3), id) AS rn
          FROM appeared) n
         JOIN
-        (SELECT *, row_number() OVER (PARTITION BY block, date ORDER BY substr(md5(id), 1, 4), id) AS rn
+        (SELECT *, row_number() OVER (PARTITION BY block, date ORDER BY substr(md5(id), 1, 3), id) AS rn
          FROM vanished) o
         ON n.block IS NOT DISTINCT FROM o.block AND n.date IS NOT DISTINCT FROM o.date AND n.rn = o.rn)
 """
