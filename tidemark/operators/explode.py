@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from tidemark.functions.text import as_text, first_nonempty
+from tidemark.functions.text import any_of, as_text, first_nonempty
 from tidemark.operators.normalize import quoted
 from tidemark.operators.union import common_type
 
 # Fields that mark a subform, and the columns that may name its parent.
 SUBFORM_MARKS = ("Site_Percentage", "Site")
 PARENT_NAMES = ("Name", "Block_Name", "name")
+PARENT_COLUMNS = ("Parent_Id_id", "Parent_Id_name")
 
 
 def explode_stages(pipelines: DataFrame) -> DataFrame:
@@ -73,9 +74,29 @@ def explode_subform(parents: DataFrame, key: str = "id") -> DataFrame:
         rows = elements(field)
         picked = F.when(F.size(rows) > 0, rows).otherwise(picked)
 
+    return parents.select(F.explode(picked).alias("split"), *_parent(parents, key)).select(
+        "split.*", *PARENT_COLUMNS
+    )
+
+
+def _parent(parents: DataFrame, key: str) -> list[Column]:
     names = [quoted(n).cast("string") for n in PARENT_NAMES if n in parents.columns]
-    return parents.select(
-        F.explode(picked).alias("split"),
+    return [
         F.coalesce(quoted(key).cast("string"), F.lit("")).alias("Parent_Id_id"),
         first_nonempty(*names).alias("Parent_Id_name"),
-    ).select("split.*", "Parent_Id_id", "Parent_Id_name")
+    ]
+
+
+def subform_elements(parents: DataFrame, key: str = "id") -> DataFrame:
+    """The same for parents whose arrays are JSON text: one variant ``element`` per row."""
+    picked = F.lit(None).cast("variant")
+    for field in reversed(parents.schema.fields):
+        if not isinstance(field.dataType, T.StringType):
+            continue
+        text = quoted(field.name)
+        value = F.when(text.startswith("["), F.try_parse_json(text))
+        marks = [F.try_variant_get(value, f"$[0].{mark}", "variant") for mark in SUBFORM_MARKS]
+        picked = F.when(any_of([m.isNotNull() for m in marks]), value).otherwise(picked)
+    chosen = parents.select(picked.alias("subform"), *_parent(parents, key))
+    each = parents.sparkSession.tvf.variant_explode(F.col("subform").outer())
+    return chosen.lateralJoin(each).select(F.col("value").alias("element"), *PARENT_COLUMNS)

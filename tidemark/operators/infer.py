@@ -1,25 +1,52 @@
-"""Column types of schemaless JSON records."""
+"""Column names and types of schemaless JSON records."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import clean_name
+from tidemark.operators.normalize import loader_name, project_last
 
 # One bit per type; two bits set mean a conflict.
 BOOLEAN, INTEGER, FLOAT, STRING = 1, 2, 4, 8
+SPARK_TYPES = {BOOLEAN: "boolean", INTEGER: "bigint", FLOAT: "double"}
 
 
-def _type_bit(variant_type: Column) -> Column:
+def _type_bit(value: Column) -> Column:
+    kind = F.schema_of_variant(value)
     return (
-        F.when(variant_type == "VOID", F.lit(0))
-        .when(variant_type == "BOOLEAN", F.lit(BOOLEAN))
-        .when(variant_type == "BIGINT", F.lit(INTEGER))
-        .when((variant_type == "DOUBLE") | variant_type.startswith("DECIMAL"), F.lit(FLOAT))
+        F.when(kind == "VOID", F.lit(0))
+        .when(kind == "BOOLEAN", F.lit(BOOLEAN))
+        .when(kind == "BIGINT", F.lit(INTEGER))
+        .when((kind == "DOUBLE") | kind.startswith("DECIMAL"), F.lit(FLOAT))
         .otherwise(F.lit(STRING))
     )
 
 
+def _type_name(bits: Column) -> Column:
+    return (
+        F.when(bits == BOOLEAN, "BOOLEAN")
+        .when(bits == INTEGER, "INTEGER")
+        .when(bits == FLOAT, "FLOAT")
+        .otherwise("STRING")
+    )
+
+
+def _entries(records: DataFrame, record: str) -> DataFrame:
+    """(key, value) of every field of a variant column."""
+    each = records.sparkSession.tvf.variant_explode(F.col(record).outer())
+    return (
+        records.select(record)
+        .lateralJoin(each)
+        .filter(F.col("key").isNotNull())
+        .select("key", "value")
+    )
+
+
 def infer_types(records: DataFrame, json_column: str) -> DataFrame:
     """(column, type) over all records, in name order.
 
@@ -27,18 +54,85 @@ def infer_types(records: DataFrame, json_column: str) -> DataFrame:
     its records to one row per column before the shuffle.
     """
     parsed = records.select(F.try_parse_json(F.col(json_column)).alias("record"))
-    entries = parsed.lateralJoin(
-        records.sparkSession.tvf.variant_explode(F.col("record").outer())
-    ).filter(F.col("key").isNotNull()).select(
-        clean_name(F.col("key")).alias("column"),
-        _type_bit(F.schema_of_variant(F.col("value"))).alias("bit"),
-    )
-    seen = entries.groupBy("column").agg(F.bit_or("bit").alias("bits"))
-    return seen.select(
-        "column",
-        F.when(F.col("bits") == BOOLEAN, "BOOLEAN")
-        .when(F.col("bits") == INTEGER, "INTEGER")
-        .when(F.col("bits") == FLOAT, "FLOAT")
-        .otherwise("STRING")
-        .alias("type"),
-    ).orderBy("column")
+    seen = (
+        _entries(parsed, "record")
+        .select(clean_name(F.col("key")).alias("column"), _type_bit(F.col("value")).alias("bit"))
+        .groupBy("column")
+        .agg(F.bit_or("bit").alias("bits"))
+    )
+    return seen.select("column", _type_name(F.col("bits")).alias("type")).orderBy("column")
+
+
+def flat_fields(records: DataFrame, record: str) -> DataFrame:
+    """(key, inner, type): the fields of a variant column, objects one level down."""
+    entries = _entries(records, record)
+    is_object = F.schema_of_variant("value").startswith("OBJECT")
+    plain = entries.filter(~is_object).select(
+        "key", F.lit(None).cast("string").alias("inner"), _type_bit(F.col("value")).alias("bit")
+    )
+    nested = entries.filter(is_object).select(F.col("key").alias("outer_key"), "value")
+    each = nested.sparkSession.tvf.variant_explode(F.col("value").outer()).toDF("at", "inner", "of")
+    deeper = (
+        nested.lateralJoin(each)
+        .filter(F.col("inner").isNotNull())
+        .select(F.col("outer_key").alias("key"), "inner", _type_bit(F.col("of")).alias("bit"))
+    )
+    return (
+        plain.unionByName(deeper)
+        .groupBy("key", "inner")
+        .agg(F.bit_or("bit").alias("bits"))
+        .select("key", "inner", "bits", _type_name(F.col("bits")).alias("type"))
+    )
+
+
+def typed_records(records: DataFrame, record: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Columns for all fields that any record of a variant column has.
+
+    Objects are flattened one level, names cleaned, types inferred over all records;
+    nested values become JSON text. ``keep`` names further columns to go along, which
+    win over a field of their name. The driver reads the list of fields, never a
+    record. ``records`` should be a written table, as it is read twice. Where the names
+    of several fields become equal the last in name order that has a value wins; a
+    field only seen null gives way to one of its name with values.
+    """
+    found = sorted(
+        (row["key"], row["inner"] or "", row["inner"] is not None, row["bits"], row["type"])
+        for row in flat_fields(records, record).collect()
+    )
+    objects = {key for key, _, nested, _, _ in found if nested}
+    by_name: dict[str, list[tuple[str, int, Callable[[str], Column]]]] = {}
+    for key, inner, nested, bits, _ in found:
+        name = loader_name(f"{key}_{inner}" if nested else key)
+        path = f"$[{_quoted(key)}]" + (f"[{_quoted(inner)}]" if nested else "")
+        read = _reader(record, path, skip_objects=not nested and key in objects)
+        by_name.setdefault(name.lower(), []).append((name, bits, read))
+    pairs = []
+    for fields in by_name.values():
+        bits = reduce(or_, (b for _, b, _ in fields))
+        kind = SPARK_TYPES.get(bits, "string")
+        values = [read(kind) for _, _, read in reversed(fields)]
+        pairs.append((fields[-1][0], F.coalesce(*values)))
+    pairs = sorted(pairs, key=lambda pair: pair[0]) + [(name, F.col(name)) for name in keep]
+    return project_last(records, pairs)
+
+
+def _reader(record: str, path: str, *, skip_objects: bool) -> Callable[[str], Column]:
+    """Reads a field as a type; a field that some records hold as an object is read
+    only from the others, as the object went to columns of its own."""
+
+    def read(kind: str) -> Column:
+        value = F.try_variant_get(record, path, kind)
+        if not skip_objects:
+            return value
+        shape = F.schema_of_variant(F.try_variant_get(record, path, "variant"))
+        return F.when(~shape.startswith("OBJECT"), value)
+
+    return read
+
+
+def _quoted(key: str) -> str:
+    """A key inside a variant path, which knows no escapes."""
+    for quote in ('"', "'"):
+        if quote not in key:
+            return f"{quote}{key}{quote}"
+    raise ValueError(f"a field name with both kinds of quotes cannot be read: {key}")

@@ -61,9 +61,17 @@ def lookup_struct(df: DataFrame, name: str) -> tuple[Column, Column]:
 
 def fuzzy_amount(df: DataFrame, preferred: str = "Amount") -> Column:
     """Canonical text of the preferred column, else of the first non-null column whose
-    name mentions an amount; of a ``{currency, value}`` struct the value counts."""
-    similar = [f for f in df.schema.fields if "amount" in f.name.lower()]
-    ordered = sorted(similar, key=lambda f: f.name != preferred)
+    name mentions an amount; of a ``{currency, value}`` struct, also a flattened one, the
+    value counts."""
+    names = set(df.columns)
+    similar = [
+        f
+        for f in df.schema.fields
+        if "amount" in f.name.lower()
+        and not (f.name.endswith("_currency") and f"{f.name[:-9]}_value" in names)
+    ]
+    first = (preferred, f"{preferred}_value")
+    ordered = sorted(similar, key=lambda f: first.index(f.name) if f.name in first else len(first))
     picked = F.lit(None).cast("string")
     for field in reversed(ordered):
         column, kind = quoted(field.name), field.dataType

@@ -45,6 +45,7 @@ class Module:
     subform_of: str | None = None
     """Label of a module whose delta holds these records as a subform, for when the
     feed itself fails."""
+    subform: Callable[[DataFrame], DataFrame] = explode_subform
 
 
 @dataclass(frozen=True)
@@ -168,7 +169,7 @@ def sync_modules(
                     results.append(Synced(module.label, "skipped", error=str(failure)[:200]))
                     continue
                 logger.warning("%s taken from its parent's subform: %s", module.label, failure)
-                staged = store.stage(for_loading(explode_subform(parent)), module.table, run_id)
+                staged = store.stage(for_loading(module.subform(parent)), module.table, run_id)
             raw_deltas[module.label] = raw
             if module.keeps_history:
                 log_changes(store, raw, run_id, run_ts)

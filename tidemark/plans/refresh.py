@@ -78,12 +78,13 @@ def refresh_objects(
 
 @dataclass(frozen=True)
 class PagedModule:
-    """One module's landed pages, the whole of it in each run."""
+    """One module's landed pages, the whole of it in each run, and how to unwrap them."""
 
     label: str
     table: str
     pages: Callable[[], DataFrame]
     keeps_history: bool = False
+    unwrap: Callable[[DataFrame], DataFrame] = unwrap_module_pages
 
 
 def log_snapshot_changes(
@@ -135,7 +136,7 @@ def refresh_with_history(
         for module in modules:
             pages = module.pages()
             complete = feed_complete(pages).first()["complete"]
-            records = unwrap_module_pages(pages)
+            records = module.unwrap(pages)
             if module.keeps_history:
                 records = store.stage(records, f"{module.table}_raw", run_id)
                 if not records.isEmpty():

@@ -91,6 +91,24 @@ def read_module_pages(spark: SparkSession, path: str, record: T.StructType) -> D
     return spark.read.schema(page).json(path)
 
 
+def read_variant_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Module pages whose records have no schema: ``data`` is a variant array."""
+    page = F.try_parse_json("value")
+    return spark.read.text(path).select(
+        F.try_variant_get(page, "$.page", "bigint").alias("page"),
+        F.try_variant_get(page, "$.data", "variant").alias("data"),
+        F.struct(
+            F.try_variant_get(page, "$.info.more_records", "boolean").alias("more_records")
+        ).alias("info"),
+    )
+
+
+def variant_records(pages: DataFrame) -> DataFrame:
+    """One variant ``record`` per element of the pages' data."""
+    each = pages.sparkSession.tvf.variant_explode(F.col("data").outer())
+    return pages.select("data").lateralJoin(each).select(F.col("value").alias("record"))
+
+
 def unwrap_module_pages(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode("data").alias("r")).select("r.*")
 
@@ -98,17 +116,20 @@ def unwrap_module_pages(pages: DataFrame) -> DataFrame:
 def feed_complete(pages: DataFrame) -> DataFrame:
     """One row: did the fetch reach its last page, and is no page before it missing?
 
-    A cut feed must not be taken for deletions.
+    Pages without numbers are complete when one of them announces no further page. A
+    cut feed must not be taken for deletions.
     """
     more = F.coalesce(F.col("info.more_records"), F.lit(False))
-    return pages.agg(
+    facts = pages.agg(
         F.max("page").alias("last_page"),
         F.count_distinct("page").alias("pages"),
         F.max_by(more, "page").alias("more"),
-    ).select(
+        F.bool_or(~more).alias("ended"),
+    )
+    numbered = ~F.col("more") & (F.col("pages") == F.col("last_page"))
+    unnumbered = F.coalesce(F.col("ended"), F.lit(False))
+    return facts.select(
         "last_page",
         "pages",
-        (F.coalesce(~F.col("more"), F.lit(False)) & (F.col("pages") == F.col("last_page"))).alias(
-            "complete"
-        ),
+        F.when(F.col("last_page").isNull(), unnumbered).otherwise(numbered).alias("complete"),
     )

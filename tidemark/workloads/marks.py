@@ -235,7 +235,7 @@ def watermark_state(spark: SparkSession, sf_dir: str) -> DataFrame:
 @workload(
     "check_min_rows",
     """
-    SELECT 'orders' AS table_name, count(*) AS actual, 1 AS expected_min, count(*) >= 1 AS healthy FROM orders
+    SELECT 'orders' AS table_name, count(*) AS actual, 1::BIGINT AS expected_min, count(*) >= 1 AS healthy FROM orders
     UNION ALL
     SELECT 'region', count(*), 1000, count(*) >= 1000 FROM region
     """,
@@ -269,7 +269,7 @@ def check_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
 @workload(
     "run_log",
     """
-    SELECT 'crm' AS source, 'SUCCESS' AS status, count(*) AS records_processed, 0 AS api_calls,
+    SELECT 'crm' AS source, 'SUCCESS' AS status, count(*) AS records_processed, 0::BIGINT AS api_calls,
            90.5::DOUBLE AS duration_seconds, '' AS error_message, TIMESTAMP '2024-06-01 12:00:00' AS started_at,
            TIMESTAMP '2024-06-01 12:01:30.5' AS finished_at
     FROM orders
