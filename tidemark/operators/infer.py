@@ -16,8 +16,7 @@ BOOLEAN, INTEGER, FLOAT, STRING = 1, 2, 4, 8
 SPARK_TYPES = {BOOLEAN: "boolean", INTEGER: "bigint", FLOAT: "double"}
 
 
-def _type_bit(value: Column) -> Column:
-    kind = F.schema_of_variant(value)
+def _type_bit(kind: Column) -> Column:
     return (
         F.when(kind == "VOID", F.lit(0))
         .when(kind == "BOOLEAN", F.lit(BOOLEAN))
@@ -37,13 +36,13 @@ def _type_name(bits: Column) -> Column:
 
 
 def _entries(records: DataFrame, record: str) -> DataFrame:
-    """(key, value) of every field of a variant column."""
+    """(key, value, kind) of every field of a variant column."""
     each = records.sparkSession.tvf.variant_explode(F.col(record).outer())
     return (
         records.select(record)
         .lateralJoin(each)
         .filter(F.col("key").isNotNull())
-        .select("key", "value")
+        .select("key", "value", F.schema_of_variant("value").alias("kind"))
     )
 
 
@@ -56,7 +55,7 @@ def infer_types(records: DataFrame, json_column: str) -> DataFrame:
     parsed = records.select(F.try_parse_json(F.col(json_column)).alias("record"))
     seen = (
         _entries(parsed, "record")
-        .select(clean_name(F.col("key")).alias("column"), _type_bit(F.col("value")).alias("bit"))
+        .select(clean_name(F.col("key")).alias("column"), _type_bit(F.col("kind")).alias("bit"))
         .groupBy("column")
         .agg(F.bit_or("bit").alias("bits"))
     )
@@ -65,22 +64,24 @@ def infer_types(records: DataFrame, json_column: str) -> DataFrame:
 
 def flat_fields(records: DataFrame, record: str) -> DataFrame:
     """(key, inner, type): the fields of a variant column, objects one level down."""
+    is_object = F.col("kind").startswith("OBJECT")
     entries = _entries(records, record)
-    is_object = F.schema_of_variant("value").startswith("OBJECT")
-    plain = entries.filter(~is_object).select(
-        "key", F.lit(None).cast("string").alias("inner"), _type_bit(F.col("value")).alias("bit")
-    )
-    nested = entries.filter(is_object).select(F.col("key").alias("outer_key"), "value")
-    each = nested.sparkSession.tvf.variant_explode(F.col("value").outer()).toDF("at", "inner", "of")
-    deeper = (
-        nested.lateralJoin(each)
-        .filter(F.col("inner").isNotNull())
-        .select(F.col("outer_key").alias("key"), "inner", _type_bit(F.col("of")).alias("bit"))
+    # A field that is no object gives one row without an inner field.
+    inside = records.sparkSession.tvf.variant_explode_outer(
+        F.when(is_object, F.col("value")).outer()
+    ).toDF("at", "inner", "of")
+    fields = (
+        entries.lateralJoin(inside)
+        .filter(F.col("inner").isNotNull() | ~is_object)
+        .select(
+            "key",
+            "inner",
+            F.when(is_object, F.schema_of_variant("of")).otherwise(F.col("kind")).alias("kind"),
+        )
     )
     return (
-        plain.unionByName(deeper)
-        .groupBy("key", "inner")
-        .agg(F.bit_or("bit").alias("bits"))
+        fields.groupBy("key", "inner")
+        .agg(F.bit_or(_type_bit(F.col("kind"))).alias("bits"))
         .select("key", "inner", "bits", _type_name(F.col("bits")).alias("type"))
     )
 

@@ -8,18 +8,21 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tidemark.functions.text import float_text
 from tidemark.operators.associations import lookup_by_ids
+from tidemark.operators.infer import typed_records
 from tidemark.operators.union import tagged_passes
 from tidemark.operators.watermark import WATERMARK_SCHEMA, point_lookup
-from tidemark.session import scratch
+from tidemark.session import materialize, scratch
 from tidemark.sinks import tables as sinks
 from tidemark.sources.ndjson import load_ndjson
 from tidemark.sources.pages import (
     feed_complete,
     read_module_pages,
     read_object_pages,
+    read_variant_pages,
     unwrap_line_items,
     unwrap_module_pages,
     unwrap_objects,
+    variant_records,
 )
 from tidemark.sources.tables import scan_table
 from tidemark.workloads.registry import table, workload
@@ -143,6 +146,50 @@ def scan_module_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unwrap_module_pages(pages).withColumn("complete", complete)
 
 
+@workload(
+    "scan_schemaless_pages",
+    """
+    SELECT o_orderkey AS id, o_custkey AS "Owner_id", 'Customer ' || o_custkey AS "Owner_name",
+           o_totalprice AS deal_amount, o_totalprice > 250000 AS large,
+           CASE WHEN o_orderstatus = 'O' THEN o_custkey::VARCHAR ELSE o_orderpriority END AS mixed,
+           '["' || o_orderstatus || '"]' AS tags,
+           CASE WHEN o_orderstatus = 'P' THEN o_custkey END AS sparse
+    FROM orders
+    """,
+)
+def scan_schemaless_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose fields and types are only known from the records."""
+
+    def record(*fields: Column) -> Column:
+        owner = F.struct(
+            F.col("o_custkey").alias("id"),
+            F.concat(F.lit("Customer "), F.col("o_custkey").cast("string")).alias("name"),
+        )
+        return F.to_json(
+            F.struct(
+                F.col("o_orderkey").alias("id"),
+                owner.alias("Owner"),
+                F.col("o_totalprice").alias("deal.amount"),
+                (F.col("o_totalprice") > 250000).alias("$large"),
+                F.array("o_orderstatus").alias("tags"),
+                *fields,
+            )
+        )
+
+    status = F.col("o_orderstatus")
+    number, word = F.col("o_custkey").alias("mixed"), F.col("o_orderpriority").alias("mixed")
+    text = (
+        F.when(status == "O", record(number))
+        .when(status == "P", record(word, F.col("o_custkey").alias("sparse")))
+        .otherwise(record(word))
+    )
+    page = F.concat(F.lit('{"data": ['), text, F.lit('], "info": {"more_records": true}}'))
+    path = scratch(spark, "schemaless-pages")
+    table(spark, sf_dir, "orders").select(page.alias("value")).write.text(path)
+    landed = materialize(variant_records(read_variant_pages(spark, path)), scratch(spark, "landed"))
+    return typed_records(landed, "record")
+
+
 def line_item_pages(lineitem: DataFrame) -> DataFrame:
     """Pages of line items; returned ones are linked to no deal."""
     item = F.struct(
