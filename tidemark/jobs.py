@@ -58,7 +58,7 @@ class Landing:
         return f"{self.path}/{name.replace(' ', '_')}"
 
     def typed(self, pages: DataFrame, name: str) -> DataFrame:
-        landed = self.store.stage(variant_records(pages), f"{name}_landed", self.run_id)
+        landed = self.store.stage(variant_records(pages), f"{name}_landed")
         return typed_records(landed, "record")
 
     def module(self, label: str) -> Feed:
@@ -72,7 +72,7 @@ class Landing:
         return feed
 
     def subform(self, parents: DataFrame) -> DataFrame:
-        elements = self.store.stage(subform_elements(parents), "subform_landed", self.run_id)
+        elements = self.store.stage(subform_elements(parents), "subform_landed")
         return typed_records(elements, "element", PARENT_COLUMNS)
 
     def whole(self, name: str, *, companies: bool = False) -> DataFrame:

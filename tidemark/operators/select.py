@@ -36,9 +36,16 @@ def project_visible(
 
 
 def promote_properties(df: DataFrame, column: str, names: Sequence[str]) -> DataFrame:
-    """Lift the named keys of a map column to columns of their own."""
-    rest = [quoted(c) for c in df.columns if c != column]
-    return df.select(*[F.try_element_at(F.col(column), F.lit(n)).alias(n) for n in names], *rest)
+    """Lift the named keys of a map column to columns of their own; of keys equal but for
+    case the last one that has a value."""
+    by_name: dict[str, list[str]] = {}
+    for name in names:
+        by_name.setdefault(name.lower(), []).append(name)
+    lifted = [
+        F.coalesce(*[F.try_element_at(F.col(column), F.lit(n)) for n in reversed(same)]).alias(same[-1])
+        for same in by_name.values()
+    ]
+    return df.select(*lifted, *[quoted(c) for c in df.columns if c != column])
 
 
 def lookup_struct(df: DataFrame, name: str) -> tuple[Column, Column]:

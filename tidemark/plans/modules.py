@@ -99,9 +99,7 @@ def log_changes(store: Store, records: DataFrame, run_id: str, run_ts: datetime)
     if history is None:
         history = store.spark.createDataFrame([], HISTORY_SCHEMA)
     previous = latest_history(history, only=current)
-    changes = store.stage(
-        snapshot_diff(current, previous, run_id, run_ts), "revenue_history", run_id
-    )
+    changes = store.stage(snapshot_diff(current, previous, run_id, run_ts), "revenue_history")
     append_changes(store, changes, run_ts)
 
 
@@ -160,8 +158,8 @@ def sync_modules(
             try:
                 raw = module.feed(marks[1])
                 if module.keeps_history or module.label in parents:
-                    raw = store.stage(raw, f"{module.table}_raw", run_id)
-                staged = store.stage(for_loading(raw), module.table, run_id)
+                    raw = store.stage(raw, f"{module.table}_raw")
+                staged = store.stage(for_loading(raw), module.table)
             except Exception as failure:  # a source may fail in any way
                 parent = raw_deltas.get(module.subform_of or "")
                 if parent is None:
@@ -169,7 +167,7 @@ def sync_modules(
                     results.append(Synced(module.label, "skipped", error=str(failure)[:200]))
                     continue
                 logger.warning("%s taken from its parent's subform: %s", module.label, failure)
-                staged = store.stage(for_loading(module.subform(parent)), module.table, run_id)
+                staged = store.stage(for_loading(module.subform(parent)), module.table)
             raw_deltas[module.label] = raw
             if module.keeps_history:
                 log_changes(store, raw, run_id, run_ts)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
@@ -12,10 +13,13 @@ from tidemark.functions.text import full_name
 from tidemark.operators.associations import association_catchup
 from tidemark.operators.explode import explode_stages
 from tidemark.operators.normalize import for_loading
+from tidemark.operators.select import REQUIRED_PROPERTIES
 from tidemark.operators.union import tagged_passes
 from tidemark.plans.modules import Feed, Module, Synced, load_batch, log_run
 from tidemark.plans.store import Store
 
+logger = logging.getLogger(__name__)
+
 # Where an object's time of change is found.
 OBJECT_MODIFIED = ("lastmodifieddate", "hs_lastmodifieddate")
 
@@ -47,7 +51,7 @@ def sync_objects(
     results: list[Synced] = []
 
     def whole(label: str, table: str, df: DataFrame, key: str) -> None:
-        staged = store.stage(for_loading(df), table, run_id)
+        staged = store.stage(for_loading(df), table)
         records = staged.count()
         if records:
             store.upsert(table, staged, [key], [], run_id)
@@ -56,7 +60,7 @@ def sync_objects(
     def delta(label: str, table: str, fetch: Callable[[datetime], DataFrame]) -> DataFrame:
         module = Module(label, table, fetch, OBJECT_MODIFIED)
         marks = store.mark(source, label, run_ts)
-        staged = store.stage(for_loading(fetch(marks[1])), table, run_id)
+        staged = store.stage(for_loading(fetch(marks[1])), table)
         results.append(load_batch(store, source, module, staged, marks, run_id, run_ts, idle))
         return staged
 
@@ -64,6 +68,9 @@ def sync_objects(
         whole("pipelines", "Pipelines", explode_stages(feeds.pipelines()), "stage_id")
         whole("owners", "Owners", owners_with_names(feeds.owners(False), feeds.owners(True)), "id")
         deals = delta("deals", "Deals", feeds.deals)
+        for name in REQUIRED_PROPERTIES["deals"]:
+            if name not in deals.columns:
+                logger.warning("deals have no property %s", name)
         delta(
             "companies",
             "Companies",

@@ -102,18 +102,18 @@ def log_snapshot_changes(
         run_id,
         run_ts,
         deletes=deletes,
-        stage=_stages(store, run_id),
+        stage=_stages(store),
     )
-    append_changes(store, store.stage(changes, "revenue_changes", run_id), run_ts)
+    append_changes(store, store.stage(changes, "revenue_changes"), run_ts)
 
 
-def _stages(store: Store, run_id: str) -> Callable[[DataFrame], DataFrame]:
+def _stages(store: Store) -> Callable[[DataFrame], DataFrame]:
     """Writes each intermediate result of one run to a staging table of its own."""
     used: list[str] = []
 
     def stage(df: DataFrame) -> DataFrame:
         used.append(f"revenue_step_{len(used)}")
-        return store.stage(df, used[-1], run_id)
+        return store.stage(df, used[-1])
 
     return stage
 
@@ -138,7 +138,7 @@ def refresh_with_history(
             complete = feed_complete(pages).first()["complete"]
             records = module.unwrap(pages)
             if module.keeps_history:
-                records = store.stage(records, f"{module.table}_raw", run_id)
+                records = store.stage(records, f"{module.table}_raw")
                 if not records.isEmpty():
                     log_snapshot_changes(store, records, run_id, run_ts, deletes=complete)
             if complete:

@@ -49,9 +49,10 @@ class Store:
     def partitioned(self, name: str) -> PartitionedTable:
         return PartitionedTable(self.spark, f"{self.root}/partitioned/{name}")
 
-    def stage(self, df: DataFrame, name: str, run_id: str) -> DataFrame:
-        """The run's rows of one table, written once and then read by every step."""
-        return materialize(df, f"{self.root}/staging/{name}/{run_id}")
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """A run's rows of one table, written once and then read by every step. The next
+        run replaces them."""
+        return materialize(df, f"{self.root}/staging/{name}")
 
     def upsert(
         self,

@@ -35,7 +35,7 @@ def stream_upsert(
         raise ValueError("a partitioned target, and only that, needs partition_by")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        staged = materialize(batch, f"{staging}/batch={batch_id}")
+        staged = materialize(batch, staging)
         if isinstance(target, PartitionedTable):
             target.upsert(staged, keys, partition_by, order, apply=upsert_newest)
         else:
