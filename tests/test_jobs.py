@@ -115,11 +115,14 @@ def test_modules_job(spark, tmp_path):
         "Revenue Recognition": ("synced", 1), "Stage History": ("skipped", 0),
     }
     later = "2024-05-03T00:00:00Z"
+    land(tmp_path, "Accounts", page())
     land(tmp_path, "Deals", page({"id": "1", "Amount": "six", "new field": 1, "Modified_Time": later}))
     land(tmp_path, "Revenue_Recognition", page({"id": "r", "Amount": 7, "Date": "d", "Modified_Time": later}))
     second = {r.label: r.records for r in run(tmp_path, "modules", "r1", "2024-05-04T00:00:00")}
     assert second["Revenue Recognition"] == 2  # the overlap reads the first record again
+    assert second["Accounts"] == 0
     store = Store(spark, str(tmp_path / "store"))
+    assert store.run_log().count() == 2
     assert rows(store.read("Deals").select("id", "Amount", "new_field")) == [("1", "six", 1)]
     assert rows(store.read("Site_Splits").select("id", "Site", "Parent_Id_name")) == [("s", "x", "B")]
     history = spark.read.parquet(history_path(store))

@@ -95,10 +95,19 @@ class TestModules:
         ]
         result = sync_modules(store, "crm", modules, "r0", T0)
         assert [r.records for r in result] == [1, 2]
+        assert mark(store, "Site Splits") == mark(store, "Blocks") == utc("2024-05-01T00:00:00")
         assert rows(store.read("Site_Splits").select("id", "Parent_Id_id", "Parent_Id_name")) == [
             ("s1", "1", "Block"), ("s2", "1", "Block"),
         ]
 
+    def test_an_idle_parent_does_not_stand_in(self, spark, path):
+        modules = [
+            Module("Blocks", "Blocks", Feed(records(spark))),
+            Module("Site Splits", "Site_Splits", Feed(OSError("401")), subform_of="Blocks", keeps_history=True),
+        ]
+        result = sync_modules(Store(spark, path), "crm", modules, "r0", T0)
+        assert [r.status for r in result] == ["idle", "skipped"]
+
     def test_a_failure_after_staging_is_logged_and_raised(self, spark, path):
         store = Store(spark, path)
         module = Module("Deals", "Deals", Feed(records(spark, ("1", "5", "x"))), key=("nokey",))
@@ -202,6 +211,30 @@ def test_refresh_of_objects(spark, path):
     )
 
 
+def test_refresh_goes_on_without_the_lesser_tables(spark, path):
+    def broken():
+        raise OSError("403")
+
+    feeds = RefreshSource(
+        pipelines=broken,
+        owners=lambda archived: broken(),
+        deals=lambda: deals(spark, ("1", "b", "x")),
+        companies=lambda: spark.createDataFrame([("b", "B")], "id string, name string"),
+        line_items=broken,
+    )
+    store = Store(spark, path)
+    result = refresh_objects(store, feeds, "r0", T0)
+    assert [r.status for r in result] == ["skipped", "skipped", "replaced", "replaced", "skipped"]
+    no_deals = RefreshSource(broken, broken, lambda: deals(spark), broken, broken)
+    result = refresh_objects(store, no_deals, "r1", T1)
+    assert [r.label for r in result if r.status != "skipped"] == ["deals"]
+    with pytest.raises(OSError):
+        refresh_objects(store, RefreshSource(broken, broken, broken, broken, broken), "r2", T1)
+    log = spark.read.parquet(f"{path}/meta/etl_logs")
+    assert sorted(r["status"] for r in log.collect()) == ["FAILED", "SUCCESS", "SUCCESS"]
+    assert store.read("Companies").count() == 1
+
+
 def paged(spark, items, more=False):
     lines = [{"page": 1, "data": [{"id": i, "Amount": a, "Date": "d"} for i, a in items], "info": {"more_records": more}}]
     schema = "page bigint, data array<struct<id: string, Amount: double, Date: string>>, info struct<more_records: boolean>"

@@ -59,7 +59,8 @@ class Landing:
 
     def typed(self, pages: DataFrame, name: str) -> DataFrame:
         landed = self.store.stage(variant_records(pages), f"{name}_landed")
-        return typed_records(landed, "record")
+        records = typed_records(landed, "record")
+        return records if records.columns else self.spark.createDataFrame([], "id string")
 
     def module(self, label: str) -> Feed:
         def feed(since: datetime) -> DataFrame:

@@ -44,10 +44,11 @@ def explode_subform(parents: DataFrame, key: str = "id") -> DataFrame:
 
     Of the array columns that look like a subform each parent uses its first
     non-empty one, in column order. Elements of different columns share their fields.
+    Parents without such a column give no rows.
     """
     candidates = _subforms(parents.schema)
     if not candidates:
-        raise ValueError("no array column has " + " or ".join(SUBFORM_MARKS))
+        return parents.select(*_parent(parents, key)).filter(F.lit(False))
     kinds: dict[str, T.DataType] = {}
     for field in candidates:
         for inner in field.dataType.elementType.fields:

@@ -119,9 +119,14 @@ def load_batch(
     run_id: str,
     run_ts: datetime,
     idle: str,
+    reached: datetime | None = None,
 ) -> Synced:
-    """Upsert a staged batch, check the target and advance the mark."""
+    """Upsert a staged batch, check the target and advance the mark.
+
+    ``reached`` is how far a batch goes whose rows carry no time of their own.
+    """
     records, observed = batch_facts(staged, module.modified)
+    observed = observed or reached
     stored, since = marks
     mark = next_mark(stored, since, observed, records, run_ts, idle)
     healthy = True
@@ -141,39 +146,48 @@ def load_batch(
 
 
 def sync_modules(
-    store: Store, source: str, modules: Sequence[Module], run_id: str, run_ts: datetime,
-    *, idle: str = "hold",
+    store: Store,
+    source: str,
+    modules: Sequence[Module],
+    run_id: str,
+    run_ts: datetime,
+    *,
+    idle: str = "hold",
 ) -> list[Synced]:
     """Per module: read the mark, stage the delta, log changes, upsert, check, advance.
 
-    A module whose feed fails is skipped, or takes its records from its parent's
-    subform; the others go on. A failure after staging ends the run and is logged.
+    A module whose feed fails is skipped, or takes its records from the subform of its
+    parent's delta and its mark from the parent; the others go on. A failure after
+    staging ends the run and is logged.
     """
     results: list[Synced] = []
     parents = {m.subform_of for m in modules if m.subform_of}
-    raw_deltas: dict[str, DataFrame] = {}
+    deltas: dict[str, tuple[DataFrame, Synced]] = {}
     try:
         for module in modules:
             marks = store.mark(source, module.label, run_ts)
+            reached = None
             try:
                 raw = module.feed(marks[1])
                 if module.keeps_history or module.label in parents:
                     raw = store.stage(raw, f"{module.table}_raw")
                 staged = store.stage(for_loading(raw), module.table)
             except Exception as failure:  # a source may fail in any way
-                parent = raw_deltas.get(module.subform_of or "")
-                if parent is None:
+                if module.subform_of not in deltas:
                     logger.warning("skipping %s: %s", module.label, failure)
                     results.append(Synced(module.label, "skipped", error=str(failure)[:200]))
                     continue
                 logger.warning("%s taken from its parent's subform: %s", module.label, failure)
-                staged = store.stage(for_loading(module.subform(parent)), module.table)
-            raw_deltas[module.label] = raw
+                parent, parent_result = deltas[module.subform_of]
+                raw = module.subform(parent)
+                staged = store.stage(for_loading(raw), module.table)
+                reached = parent_result.watermark
             if module.keeps_history:
                 log_changes(store, raw, run_id, run_ts)
-            results.append(
-                load_batch(store, source, module, staged, marks, run_id, run_ts, idle)
-            )
+            result = load_batch(store, source, module, staged, marks, run_id, run_ts, idle, reached)
+            results.append(result)
+            if module.label in parents and result.records:
+                deltas[module.label] = raw, result
     except Exception as failure:
         log_run(store, source, "FAILED", results, run_ts, str(failure))
         raise

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
@@ -26,6 +27,8 @@ from tidemark.sinks.tables import append, drop_table
 from tidemark.sources.pages import feed_complete, unwrap_module_pages
 from tidemark.sources.tables import read_if_exists
 
+logger = logging.getLogger(__name__)
+
 
 def replace_table(store: Store, table: str, df: DataFrame, run_id: str) -> int:
     """Replace a table by a non-empty input; an empty one changes nothing."""
@@ -53,22 +56,36 @@ class RefreshSource:
 def refresh_objects(
     store: Store, feeds: RefreshSource, run_id: str, run_ts: datetime
 ) -> list[Synced]:
-    """Every object table anew; of the companies only those some deal names."""
+    """Every object table anew; of the companies only those some deal names.
+
+    Without deals or companies the run fails. The other tables stay as they were when
+    their feed fails.
+    """
     results: list[Synced] = []
 
-    def replace(label: str, table: str, df: DataFrame) -> None:
-        results.append(Synced(label, "replaced", replace_table(store, table, df, run_id)))
+    def replace(label: str, table: str, df: DataFrame) -> int:
+        records = replace_table(store, table, df, run_id)
+        results.append(Synced(label, "replaced" if records else "idle", records))
+        return records
+
+    def try_replace(label: str, table: str, feed: Callable[[], DataFrame]) -> None:
+        try:
+            replace(label, table, feed())
+        except Exception as failure:  # a source may fail in any way
+            logger.warning("skipping %s: %s", label, failure)
+            results.append(Synced(label, "skipped", error=str(failure)[:200]))
+
+    def owners() -> DataFrame:
+        return owners_with_names(feeds.owners(False), feeds.owners(True), strict=True)
 
     try:
-        replace("pipelines", "Pipelines", explode_stages(feeds.pipelines()))
-        owners = owners_with_names(feeds.owners(False), feeds.owners(True), strict=True)
-        replace("owners", "Owners", owners)
-        replace("deals", "Deals", feeds.deals())
-        deals = store.read("Deals")
-        if deals is not None:
+        try_replace("pipelines", "Pipelines", lambda: explode_stages(feeds.pipelines()))
+        try_replace("owners", "Owners", owners)
+        if replace("deals", "Deals", feeds.deals()):
+            deals = store.read("Deals")
             named = referenced_only(feeds.companies(), deals, "associated_company_ids")
             replace("companies", "Companies", named)
-        replace("line_items", "Line_Items", feeds.line_items())
+        try_replace("line_items", "Line_Items", feeds.line_items)
     except Exception as failure:
         log_refresh(store, "FAILED", results, run_ts, str(failure))
         raise

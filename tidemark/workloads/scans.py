@@ -11,7 +11,7 @@ from tidemark.operators.associations import lookup_by_ids
 from tidemark.operators.infer import typed_records
 from tidemark.operators.union import tagged_passes
 from tidemark.operators.watermark import WATERMARK_SCHEMA, point_lookup
-from tidemark.session import materialize, scratch
+from tidemark.session import materialize, scratch, shared_root
 from tidemark.sinks import tables as sinks
 from tidemark.sources.ndjson import load_ndjson
 from tidemark.sources.pages import (
@@ -356,10 +356,10 @@ def replace_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _database(spark: SparkSession) -> str:
-    name = f"tidemark_{uuid.uuid4().hex}"
-    sinks.ensure_database(spark, name, scratch(spark, "database"))
-    return name
+def _new_table(spark: SparkSession, name: str) -> str:
+    """An unused table name in the database of the checks."""
+    sinks.ensure_database(spark, "tidemark_checks", f"{shared_root(spark)}/tidemark_checks")
+    return f"tidemark_checks.{name}_{uuid.uuid4().hex}"
 
 
 @workload(
@@ -371,7 +371,7 @@ def _database(spark: SparkSession) -> str:
     """,
 )
 def ensure_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = f"{_database(spark)}.watermarks"
+    name = _new_table(spark, "watermarks")
     marks = event_marks(table(spark, sf_dir, "events"))
     for _ in range(2):
         sinks.ensure_table(spark, name, WATERMARK_SCHEMA, ["source"])
@@ -390,7 +390,7 @@ def ensure_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT count(*) AS rows_before, true AS existed, false AS exists_now FROM orders",
 )
 def drop_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    name = f"{_database(spark)}.old_orders"
+    name = _new_table(spark, "old_orders")
     table(spark, sf_dir, "orders").write.saveAsTable(name)
     rows = spark.table(name).count()
     existed = spark.catalog.tableExists(name)
