@@ -40,7 +40,7 @@ class Feed:
 
 
 def mark(store, module):
-    return store.mark("crm", module, T1)[0]
+    return store.marks("crm", [module], T1)[module][0]
 
 
 class TestModules:
@@ -181,7 +181,7 @@ def test_objects(spark, path):
     ]
     assert rows(store.read("Companies")) == [("a", "A"), ("b", "fresh")]
     assert rows(store.read("Owners").select("id", "fullName", "archived")) == [("1", "A", False), ("2", "A", True)]
-    assert store.mark("crm", "deals", T1)[0] == utc("2024-05-01T00:00:00")
+    assert mark(store, "deals") == utc("2024-05-01T00:00:00")
 
 
 def test_refresh_of_objects(spark, path):

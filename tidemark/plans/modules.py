@@ -20,7 +20,7 @@ from tidemark.operators.history import (
 from tidemark.operators.normalize import for_loading, loader_name
 from tidemark.operators.quality import check_min_rows, run_log_row
 from tidemark.operators.watermark import observed_watermark
-from tidemark.plans.store import Store, from_micros
+from tidemark.plans.store import Mark, Store, from_micros
 from tidemark.sinks.tables import append_missing
 from tidemark.sources.tables import read_if_exists
 
@@ -115,7 +115,7 @@ def load_batch(
     source: str,
     module: Module,
     staged: DataFrame,
-    marks: tuple[datetime | None, datetime],
+    mark: Mark,
     run_id: str,
     run_ts: datetime,
     idle: str,
@@ -127,8 +127,8 @@ def load_batch(
     """
     records, observed = batch_facts(staged, module.modified)
     observed = observed or reached
-    stored, since = marks
-    mark = next_mark(stored, since, observed, records, run_ts, idle)
+    stored, since = mark
+    new_mark = next_mark(stored, since, observed, records, run_ts, idle)
     healthy = True
     if records:
         names = [n for n in map(loader_name, module.modified) if n in staged.columns]
@@ -141,8 +141,9 @@ def load_batch(
         if not healthy:
             logger.warning("%s has %s rows", module.table, check["actual"])
     if records or stored is not None or idle == "now":
-        store.advance(source, module.label, mark, run_ts, run_id)
-    return Synced(module.label, "synced" if records else "idle", records, mark, healthy)
+        store.advance(source, module.label, new_mark, run_ts, run_id)
+    status = "synced" if records else "idle"
+    return Synced(module.label, status, records, new_mark, healthy)
 
 
 def sync_modules(
@@ -164,11 +165,12 @@ def sync_modules(
     parents = {m.subform_of for m in modules if m.subform_of}
     deltas: dict[str, tuple[DataFrame, Synced]] = {}
     try:
+        marks = store.marks(source, [m.label for m in modules], run_ts)
         for module in modules:
-            marks = store.mark(source, module.label, run_ts)
+            mark = marks[module.label]
             reached = None
             try:
-                raw = module.feed(marks[1])
+                raw = module.feed(mark[1])
                 if module.keeps_history or module.label in parents:
                     raw = store.stage(raw, f"{module.table}_raw")
                 staged = store.stage(for_loading(raw), module.table)
@@ -184,7 +186,7 @@ def sync_modules(
                 reached = parent_result.watermark
             if module.keeps_history:
                 log_changes(store, raw, run_id, run_ts)
-            result = load_batch(store, source, module, staged, marks, run_id, run_ts, idle, reached)
+            result = load_batch(store, source, module, staged, mark, run_id, run_ts, idle, reached)
             results.append(result)
             if module.label in parents and result.records:
                 deltas[module.label] = raw, result

@@ -59,12 +59,13 @@ def sync_objects(
 
     def delta(label: str, table: str, fetch: Callable[[datetime], DataFrame]) -> DataFrame:
         module = Module(label, table, fetch, OBJECT_MODIFIED)
-        marks = store.mark(source, label, run_ts)
-        staged = store.stage(for_loading(fetch(marks[1])), table)
-        results.append(load_batch(store, source, module, staged, marks, run_id, run_ts, idle))
+        mark = marks[label]
+        staged = store.stage(for_loading(fetch(mark[1])), table)
+        results.append(load_batch(store, source, module, staged, mark, run_id, run_ts, idle))
         return staged
 
     try:
+        marks = store.marks(source, ["deals", "companies", "line_items"], run_ts)
         whole("pipelines", "Pipelines", explode_stages(feeds.pipelines()), "stage_id")
         whole("owners", "Owners", owners_with_names(feeds.owners(False), feeds.owners(True)), "id")
         deals = delta("deals", "Deals", feeds.deals)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -21,6 +23,8 @@ from tidemark.sinks.snapshot import SnapshotTable
 from tidemark.sinks.tables import append
 from tidemark.sources.tables import read_if_exists
 
+Mark = tuple[datetime | None, datetime]
+
 
 @dataclass(frozen=True)
 class Store:
@@ -79,15 +83,25 @@ class Store:
         marks = self._marks().read()
         return self.spark.createDataFrame([], WATERMARK_SCHEMA) if marks is None else marks
 
-    def mark(
-        self, source: str, module: str, run_ts: datetime
-    ) -> tuple[datetime | None, datetime]:
-        """The stored mark, if any, and the time to read the module's delta from."""
-        row = get_watermark(self.watermarks(), source, module, run_ts).select(
-            F.unix_micros("stored").alias("stored"), F.unix_micros("since").alias("since")
+    def marks(self, source: str, modules: Sequence[str], run_ts: datetime) -> dict[str, Mark]:
+        """Each module's stored mark, if any, and the time to read its delta from; one
+        small job for all of them."""
+        marks = self.watermarks()
+        found = reduce(
+            DataFrame.unionByName,
+            [
+                get_watermark(marks, source, module, run_ts).select(
+                    F.lit(module).alias("module"),
+                    F.unix_micros("stored").alias("stored"),
+                    F.unix_micros("since").alias("since"),
+                )
+                for module in modules
+            ],
         )
-        found = row.first()
-        return from_micros(found["stored"]), from_micros(found["since"])
+        return {
+            row["module"]: (from_micros(row["stored"]), from_micros(row["since"]))
+            for row in found.collect()
+        }
 
     def advance(self, source: str, module: str, value: datetime, run_ts: datetime, run_id: str) -> None:
         marks = set_watermark(self.watermarks(), source, module, value, run_ts)
