@@ -87,6 +87,10 @@ class TestPartitioned:
         assert table.upsert(frame(spark, ("5", 50)).withColumn("extra", F.lit("x")), ["id"], by) == 1
         got = {r["id"]: (r["v"], r["extra"]) for r in table.read().collect()}
         assert len(got) == 20 and got["5"] == (50, "x") and got["6"] == (6, None)
+        # A delta without the newer column leaves it null on its rows, not on others.
+        assert table.upsert(frame(spark, ("6", 60)), ["id"], by) == 1
+        got = {r["id"]: (r["v"], r["extra"]) for r in table.read().collect()}
+        assert len(got) == 20 and got["5"] == (50, "x") and got["6"] == (60, None)
         assert table.upsert(frame(spark), ["id"], by) == 0
 
     def test_partition_values_stay_texts(self, spark, path):

@@ -34,12 +34,14 @@ def _unchanged(df: DataFrame) -> DataFrame:
 
 
 def history_state(records: DataFrame, *, key: str = "id", date: str = "Date") -> DataFrame:
-    """(id, amount, Revenue_date, Block_id, block_name) of raw records."""
+    """(id, amount, Revenue_date, Block_id, block_name) of raw records; a date that no
+    record has is null."""
     block_id, block_name = lookup_struct(records, "Parent_Id")
+    dated = quoted(date) if date in records.columns else F.lit(None)
     return records.select(
         quoted(key).cast("string").alias("id"),
         fuzzy_amount(records).alias("amount"),
-        quoted(date).cast("string").alias("Revenue_date"),
+        dated.cast("string").alias("Revenue_date"),
         block_id.alias("Block_id"),
         block_name.alias("block_name"),
     )

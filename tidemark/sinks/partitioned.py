@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.operators.upsert import upsert
-from tidemark.sources.tables import ABSENT
+from tidemark.sources.tables import read_if_exists
 
 PART = "__part"
 NO_VALUE = "__none"
+SCHEMA_LOG = "columns long, schema string"
 
 
 def key_bucket(keys: Sequence[str], buckets: int) -> Column:
@@ -20,32 +21,42 @@ def key_bucket(keys: Sequence[str], buckets: int) -> Column:
 
 
 class PartitionedTable:
-    """Parquet in one directory per partition value.
+    """Parquet in one directory per partition value, with its schema kept beside it.
 
     The value must be the same for a key for good (the month a record was created, a
     hash of the key): a row that changed partition would be there twice. An upsert
     replaces the directories its delta falls into, each as a whole when the job
-    commits; a repeated run gives the same rows.
+    commits; a repeated run gives the same rows. The files of untouched partitions may
+    lack newer columns; the kept schema says which there are, so that no reader has to
+    open every file to find out.
     """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
+        self.data, self.schemas = f"{self.path}/data", f"{self.path}/schemas"
 
-    def _stored(self) -> DataFrame | None:
+    def _schema(self) -> T.StructType | None:
+        """The kept schema, which only ever grows, so the widest is the newest."""
+        kept = read_if_exists(self.spark, self.schemas, SCHEMA_LOG, format="json")
+        if kept is None:
+            return None
+        newest = kept.agg(F.max_by("schema", "columns").alias("schema")).first()["schema"]
+        return None if newest is None else T.StructType.fromJson(json.loads(newest))
+
+    def _keep_schema(self, schema: T.StructType) -> None:
+        row = self.spark.range(1).select(
+            F.lit(len(schema)).cast("bigint").alias("columns"), F.lit(schema.json()).alias("schema")
+        )
+        row.coalesce(1).write.mode("append").json(self.schemas)
+
+    def _stored(self, schema: T.StructType) -> DataFrame | None:
         """The table with its partition values as the texts they were written as."""
-        reader = self.spark.read.option("mergeSchema", "true")
-        try:
-            found = reader.parquet(self.path).schema
-        except AnalysisException as e:
-            if e.getCondition() in ABSENT:
-                return None
-            raise
-        fields = [f for f in found.fields if f.name != PART]
-        schema = T.StructType([*fields, T.StructField(PART, T.StringType())])
-        return self.spark.read.schema(schema).parquet(self.path)
+        typed = T.StructType([*schema.fields, T.StructField(PART, T.StringType())])
+        return read_if_exists(self.spark, self.data, typed)
 
     def read(self) -> DataFrame | None:
-        stored = self._stored()
+        schema = self._schema()
+        stored = None if schema is None else self._stored(schema)
         return None if stored is None else stored.drop(PART)
 
     def upsert(
@@ -62,20 +73,16 @@ class PartitionedTable:
         The driver sees the delta's partition values, never its rows. The delta should be
         a written table, as it is read twice. ``apply`` may be ``upsert_newest``.
         """
+        kept = self._schema()
+        schema = grown(kept or T.StructType(), delta.schema)
         delta = delta.withColumn(PART, F.coalesce(by.cast("string"), F.lit(NO_VALUE)))
         touched = [row[PART] for row in delta.select(PART).distinct().collect()]
         if not touched:
             return 0
-        stored = self._stored()
+        if kept is None or len(schema) > len(kept):
+            self._keep_schema(schema)
+        stored = self._stored(schema)
         if stored is not None:
-            kinds = {f.name.lower(): f.dataType for f in stored.schema.fields}
-            clash = [
-                f.name
-                for f in delta.schema.fields
-                if kinds.get(f.name.lower(), f.dataType) != f.dataType
-            ]
-            if clash:
-                raise TypeError(f"column types differ from the stored ones: {clash}")
             stored = stored.filter(F.col(PART).isin(touched))
         (
             apply(stored, delta, keys, order)
@@ -83,6 +90,16 @@ class PartitionedTable:
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(PART)
-            .parquet(self.path)
+            .parquet(self.data)
         )
         return len(touched)
+
+
+def grown(kept: T.StructType, more: T.StructType) -> T.StructType:
+    """The kept schema with the columns it lacks; a column cannot change its type."""
+    kinds = {f.name.lower(): f.dataType for f in kept.fields}
+    clash = [f.name for f in more.fields if kinds.get(f.name.lower(), f.dataType) != f.dataType]
+    if clash:
+        raise TypeError(f"column types differ from the stored ones: {clash}")
+    new = [T.StructField(f.name, f.dataType) for f in more.fields if f.name.lower() not in kinds]
+    return T.StructType([*kept.fields, *new])
