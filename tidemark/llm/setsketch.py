@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import DoubleType
 
 from tidemark.llm import graph
 from tidemark.llm.columns import hidden, named, text_of
@@ -122,7 +123,7 @@ def _sets(k: int):
     return run
 
 
-@pandas_udf("double")
+@pandas_udf(DoubleType())
 def _likely(a: pd.Series, b: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
     def table(s: pd.Series) -> np.ndarray:
         return np.frombuffer(b"".join(s), dtype="<u2").reshape(len(s), -1)
