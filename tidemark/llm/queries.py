@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontamination, packing, quality, setsketch
+from tidemark.llm import chat, decontamination, extraction, licenses, lines, packing, quality, secrets, setsketch, sharding
+from tidemark.llm.oracles import ORACLES
+from tidemark.session import scratch
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -38,6 +40,46 @@ def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sharding.document_rows(table(spark, sf_dir, "documents")).select("doc_id", "size", "text_crc32", "text_group")
+    placed = sharding.sharded(spark, rows, "size", "text_group")
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        F.col("shard").cast("int").alias("shard"),
+        F.col("slot").cast("long").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op5_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extracted(table(spark, sf_dir, "pages"))
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.duplicate_lines(spark, table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "line_no", "first_doc_id", "first_line_no", "kept")
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, chat.USER, marks), (-1, 1, chat.ASSISTANT, marks)], told.schema)
+    path = public_tokenizers.path(VOCABULARY)
+    return chat.read_back(chat.formatted(told.unionByName(more), path), path)
+
+
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    found = licenses.licensed(spark, docs.select("text", path.alias("path")))
+    doc_id = F.regexp_extract("path", r"(\d+)\.txt$", 1).cast("long").alias("doc_id")
+    columns = ("header_licence", "header_score", "inherited_licence", "inherited_from", "licence")
+    return found.select(doc_id, "path", *columns)
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = decontamination.mark_leaks(spark, docs, table(spark, sf_dir, "benchmark"))
@@ -49,13 +91,32 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.findings(spark, table(spark, sf_dir, "documents"), scratch(spark, "secret-ledger"))
+    base = F.filter("spans", lambda s: s["kind"] < len(secrets.BASE))
+
+
+    def count_of(kind: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+
+    counts = [count_of(k).alias(f"n_{rule.kind}") for k, rule in enumerate(secrets.BASE)]
+    return found.select(
+        "doc_id", *counts, F.sha2(secrets.listed(base), 256).alias("base_sha256"), secrets.listed(F.col("spans")).alias("spans")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_packing,
         op2_quality,
         op3_near_duplicates,
+        op4_sharding,
+        op5_extraction,
+        op6_line_dedup,
+        op7_chat,
+        op8_licenses,
         op9_decontamination,
+        op10_secrets,
     )
 }
-ORACLES: dict[str, str] = {}
