@@ -202,12 +202,12 @@ def mark_leaks(
     """
     key = next((c for c in docs.columns if c.lower() == to.lower()), None)
     plain = docs if key is None else docs.drop(key)
-    out = plain.withColumn(to, F.array().cast(LEAKS))
     place = plain.columns.index(text)
+    out = plain.toDF(*[f"c{i}" for i in range(len(plain.columns))]).withColumn("found", F.array().cast(LEAKS))
     for index in _blocks(benchmark, item_id, item_text, block_bytes):
         block = spark.sparkContext.broadcast(vars(index))
         out = out.mapInArrow(_scan(block, place, percent), out.schema)
-    return out
+    return out.toDF(*plain.columns, to)
 
 
 def decontaminated(

@@ -43,7 +43,7 @@ COMMON = set("a all and any are by except file for free from in is may not of or
 TERM = r"[a-z0-9]+(?:\.[0-9]+)*"
 #: A line states a licence from this cosine on.
 LEAST = 0.7
-#: A file is a licence file by its name, or if its notices hold this share of its words, in percent.
+#: A file is a licence file by its name, or if the wording of notices makes up this share of its words, in percent.
 FILE_NAME = r"(?i)(^|/)(licen[cs]e|copying|unlicense)[^/]*$"
 FILE_PERCENT = 50
 
@@ -78,12 +78,15 @@ def term_weights(spark: SparkSession, files: DataFrame) -> DataFrame:
 
 
 def notices(spark: SparkSession, files: DataFrame, stage) -> DataFrame:
-    """(path, mark, line_no, licence, score, words) of every line that states a licence."""
+    """(key, mark, line_no, licence, score, words) of every line that states a licence;
+    ``words`` are those of the line that notices are made of."""
     words = F.array(*[F.lit(t) for t in vocabulary()])
-    lines = files.select("path", "mark", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = files.select("key", "mark", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lines = lines.withColumn("terms", terms_of(F.col("line")))
     lines = lines.where(F.size(F.array_intersect("terms", words)) > 0)
-    lines = lines.select("path", "mark", "line_no", "terms", F.regexp_count("line", F.lit(WORD)).alias("words"))
+    wording = F.array(*[F.lit(t) for t in [*vocabulary(), *sorted(COMMON)]])
+    lines = lines.withColumn("words", F.size(F.filter("terms", lambda t: F.array_contains(wording, t))))
+    lines = lines.select("key", "mark", "line_no", "terms", "words")
     idf = stage(term_weights(spark, files))
     model = spark.createDataFrame(
         [(n, licence, t, c) for n, licence, terms in templates() for t, c in terms.items()],
@@ -93,7 +96,7 @@ def notices(spark: SparkSession, files: DataFrame, stage) -> DataFrame:
     norms = model.groupBy("template").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"))
     model = stage(model.join(norms, "template").select("template", "licence", "term", (F.col("weight") / F.col("norm")).alias("unit")))
 
-    line = ["path", "mark", "line_no"]
+    line = ["key", "mark", "line_no"]
     counts = lines.select(*line, "words", F.explode("terms").alias("term"))
     counts = counts.groupBy(*line, "words", "term").agg(F.count("*").alias("tf")).join(idf, "term")
     counts = counts.withColumn("weight", F.col("tf") * F.col("idf"))
@@ -123,10 +126,11 @@ def licensed(spark: SparkSession, files: DataFrame, path: str = "path", text: st
     """
     stage = stage_in(spark, "licences")
     source = files.select(named(path).cast("string").alias("path"), text_of(text).alias("text"))
-    source = source.withColumn("mark", F.xxhash64("text"))
-    found = stage(notices(spark, source, stage).withColumn("key", F.coalesce(F.concat(F.lit("at "), "path"), F.lit("nowhere"))))
-    known = source.select("path", "mark", F.regexp_count("text", F.lit(WORD)).alias("n_words")).groupBy("path", "mark").agg(F.first("n_words").alias("n_words"))
-    known = stage(known.withColumn("key", F.coalesce(F.concat(F.lit("at "), "path"), F.lit("nowhere"))))
+    key = F.coalesce(F.concat(F.lit("at "), "path"), F.lit("nowhere"))
+    source = source.withColumns({"mark": F.xxhash64("text"), "key": key})
+    known = source.select("key", "path", "mark", F.regexp_count("text", F.lit(WORD)).alias("n_words"))
+    known = stage(known.groupBy("key", "path", "mark").agg(F.first("n_words").alias("n_words")))
+    found = notices(spark, source, stage)
 
     best = F.max(F.struct("score", "licence")).alias("best")
     headers = found.groupBy("key", "mark").agg(best, F.sum("words").alias("noticed"))
