@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
-from tidemark.operators.watermark import INITIAL_LOOKBACK, OVERLAP
+from tidemark.operators.watermark import BEGINNING, OVERLAP
 from tidemark.plans.config import DEFAULT_MODULES, MODULE_TABLES, refresh_table
 from tidemark.plans.modules import Module, history_path, sync_modules
 from tidemark.plans.objects import ObjectSource, sync_objects
@@ -57,7 +57,7 @@ class TestModules:
         assert rows(store.read("Deals").select("id", "Amount", "Parent_Id_id")) == [
             ("1", "5", "B1"), ("2", "7", "B1"), ("3", "1", "B1"),
         ]
-        assert feed.asked == [T0 - INITIAL_LOOKBACK, utc("2024-05-02T00:00:00") - OVERLAP]
+        assert feed.asked == [BEGINNING, utc("2024-05-02T00:00:00") - OVERLAP]
         assert mark(store, "Deals") == utc("2024-05-03T00:00:00")
         log = store.run_log().orderBy("started_at").select("source", "status", "records_processed").collect()
         assert [tuple(r) for r in log] == [("crm", "SUCCESS", 2)] * 2
@@ -146,7 +146,7 @@ class TestModules:
         sync_modules(store, "crm", [Module("Deals", "Deals", feed)], "r0", T0)
         store.reset("Deals", "fix")
         sync_modules(store, "crm", [Module("Deals", "Deals", feed)], "r1", T1)
-        assert feed.asked[1] == T1 - INITIAL_LOOKBACK
+        assert feed.asked[1] == BEGINNING
         assert store.read("Deals").count() == 1
 
 

@@ -102,11 +102,25 @@ class TestPartitioned:
             assert table.upsert(months, ["id"], F.col("m")) == 3
         assert rows(table.read()) == sorted([("a", 1, "01"), ("b", 2, "1"), ("c", 3, None)], key=repr)
 
-    def test_conflicting_types_are_refused(self, spark, path):
+    def test_types_stay_where_they_can(self, spark, path):
         table = PartitionedTable(spark, path)
-        table.upsert(frame(spark, ("a", 1)), ["id"], F.lit(0))
-        with pytest.raises(TypeError):
-            table.upsert(spark.createDataFrame([("a", "x")], "id string, v string"), ["id"], F.lit(0))
+        table.upsert(spark.createDataFrame([(str(i), 0.5, i) for i in range(9)], "id string, x double, n long"), ["id"], 4)
+        nulls = spark.createDataFrame([("1", 2, None)], "id string, x long, n string")
+        assert table.upsert(nulls, ["id"], 4) == 1
+        assert dict(table.read().dtypes) == {"id": "string", "x": "double", "n": "bigint"}
+        assert table.upsert(spark.createDataFrame([("2", 1.5, 2.5)], "id string, x double, n double"), ["id"], 4) == 1
+        assert dict(table.read().dtypes)["n"] == "double"
+        table.upsert(spark.createDataFrame([("3", "word")], "id string, x string"), ["id"], 4)
+        got = {r["id"]: (r["x"], r["n"]) for r in table.read().collect()}
+        assert dict(table.read().dtypes)["x"] == "string" and len(got) == 9
+        assert (got["0"], got["1"], got["2"], got["3"]) == (("0.5", 0.0), ("2.0", None), ("1.5", 2.5), ("word", None))
+
+    def test_a_key_may_not_move(self, spark, path):
+        table = PartitionedTable(spark, path)
+        table.upsert(frame(spark, ("a", 1), ("b", 2)), ["id"], F.col("v"))
+        table.upsert(frame(spark, ("a", 1), ("c", 2)), ["id"], F.col("v"))
+        with pytest.raises(ValueError, match="move"):
+            table.upsert(frame(spark, ("a", 2)), ["id"], F.col("v"))
 
 
 def test_route(spark, path):

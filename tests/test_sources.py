@@ -75,7 +75,10 @@ class TestModulePages:
             ([(1, True), (2, True)], False),
             ([(2, False)], False),
             ([(1, True), (3, False)], False),
-            ([(1, None)], True),
+            ([(1, None)], False),
+            ([(1, True), (2, None)], False),
+            ([(1, True), (None, False), (2, False)], False),
+            ([(None, True), (None, False)], True),
         ],
     )
     def test_completeness(self, spark, path, numbered, complete):

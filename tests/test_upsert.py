@@ -135,7 +135,7 @@ def test_common_types(spark):
     fields = {f.name: f.dataType for f in spark.sql(
         "SELECT 1 AS i, 1L AS l, 1.0F AS f, 1.0D AS d, 'x' AS s, true AS b, null AS n"
     ).schema}
-    pairs = {"il": "bigint", "fd": "double", "id": "string", "bi": "string", "ns": "string", "ln": "bigint"}
+    pairs = {"il": "bigint", "fd": "double", "id": "double", "bi": "string", "ns": "string", "ln": "bigint", "ld": "double", "if": "double"}
     for pair, wanted in pairs.items():
         assert common_type(fields[pair[0]], fields[pair[1]]).simpleString() == wanted
 

@@ -53,7 +53,7 @@ def as_utc(value: datetime) -> datetime:
 
 def time_literal(value: datetime, dtype: T.DataType) -> Column:
     """Literal of the column's own type, so that a comparison reaches the scan."""
-    text = as_utc(value).strftime("%Y-%m-%d %H:%M:%S.%f")
+    text = as_utc(value).replace(tzinfo=None).isoformat(sep=" ", timespec="microseconds")
     if isinstance(dtype, T.TimestampNTZType):
         return F.lit(text).cast("timestamp_ntz")
     if isinstance(dtype, T.TimestampType):

@@ -3,7 +3,9 @@
 The landing folder has one folder per feed, each holding pages as JSON lines. Modules are
 named by their label with underscores for spaces. Objects come as ``deals``,
 ``companies``, ``all_companies`` (optional, all of them), ``line_items``, ``pipelines``,
-``owners`` and ``owners_archived``.
+``owners`` and ``owners_archived``. Optional feeds are ``modules``, the source's own list
+of modules, by which labels are resolved, and ``deals_properties`` and
+``companies_properties``, by which hidden properties are left out.
 """
 
 from __future__ import annotations
@@ -11,15 +13,18 @@ from __future__ import annotations
 import argparse
 import uuid
 from collections.abc import Callable, Sequence
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import TimestampType
 
-from tidemark.functions.times import as_utc
+from tidemark.functions.times import as_utc, parse_iso_ts, time_literal
 from tidemark.operators.explode import PARENT_COLUMNS, subform_elements
 from tidemark.operators.filters import delta_filter
 from tidemark.operators.infer import typed_records
-from tidemark.plans.config import DEFAULT_MODULES, MODULE_TABLES, refresh_table
+from tidemark.operators.labels import discovered_names, resolve_labels, resolve_labels_exact
+from tidemark.operators.select import project_visible
+from tidemark.plans.config import DEFAULT_MODULES, MODULE_TABLES, REFRESH_LABELS, refresh_table
 from tidemark.plans.modules import Feed, Module, Synced, sync_modules
 from tidemark.plans.objects import ObjectSource, sync_objects
 from tidemark.plans.refresh import (
@@ -29,13 +34,17 @@ from tidemark.plans.refresh import (
     refresh_with_history,
 )
 from tidemark.plans.store import Store
+from tidemark.sinks.partitioned import BUCKETS
+from tidemark.sources.ndjson import MAX_BAD_RECORDS, BadRecordBudgetExceeded
 from tidemark.sources.pages import (
+    OBJECT_COLUMNS,
+    cursor_complete,
+    landed_records,
     property_names,
     read_object_pages,
     read_variant_pages,
     unwrap_line_items,
     unwrap_objects,
-    variant_records,
 )
 from tidemark.sources.tables import read_if_exists
 
@@ -50,35 +59,86 @@ OWNERS = "id: string, email: string, firstName: string, lastName: string, userId
 class Landing:
     """Feeds over a landing folder; schemaless records are staged before they are typed."""
 
-    def __init__(self, store: Store, path: str, run_id: str):
+    def __init__(
+        self,
+        store: Store,
+        path: str,
+        run_id: str,
+        lookback: timedelta | None = None,
+        obsolete: Sequence[str] = (),
+        buckets: int = BUCKETS,
+    ):
         self.store, self.spark = store, store.spark
+        self.lookback, self.obsolete, self.buckets = lookback, obsolete, buckets
         self.path, self.run_id = path.rstrip("/"), run_id
 
     def folder(self, name: str) -> str:
         return f"{self.path}/{name.replace(' ', '_')}"
 
-    def typed(self, pages: DataFrame, name: str) -> DataFrame:
-        landed = self.store.stage(variant_records(pages), f"{name}_landed")
-        records = typed_records(landed, "record")
+    def typed(self, pages: DataFrame, name: str, since: datetime | None = None) -> DataFrame:
+        """The pages' records, or those modified after ``since`` and those whose time
+        cannot be read. Only they are staged. Unreadable lines are quarantined; more than
+        the budget of them fail the feed."""
+        landed = landed_records(pages)
+        if since is not None:
+            stamp = parse_iso_ts(F.try_variant_get("record", "$.Modified_Time", "string"))
+            landed = landed.filter(stamp.isNull() | (stamp > time_literal(since, TimestampType())))
+        landed = self.store.stage(landed, f"{name}_landed")
+        unreadable = landed.filter(F.col("unreadable").isNotNull()).select("unreadable")
+        bad = unreadable.count()
+        if bad:
+            self.store.quarantine(unreadable, name, "unreadable", self.run_id)
+        if bad > MAX_BAD_RECORDS:
+            raise BadRecordBudgetExceeded(f"{bad} unreadable lines, {MAX_BAD_RECORDS} tolerated: {name}")
+        good = landed.filter(F.col("unreadable").isNull())
+        records = typed_records(good, "record", empty=("id", "Modified_Time"))
         return records if records.columns else self.spark.createDataFrame([], "id string")
 
-    def module(self, label: str) -> Feed:
+    def module(self, api_name: str) -> Feed:
         def feed(since: datetime) -> DataFrame:
-            pages = read_variant_pages(self.spark, self.folder(label))
-            records = self.typed(pages, label.replace(" ", "_"))
-            if "Modified_Time" not in records.columns:
-                return records
-            return delta_filter(records, "Modified_Time", since, inclusive=False)
+            pages = read_variant_pages(self.spark, self.folder(api_name))
+            return self.typed(pages, api_name.replace(" ", "_"), since)
 
         return feed
 
+    def catalog(self) -> DataFrame | None:
+        """The landed list of modules in its order, if there is one."""
+        entry = "api_name: string, plural_label: string, singular_label: string"
+        pages = read_if_exists(self.spark, self.folder("modules"), f"modules array<struct<{entry}>>", format="json")
+        if pages is None:
+            return None
+        return pages.select(F.posexplode("modules").alias("sequence", "m")).select("sequence", "m.*")
+
+    def names(self, labels: Sequence[str]) -> dict[str, str]:
+        """The api name of each label by the landed list of modules, else the label."""
+        catalog = self.catalog()
+        if catalog is None:
+            return {label: label for label in labels}
+        return {row["label"]: row["api_name"] for row in resolve_labels(catalog, labels).collect()}
+
     def subform(self, parents: DataFrame) -> DataFrame:
         elements = self.store.stage(subform_elements(parents), "subform_landed")
         return typed_records(elements, "element", PARENT_COLUMNS)
 
     def whole(self, name: str, *, companies: bool = False) -> DataFrame:
-        pages = read_object_pages(self.spark, self.folder(name))
-        return unwrap_objects(pages, property_names(pages), companies=companies)
+        pages = self.store.stage(read_object_pages(self.spark, self.folder(name)), f"{name}_landed")
+        objects = unwrap_objects(pages, property_names(pages), companies=companies)
+        entry = "struct<name: string, hidden: boolean>"
+        catalog = read_if_exists(
+            self.spark, self.folder(f"{name}_properties"), f"results array<{entry}>", format="json"
+        )
+        if catalog is None:
+            return objects
+        shown = catalog.selectExpr("inline(results)").unionByName(
+            self.spark.createDataFrame([(c, False) for c in OBJECT_COLUMNS], "name string, hidden boolean")
+        )
+        return project_visible(objects, shown)
+
+    def complete(self, name: str) -> bool:
+        """Did the cursor feed reach its end?"""
+        if name == "companies" and read_if_exists(self.spark, self.folder("all_companies"), format="text") is not None:
+            name = "all_companies"
+        return cursor_complete(read_object_pages(self.spark, self.folder(name))).first()["complete"]
 
     def objects(self, name: str, *, companies: bool = False) -> Feed:
         def feed(since: datetime) -> DataFrame:
@@ -112,18 +172,20 @@ class Landing:
 
 
 def modules(landing: Landing, source: str, at: datetime, idle: str) -> list[Synced]:
+    names = landing.names(list(MODULE_TABLES))
     specs = [
         Module(
             label,
             table,
-            landing.module(label),
+            landing.module(names[label]),
             keeps_history=label in HISTORY_MODULES,
             subform_of="Blocks" if label == "Site Splits" else None,
             subform=landing.subform,
+            partition_by=landing.buckets,
         )
         for label, table in MODULE_TABLES.items()
     ]
-    return sync_modules(landing.store, source, specs, landing.run_id, at, idle=idle)
+    return sync_modules(landing.store, source, specs, landing.run_id, at, idle=idle, lookback=landing.lookback)
 
 
 def objects(landing: Landing, source: str, at: datetime, idle: str) -> list[Synced]:
@@ -135,7 +197,7 @@ def objects(landing: Landing, source: str, at: datetime, idle: str) -> list[Sync
         all_companies=landing.all_companies,
         line_items=landing.line_items,
     )
-    return sync_objects(landing.store, source, feeds, landing.run_id, at, idle=idle)
+    return sync_objects(landing.store, source, feeds, landing.run_id, at, idle=idle, lookback=landing.lookback, partition_by=landing.buckets)
 
 
 def refresh_all_objects(landing: Landing, source: str, at: datetime, idle: str) -> list[Synced]:
@@ -145,6 +207,7 @@ def refresh_all_objects(landing: Landing, source: str, at: datetime, idle: str)
         deals=lambda: landing.whole("deals", companies=True),
         companies=landing.all_companies,
         line_items=landing.all_line_items,
+        complete=landing.complete,
     )
     return refresh_objects(landing.store, feeds, landing.run_id, at)
 
@@ -159,8 +222,13 @@ def refresh_all_modules(landing: Landing, source: str, at: datetime, idle: str)
             unwrap=lambda pages: landing.typed(pages, refresh_table(name)),
         )
 
-    specs = [spec(name) for name in DEFAULT_MODULES]
-    return refresh_with_history(landing.store, specs, landing.run_id, at)
+    catalog = landing.catalog()
+    names = list(DEFAULT_MODULES)
+    if catalog is not None:
+        names = discovered_names(resolve_labels_exact(catalog, REFRESH_LABELS), DEFAULT_MODULES)
+    return refresh_with_history(
+        landing.store, [spec(name) for name in names], landing.run_id, at, obsolete=landing.obsolete
+    )
 
 
 JOBS: dict[str, Callable[[Landing, str, datetime, str], list[Synced]]] = {
@@ -179,13 +247,18 @@ def main(argv: Sequence[str] | None = None) -> list[Synced]:
     parser.add_argument("--source", default="crm")
     parser.add_argument("--run-id", default=None)
     parser.add_argument("--at", default=None, help="run time, ISO-8601")
+    parser.add_argument("--lookback-days", type=int, default=None, help="reach of a first run; without it all is read")
+    parser.add_argument("--buckets", type=int, default=BUCKETS, help="key-hash partitions of a target, fixed with its first load")
+    parser.add_argument("--obsolete", action="append", default=[], help="a catalog table to drop after a refresh")
     parser.add_argument("--idle", choices=("hold", "now"), default="hold")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"tidemark-{args.job}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     at = as_utc(datetime.fromisoformat(args.at)) if args.at else datetime.now(timezone.utc)
     run_id = args.run_id or f"{at:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    landing = Landing(Store(spark, args.store.rstrip("/")), args.landing, run_id)
+    lookback = None if args.lookback_days is None else timedelta(days=args.lookback_days)
+    store = Store(spark, args.store.rstrip("/"))
+    landing = Landing(store, args.landing, run_id, lookback, args.obsolete, args.buckets)
     results = JOBS[args.job](landing, args.source, at, args.idle)
     for result in results:
         print(result)

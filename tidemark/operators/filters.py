@@ -19,7 +19,7 @@ def delta_filter(
     the scan; a text column has to be parsed first.
     """
     dtype = df.schema[modified].dataType
-    if isinstance(dtype, T.StringType):
+    if isinstance(dtype, (T.StringType, T.DateType)):
         column, bound = event_time(F.col(modified), dtype), time_literal(since, T.TimestampType())
     else:
         column, bound = F.col(modified), time_literal(since, dtype)

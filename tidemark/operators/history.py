@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -13,6 +13,7 @@ from tidemark.operators.filters import active_history
 from tidemark.operators.normalize import quoted
 from tidemark.operators.ranking import latest_per_key, spread_row_number
 from tidemark.operators.select import fuzzy_amount, lookup_struct
+from tidemark.operators.watermark import modified_time
 
 # Columns of the history table, and of a compared state.
 HISTORY_COLUMNS = (
@@ -26,16 +27,18 @@ HISTORY_COLUMNS = (
     "Type",
 )
 HISTORY_SCHEMA = ", ".join(f"{c} string" for c in HISTORY_COLUMNS)
+CHANGED = "__changed"
 STATE = ("amount", "Revenue_date", "Block_id", "block_name")
 
 
-def _unchanged(df: DataFrame) -> DataFrame:
-    return df
-
-
-def history_state(records: DataFrame, *, key: str = "id", date: str = "Date") -> DataFrame:
+def history_state(
+    records: DataFrame, *, key: str = "id", date: str = "Date", modified: Sequence[str] = ()
+) -> DataFrame:
     """(id, amount, Revenue_date, Block_id, block_name) of raw records; a date that no
-    record has is null."""
+    record has is null. ``modified`` names the columns that say when a record changed:
+    their time goes along, and of several versions of a record the newest counts."""
+    known = [m for m in modified if m in records.columns]
+    stamp = [modified_time(records, *known).alias(CHANGED)] if known else []
     block_id, block_name = lookup_struct(records, "Parent_Id")
     dated = quoted(date) if date in records.columns else F.lit(None)
     return records.select(
@@ -44,6 +47,7 @@ def history_state(records: DataFrame, *, key: str = "id", date: str = "Date") ->
         dated.cast("string").alias("Revenue_date"),
         block_id.alias("Block_id"),
         block_name.alias("block_name"),
+        *stamp,
     )
 
 
@@ -85,10 +89,12 @@ def _state(df: DataFrame, name: str, *extra: str) -> DataFrame:
 
 
 def _one_per_key(current: DataFrame) -> DataFrame:
-    """Rows with a key, each key once: copies of a record, however many, are reduced in
-    the map tasks. The joins that follow use the same partitioning and order."""
+    """Rows with a key, each key once: its newest version, and among equally new ones
+    that with the least hash. Copies of a record, however many, are reduced in the map
+    tasks. The joins that follow use the same partitioning and order."""
     given = current.filter(F.col("id").isNotNull())
-    return latest_per_key(given, ["id"], [F.xxhash64(*STATE)])
+    newest = [F.col(CHANGED).desc_nulls_last()] if CHANGED in current.columns else []
+    return latest_per_key(given, ["id"], [*newest, F.xxhash64(*STATE)])
 
 
 def _entries(rows: DataFrame, run_id: str, run_ts: datetime) -> DataFrame:
@@ -111,14 +117,16 @@ def _entries(rows: DataFrame, run_id: str, run_ts: datetime) -> DataFrame:
 def snapshot_diff(
     current: DataFrame, previous: DataFrame, run_id: str, run_ts: datetime
 ) -> DataFrame:
-    """History rows for the created and changed keys of a delta; no deletes.
+    """History rows for the created and changed keys of a delta; no deletes. A key last
+    logged as deleted is created anew.
 
     ``previous`` is first cut to the delta's keys, which for a small delta is a
     broadcast filter over the large side instead of a shuffle of it.
     """
     now = _state(_one_per_key(current), "now")
     touched = current.select("id").distinct()
-    was = _state(previous.join(touched, "id", "left_semi"), "was")
+    active = previous.filter(active_history(F.col("Type")))
+    was = _state(active.join(touched, "id", "left_semi"), "was")
     compared = now.join(was, "id", "left").select(
         "id",
         F.col("now").alias("row"),
@@ -133,16 +141,19 @@ def detect_deletes(current: DataFrame, previous: DataFrame) -> DataFrame:
     return active.join(current.select("id").distinct(), "id", "left_anti")
 
 
-def replacement_match(appeared: DataFrame, vanished: DataFrame) -> DataFrame:
+def replacement_match(
+    appeared: DataFrame, vanished: DataFrame, stage: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
     """(new_id, old_id): the i-th new row and the i-th vanished row of each
     (Block_id, Revenue_date) group, nulls equal. Every row is in at most one pair.
 
-    Rows are numbered slot by slot, so a group of any size is spread over tasks, and
-    the pairing joins on the number: one row meets one row.
+    Rows are numbered in the order of their ids, range by range, so a group of any size
+    is spread over tasks, and the pairing joins on the number: one row meets one row.
+    ``stage`` writes an intermediate table once.
     """
     group = F.struct("Block_id", "Revenue_date").alias("__group")
-    new = spread_row_number(appeared.select(F.col("id").alias("new_id"), group), "__group", "new_id", "__rn")
-    old = spread_row_number(vanished.select(F.col("id").alias("old_id"), group), "__group", "old_id", "__rn")
+    new = spread_row_number(appeared.select(F.col("id").alias("new_id"), group), "__group", "new_id", "__rn", stage)
+    old = spread_row_number(vanished.select(F.col("id").alias("old_id"), group), "__group", "old_id", "__rn", stage)
     return new.join(old, ["__group", "__rn"]).select("new_id", "old_id")
 
 
@@ -154,7 +165,7 @@ def snapshot_diff_full(
     *,
     deletes: bool = True,
     reseen: str = "create",
-    stage: Callable[[DataFrame], DataFrame] = _unchanged,
+    stage: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """History rows of a whole snapshot: created, changed, replaced and deleted keys.
 
@@ -187,7 +198,7 @@ def snapshot_diff_full(
     appeared = moved.filter(F.col("Type") == "appeared").drop("Type")
     vanished = moved.filter(F.col("Type") == "vanished").drop("Type")
     pairs = stage(
-        replacement_match(appeared.select("id", "row.*"), vanished.select("id", "row.*"))
+        replacement_match(appeared.select("id", "row.*"), vanished.select("id", "row.*"), stage)
     )
 
     def with_partner(rows: DataFrame, own: str, other: str, paired: Column, alone: str) -> DataFrame:

@@ -13,6 +13,8 @@ from tidemark.operators.normalize import loader_name, project_last
 
 # One bit per type; two bits set mean a conflict.
 BOOLEAN, INTEGER, FLOAT, STRING = 1, 2, 4, 8
+# A table of more columns is taken for a mistake.
+MAX_FIELDS = 10_000
 SPARK_TYPES = {BOOLEAN: "boolean", INTEGER: "bigint", FLOAT: "double"}
 
 
@@ -86,7 +88,9 @@ def flat_fields(records: DataFrame, record: str) -> DataFrame:
     )
 
 
-def typed_records(records: DataFrame, record: str, keep: Sequence[str] = ()) -> DataFrame:
+def typed_records(
+    records: DataFrame, record: str, keep: Sequence[str] = (), *, empty: Sequence[str] | None = None
+) -> DataFrame:
     """Columns for all fields that any record of a variant column has.
 
     Objects are flattened one level, names cleaned, types inferred over all records;
@@ -94,11 +98,15 @@ def typed_records(records: DataFrame, record: str, keep: Sequence[str] = ()) ->
     win over a field of their name. The driver reads the list of fields, never a
     record. ``records`` should be a written table, as it is read twice. Where the names
     of several fields become equal the last in name order that has a value wins; a
-    field only seen null gives way to one of its name with values.
+    field only seen null gives way to one of its name with values. A field that is null in
+    all records is text; given ``empty``, only the fields it names are kept, as a delta
+    cannot know their type.
     """
+    fields = flat_fields(records, record).limit(MAX_FIELDS + 1).collect()
+    if len(fields) > MAX_FIELDS:
+        raise ValueError(f"more than {MAX_FIELDS} different fields: does a feed use ids as field names?")
     found = sorted(
-        (row["key"], row["inner"] or "", row["inner"] is not None, row["bits"], row["type"])
-        for row in flat_fields(records, record).collect()
+        (row["key"], row["inner"] or "", row["inner"] is not None, row["bits"], row["type"]) for row in fields
     )
     objects = {key for key, _, nested, _, _ in found if nested}
     by_name: dict[str, list[tuple[str, int, Callable[[str], Column]]]] = {}
@@ -110,6 +118,8 @@ def typed_records(records: DataFrame, record: str, keep: Sequence[str] = ()) ->
     pairs = []
     for fields in by_name.values():
         bits = reduce(or_, (b for _, b, _ in fields))
+        if not bits and empty is not None and fields[-1][0] not in empty:
+            continue
         kind = SPARK_TYPES.get(bits, "string")
         values = [read(kind) for _, _, read in reversed(fields)]
         pairs.append((fields[-1][0], F.coalesce(*values)))

@@ -2,19 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _RANK = "__rank"
-_ORDER = "__order"
-_HOT = "__hot"
-_SLOT = "__slot"
+_RANGE = "__range"
 _BEFORE = "__before"
 
-# At most this many groups can each hold more than a 1 / HOT_GROUPS share of the rows.
-HOT_GROUPS = 10_000
-
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in the given order.
@@ -28,35 +23,22 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
 
 
 def spread_row_number(
-    df: DataFrame, group: str, key: str, name: str, *, hot_rows: int = 1_000_000, digits: int = 3
+    df: DataFrame, group: str, key: str, name: str, stage: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """Number the rows 1..n within each group, without one task sorting a huge group.
-
-    The order is (leading hex digits of the key's md5, key), the same for any
-    partitioning. A hot group is cut at those digits into ``16 ** digits`` slots: each
-    slot numbers its own rows, and the sizes of the slots before it, a small table,
-    shift the numbers. Hot means more than ``hot_rows`` rows and more than a
-    ten-thousandth of all, so that fewer than ten thousand groups can be hot and their
-    list may be broadcast. ``group`` is one never-null column; a struct serves for several.
+    """Number the rows 1..n within each group in the order of ``key``, without one task
+    sorting a huge group.
+
+    The rows are dealt by ranges of (group, key), whose bounds Spark draws from a sample,
+    so a group of any size lies in as many neighbouring ranges as it needs. Each range
+    numbers its own rows, and the group's counts in the ranges before, a small table,
+    shift the numbers. ``stage`` writes the dealt rows once, so that their range is the
+    same wherever it is read. Rows with equal group and key get numbers in any order.
+    ``group`` is one never-null column; a struct serves for several.
     """
-    sizes = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
-    share = df.agg(F.count(F.lit(1)) / HOT_GROUPS).scalar()
-    hot = sizes.filter((F.col("n") > hot_rows) & (F.col("n") > share))
-    hot = hot.select(group, F.lit(True).alias(_HOT))
-
-    ordered = df.withColumn(_ORDER, F.substring(F.md5(F.col(key).cast("string")), 1, digits))
-    slotted = ordered.join(F.broadcast(hot), group, "left").withColumn(
-        _SLOT, F.when(F.col(_HOT), F.col(_ORDER)).otherwise("")
-    )
-    within = Window.partitionBy(group, _SLOT).orderBy(_ORDER, key)
-    local = slotted.withColumn(_RANK, F.row_number().over(within))
-
-    earlier = Window.partitionBy(group).orderBy(_SLOT).rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        slotted.filter(F.col(_HOT))
-        .groupBy(group, _SLOT)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(group, _SLOT, F.sum("n").over(earlier).alias(_BEFORE))
-    )
-    number = F.coalesce(F.col(_BEFORE), F.lit(0)) + F.col(_RANK)
-    return local.join(shifts, [group, _SLOT], "left").select(*df.columns, number.alias(name))
+    dealt = stage(df.repartitionByRange(group, key).withColumn(_RANGE, F.spark_partition_id()))
+    counts = dealt.groupBy(group, _RANGE).agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy(group).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select(group, _RANGE, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(_BEFORE))
+    within = Window.partitionBy(group, _RANGE).orderBy(key)
+    ranked = dealt.join(shifts, [group, _RANGE]).withColumn(name, F.col(_BEFORE) + F.row_number().over(within))
+    return ranked.select(*df.columns, name)

@@ -11,15 +11,17 @@ from tidemark.operators.normalize import quoted
 
 
 def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
-    """Shared type of one column: equal, the wider of two integers or floats, or text."""
+    """Shared type of one column: equal, the wider of two integers or floats, a double
+    for an integer beside a float, or text."""
     if a == b:
         return a
-    for family in (
-        (T.ByteType, T.ShortType, T.IntegerType, T.LongType),
-        (T.FloatType, T.DoubleType),
-    ):
+    integers = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    floats = (T.FloatType, T.DoubleType)
+    for family in (integers, floats):
         if isinstance(a, family) and isinstance(b, family):
             return max(a, b, key=lambda t: family.index(type(t)))
+    if isinstance(a, integers + floats) and isinstance(b, integers + floats):
+        return T.DoubleType()
     if isinstance(a, T.NullType):
         return b
     if isinstance(b, T.NullType):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -12,6 +12,9 @@ from tidemark.functions.times import as_utc, event_time, time_literal
 INITIAL_LOOKBACK = timedelta(days=3650)
 OVERLAP = timedelta(minutes=15)
 
+# The time a first run without a lookback reads from.
+BEGINNING = datetime(1900, 1, 1, tzinfo=timezone.utc)
+
 WATERMARK_SCHEMA = T.StructType(
     [
         T.StructField("source", T.StringType(), False),
@@ -41,13 +44,14 @@ def get_watermark(
     run_ts: datetime,
     *,
     overlap: timedelta = OVERLAP,
-    lookback: timedelta = INITIAL_LOOKBACK,
+    lookback: timedelta | None = INITIAL_LOOKBACK,
 ) -> DataFrame:
     """One row: the stored mark, null before the first run, and the time to read from,
-    which is the mark less the overlap, else the reach of a first run."""
+    which is the mark less the overlap, else the reach of a first run. Without a
+    ``lookback`` a first run reads everything."""
     stored = marks.filter(_mine(source, module)).agg(F.max("last_synced_at").alias("stored"))
     reach = F.make_dt_interval(secs=F.lit(overlap.total_seconds()))
-    first = _instant(as_utc(run_ts) - lookback)
+    first = _instant(BEGINNING if lookback is None else as_utc(run_ts) - lookback)
     return stored.select("stored", F.coalesce(F.col("stored") - reach, first).alias("since"))
 
 
@@ -76,18 +80,19 @@ def reset_watermark(marks: DataFrame, module: str, source: str | None = None) ->
     return marks.filter(~dropped)
 
 
-def observed_watermark(df: DataFrame, *columns: str) -> Column:
-    """Aggregate: the newest time in a batch, per row the first given column with text.
-
-    Unreadable text is ignored.
-    """
+def modified_time(df: DataFrame, *columns: str) -> Column:
+    """Per row the time in the first given column with text; unreadable text is null."""
     times = []
     for name in columns:
         dtype = df.schema[name].dataType
         column = F.col(name)
         times.append(F.nullif(column, F.lit("")) if isinstance(dtype, T.StringType) else column)
-    first = F.coalesce(*times)
-    return F.max(event_time(first, df.schema[columns[0]].dataType))
+    return event_time(F.coalesce(*times), df.schema[columns[0]].dataType)
+
+
+def observed_watermark(df: DataFrame, *columns: str) -> Column:
+    """Aggregate: the newest time in a batch; unreadable text is ignored."""
+    return F.max(modified_time(df, *columns))
 
 
 def new_watermark(df: DataFrame, start: datetime, *columns: str) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.times import as_utc, offset_time
 from tidemark.operators.explode import explode_subform
+from tidemark.operators.filters import null_key
 from tidemark.operators.history import (
     HISTORY_SCHEMA,
     history_state,
@@ -19,8 +20,10 @@ from tidemark.operators.history import (
 )
 from tidemark.operators.normalize import for_loading, loader_name
 from tidemark.operators.quality import check_min_rows, run_log_row
-from tidemark.operators.watermark import observed_watermark
+from tidemark.operators.upsert import keep_last
+from tidemark.operators.watermark import modified_time, observed_watermark
 from tidemark.plans.store import Mark, Store, from_micros
+from tidemark.sinks.partitioned import BUCKETS
 from tidemark.sinks.tables import append_missing
 from tidemark.sources.tables import read_if_exists
 
@@ -38,9 +41,10 @@ class Module:
     feed: Feed
     modified: tuple[str, ...] = ("Modified_Time",)
     key: tuple[str, ...] = ("id",)
-    partition_by: Column | None = None
-    """For a large target: an expression over the staged columns that never changes for
-    a key, such as the month of creation. Only the partitions of a delta are rewritten."""
+    partition_by: Column | int | None = BUCKETS
+    """A number of key-hash buckets, or an expression over the staged columns that never
+    changes for a key, such as the month of creation: only the partitions of a delta are
+    rewritten. None writes the whole table anew in each run."""
     keeps_history: bool = False
     subform_of: str | None = None
     """Label of a module whose delta holds these records as a subform, for when the
@@ -56,17 +60,22 @@ class Synced:
     watermark: datetime | None = None
     healthy: bool = True
     error: str = ""
+    quarantined: int = 0
 
 
-def batch_facts(staged: DataFrame, modified: Sequence[str]) -> tuple[int, datetime | None]:
-    """Row count and newest time of a staged batch: one pass over one column.
+def batch_facts(
+    staged: DataFrame, modified: Sequence[str], keys: Sequence[str]
+) -> tuple[int, datetime | None, int]:
+    """Row count, newest time and rows without a key of a staged batch, in one pass.
 
     They are read from the written rows, which a lost executor cannot count twice.
     """
     names = [n for n in map(loader_name, modified) if n in staged.columns]
     newest = observed_watermark(staged, *names) if names else F.lit(None).cast("timestamp")
-    row = staged.agg(F.count(F.lit(1)).alias("n"), F.unix_micros(newest).alias("m")).first()
-    return row["n"], from_micros(row["m"])
+    keyed = all(k in staged.columns for k in keys)
+    lost = F.count_if(null_key(list(keys))) if keyed else F.lit(0)
+    row = staged.agg(F.count(F.lit(1)).alias("n"), F.unix_micros(newest).alias("m"), lost.alias("lost")).first()
+    return row["n"], from_micros(row["m"]), row["lost"]
 
 
 def next_mark(
@@ -88,13 +97,28 @@ def history_path(store: Store) -> str:
     return f"{store.root}/history/revenue_history"
 
 
-def log_changes(store: Store, records: DataFrame, run_id: str, run_ts: datetime) -> None:
+def newest_versions(raw: DataFrame, module: Module) -> DataFrame:
+    """Each key's newest version once, and all rows without a key. Target and history are
+    both made from it, so that they hold the same version."""
+    keys = list(module.key)
+    if any(k not in raw.columns for k in keys):
+        return raw
+    known = [m for m in module.modified if m in raw.columns]
+    newest = [modified_time(raw, *known)] if known else []
+    ties = F.xxhash64(F.to_json(F.struct("*")))
+    unkeyed = raw.filter(null_key(keys))
+    return keep_last(raw.filter(~null_key(keys)), keys, [*newest, ties]).unionByName(unkeyed)
+
+
+def log_changes(
+    store: Store, records: DataFrame, run_id: str, run_ts: datetime, modified: Sequence[str] = ()
+) -> None:
     """Append the creations and changes of a delta to the history table.
 
     The previous state is the last one logged. Action ids are stable, so a repeated run
     appends only what the first one did not get to.
     """
-    current = history_state(records)
+    current = history_state(records, modified=modified)
     history = read_if_exists(store.spark, history_path(store))
     if history is None:
         history = store.spark.createDataFrame([], HISTORY_SCHEMA)
@@ -125,14 +149,18 @@ def load_batch(
 
     ``reached`` is how far a batch goes whose rows carry no time of their own.
     """
-    records, observed = batch_facts(staged, module.modified)
+    records, observed, lost = batch_facts(staged, module.modified, module.key)
+    if lost:
+        unkeyed = staged.filter(null_key(list(module.key)))
+        store.quarantine(unkeyed, module.table, "no key", run_id)
+        logger.warning("%s rows of %s have no key and are quarantined", lost, module.table)
     observed = observed or reached
     stored, since = mark
     new_mark = next_mark(stored, since, observed, records, run_ts, idle)
     healthy = True
     if records:
         names = [n for n in map(loader_name, module.modified) if n in staged.columns]
-        order = [F.col(n) for n in names]
+        order = [modified_time(staged, *names)] if names else []
         store.upsert(
             module.table, staged, list(module.key), order, run_id, module.partition_by
         )
@@ -140,10 +168,10 @@ def load_batch(
         healthy = check["healthy"]
         if not healthy:
             logger.warning("%s has %s rows", module.table, check["actual"])
-    if records or stored is not None or idle == "now":
+    if new_mark != stored and (records or stored is not None or idle == "now"):
         store.advance(source, module.label, new_mark, run_ts, run_id)
     status = "synced" if records else "idle"
-    return Synced(module.label, status, records, new_mark, healthy)
+    return Synced(module.label, status, records, new_mark, healthy, quarantined=lost)
 
 
 def sync_modules(
@@ -154,30 +182,33 @@ def sync_modules(
     run_ts: datetime,
     *,
     idle: str = "hold",
+    lookback: timedelta | None = None,
 ) -> list[Synced]:
     """Per module: read the mark, stage the delta, log changes, upsert, check, advance.
 
     A module whose feed fails is skipped, or takes its records from the subform of its
     parent's delta and its mark from the parent; the others go on. A failure after
-    staging ends the run and is logged.
+    staging ends the run and is logged. Rows without a key are quarantined and counted.
     """
     results: list[Synced] = []
     parents = {m.subform_of for m in modules if m.subform_of}
     deltas: dict[str, tuple[DataFrame, Synced]] = {}
     try:
-        marks = store.marks(source, [m.label for m in modules], run_ts)
+        marks = store.marks(source, [m.label for m in modules], run_ts, lookback)
         for module in modules:
             mark = marks[module.label]
             reached = None
             try:
                 raw = module.feed(mark[1])
+                if module.keeps_history:
+                    raw = newest_versions(raw, module)
                 if module.keeps_history or module.label in parents:
                     raw = store.stage(raw, f"{module.table}_raw")
                 staged = store.stage(for_loading(raw), module.table)
             except Exception as failure:  # a source may fail in any way
                 if module.subform_of not in deltas:
                     logger.warning("skipping %s: %s", module.label, failure)
-                    results.append(Synced(module.label, "skipped", error=str(failure)[:200]))
+                    results.append(Synced(module.label, "skipped", error=str(failure)))
                     continue
                 logger.warning("%s taken from its parent's subform: %s", module.label, failure)
                 parent, parent_result = deltas[module.subform_of]
@@ -185,7 +216,7 @@ def sync_modules(
                 staged = store.stage(for_loading(raw), module.table)
                 reached = parent_result.watermark
             if module.keeps_history:
-                log_changes(store, raw, run_id, run_ts)
+                log_changes(store, raw, run_id, run_ts, module.modified)
             result = load_batch(store, source, module, staged, mark, run_id, run_ts, idle, reached)
             results.append(result)
             if module.label in parents and result.records:

@@ -5,9 +5,9 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.text import full_name
 from tidemark.operators.associations import association_catchup
@@ -17,6 +17,7 @@ from tidemark.operators.select import REQUIRED_PROPERTIES
 from tidemark.operators.union import tagged_passes
 from tidemark.plans.modules import Feed, Module, Synced, load_batch, log_run
 from tidemark.plans.store import Store
+from tidemark.sinks.partitioned import BUCKETS
 
 logger = logging.getLogger(__name__)
 
@@ -42,7 +43,15 @@ def owners_with_names(active: DataFrame, archived: DataFrame, *, strict: bool =
 
 
 def sync_objects(
-    store: Store, source: str, feeds: ObjectSource, run_id: str, run_ts: datetime, *, idle: str = "hold"
+    store: Store,
+    source: str,
+    feeds: ObjectSource,
+    run_id: str,
+    run_ts: datetime,
+    *,
+    idle: str = "hold",
+    lookback: timedelta | None = None,
+    partition_by: Column | int | None = BUCKETS,
 ) -> list[Synced]:
     """Metadata whole, then deals, companies with the ones the deals name, line items.
 
@@ -58,14 +67,14 @@ def sync_objects(
         results.append(Synced(label, "synced" if records else "idle", records))
 
     def delta(label: str, table: str, fetch: Callable[[datetime], DataFrame]) -> DataFrame:
-        module = Module(label, table, fetch, OBJECT_MODIFIED)
+        module = Module(label, table, fetch, OBJECT_MODIFIED, partition_by=partition_by)
         mark = marks[label]
         staged = store.stage(for_loading(fetch(mark[1])), table)
         results.append(load_batch(store, source, module, staged, mark, run_id, run_ts, idle))
         return staged
 
     try:
-        marks = store.marks(source, ["deals", "companies", "line_items"], run_ts)
+        marks = store.marks(source, ["deals", "companies", "line_items"], run_ts, lookback)
         whole("pipelines", "Pipelines", explode_stages(feeds.pipelines()), "stage_id")
         whole("owners", "Owners", owners_with_names(feeds.owners(False), feeds.owners(True)), "id")
         deals = delta("deals", "Deals", feeds.deals)

@@ -51,6 +51,8 @@ class RefreshSource:
     deals: Callable[[], DataFrame]
     companies: Callable[[], DataFrame]
     line_items: Callable[[], DataFrame]
+    complete: Callable[[str], bool] = lambda name: True
+    """Did the feed of deals, companies or line_items reach its end?"""
 
 
 def refresh_objects(
@@ -59,7 +61,7 @@ def refresh_objects(
     """Every object table anew; of the companies only those some deal names.
 
     Without deals or companies the run fails. The other tables stay as they were when
-    their feed fails.
+    their feed fails, and every table whose feed was cut does.
     """
     results: list[Synced] = []
 
@@ -68,12 +70,19 @@ def refresh_objects(
         results.append(Synced(label, "replaced" if records else "idle", records))
         return records
 
+    def cut(label: str) -> bool:
+        if feeds.complete(label):
+            return False
+        logger.warning("the feed of %s was cut, its table stays", label)
+        results.append(Synced(label, "incomplete", healthy=False))
+        return True
+
     def try_replace(label: str, table: str, feed: Callable[[], DataFrame]) -> None:
         try:
             replace(label, table, feed())
         except Exception as failure:  # a source may fail in any way
             logger.warning("skipping %s: %s", label, failure)
-            results.append(Synced(label, "skipped", error=str(failure)[:200]))
+            results.append(Synced(label, "skipped", error=str(failure)))
 
     def owners() -> DataFrame:
         return owners_with_names(feeds.owners(False), feeds.owners(True), strict=True)
@@ -81,11 +90,12 @@ def refresh_objects(
     try:
         try_replace("pipelines", "Pipelines", lambda: explode_stages(feeds.pipelines()))
         try_replace("owners", "Owners", owners)
-        if replace("deals", "Deals", feeds.deals()):
+        if not cut("deals") and replace("deals", "Deals", feeds.deals()) and not cut("companies"):
             deals = store.read("Deals")
             named = referenced_only(feeds.companies(), deals, "associated_company_ids")
             replace("companies", "Companies", named)
-        try_replace("line_items", "Line_Items", feeds.line_items)
+        if not cut("line_items"):
+            try_replace("line_items", "Line_Items", feeds.line_items)
     except Exception as failure:
         log_refresh(store, "FAILED", results, run_ts, str(failure))
         raise

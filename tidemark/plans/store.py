@@ -2,27 +2,28 @@
 
 from __future__ import annotations
 
+import logging
+import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.times import as_utc
 from tidemark.operators.upsert import upsert
-from tidemark.operators.watermark import (
-    WATERMARK_SCHEMA,
-    get_watermark,
-    reset_watermark,
-    set_watermark,
-)
+from tidemark.operators.watermark import WATERMARK_SCHEMA, get_watermark
 from tidemark.session import materialize
-from tidemark.sinks.partitioned import PartitionedTable
+from tidemark.sinks.partitioned import PartitionedTable, conformed
 from tidemark.sinks.snapshot import SnapshotTable
 from tidemark.sinks.tables import append
 from tidemark.sources.tables import read_if_exists
 
+logger = logging.getLogger(__name__)
+
+MARK_LOG = "source string, module string, last_synced_at long, updated_at long, run_id string, seq long"
+
 Mark = tuple[datetime | None, datetime]
 
 
@@ -65,32 +66,64 @@ class Store:
         keys: list[str],
         order: list[Column],
         run_id: str,
-        partition_by: Column | None = None,
+        partition_by: Column | int | None = None,
     ) -> None:
-        """Apply staged rows to a target: a new version of the whole, or, given a
-        partitioning, only the partitions the rows fall into."""
-        if partition_by is not None:
+        """Apply staged rows to a target: given a partitioning, only the partitions the
+        rows fall into are rewritten, else a new version of the whole is written. A table
+        that was begun whole stays so."""
+        target = self.target(name)
+        stored = target.read()
+        if partition_by is not None and stored is None:
             self.partitioned(name).upsert(staged, keys, partition_by, order)
             return
-        target = self.target(name)
-        target.publish(upsert(target.read(), staged, keys, order), run_id)
+        if stored is not None:
+            staged = conformed(staged, stored.schema)
+        target.publish(upsert(stored, staged, keys, order), run_id)
+
+    # Rows that cannot be loaded
+
+    def quarantine(self, rows: DataFrame, name: str, reason: str, run_id: str) -> int:
+        """Keep rows aside as JSON text with their table, reason and run; returns how many.
+
+        A repeated run writes its own rows again, in place of the first ones.
+        """
+        kept = rows.select(
+            F.lit(name).alias("table_name"), F.lit(reason).alias("reason"), F.lit(run_id).alias("run_id"),
+            F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("row"),
+        )
+        path = f"{self.root}/quarantine/{name}/{reason.replace(' ', '-')}/{run_id}"
+        return materialize(kept, path).count()
+
+    def quarantined(self) -> DataFrame | None:
+        schema = "table_name string, reason string, run_id string, row string"
+        there = read_if_exists(self.spark, f"{self.root}/quarantine/*/*/*", schema)
+        return there
 
     # Watermarks
 
     def watermarks(self) -> DataFrame:
-        """The stored marks. A table that cannot be read is an error, not an empty one:
-        the other modules' marks would be lost with the next write."""
-        marks = self._marks().read()
-        return self.spark.createDataFrame([], WATERMARK_SCHEMA) if marks is None else marks
+        """The stored marks: of each module the highest one appended since its last reset."""
+        log = read_if_exists(self.spark, self._mark_log, MARK_LOG, format="json")
+        if log is None:
+            return self.spark.createDataFrame([], WATERMARK_SCHEMA)
+        resets = log.filter("source is null").groupBy("module").agg(F.max("seq").alias("reset"))
+        since = log.filter("source is not null").join(resets, "module", "left").filter("reset is null or seq > reset")
+        newest = since.groupBy("source", "module").agg(
+            F.max("last_synced_at").alias("last_synced_at"), F.max("updated_at").alias("updated_at")
+        )
+        return newest.select("source", "module", *[F.timestamp_micros(c).alias(c) for c in ("last_synced_at", "updated_at")])
 
-    def marks(self, source: str, modules: Sequence[str], run_ts: datetime) -> dict[str, Mark]:
+    def marks(
+        self, source: str, modules: Sequence[str], run_ts: datetime, lookback: timedelta | None = None
+    ) -> dict[str, Mark]:
         """Each module's stored mark, if any, and the time to read its delta from; one
-        small job for all of them."""
+        small job for all of them. Without a ``lookback`` a first run reads everything."""
+        logger.info("first runs read %s", "everything" if lookback is None else f"the last {lookback}")
         marks = self.watermarks()
         found = reduce(
             DataFrame.unionByName,
             [
-                get_watermark(marks, source, module, run_ts).select(
+                get_watermark(marks, source, module, run_ts, lookback=lookback).select(
                     F.lit(module).alias("module"),
                     F.unix_micros("stored").alias("stored"),
                     F.unix_micros("since").alias("since"),
@@ -104,14 +137,29 @@ class Store:
         }
 
     def advance(self, source: str, module: str, value: datetime, run_ts: datetime, run_id: str) -> None:
-        marks = set_watermark(self.watermarks(), source, module, value, run_ts)
-        self._marks().publish(marks, f"{run_id}/{source}/{module}")
+        """Append a mark; as the highest counts, none moves back."""
+        self._append_mark(source, module, value, run_ts, run_id)
 
     def reset(self, module: str, run_id: str) -> None:
-        self._marks().publish(reset_watermark(self.watermarks(), module), f"{run_id}/reset/{module}")
+        """Forget a module's marks: its next run starts anew."""
+        self._append_mark(None, module, None, datetime.now(timezone.utc), run_id)
+
+    def _append_mark(
+        self, source: str | None, module: str, value: datetime | None, run_ts: datetime, run_id: str
+    ) -> None:
+        row = self.spark.range(1).select(
+            F.lit(source).cast("string").alias("source"),
+            F.lit(module).alias("module"),
+            F.lit(to_micros(value)).cast("bigint").alias("last_synced_at"),
+            F.lit(to_micros(run_ts)).cast("bigint").alias("updated_at"),
+            F.lit(run_id).alias("run_id"),
+            F.lit(time.time_ns()).cast("bigint").alias("seq"),
+        )
+        row.coalesce(1).write.mode("append").json(self._mark_log)
 
-    def _marks(self) -> SnapshotTable:
-        return self._snapshot("meta/watermarks")
+    @property
+    def _mark_log(self) -> str:
+        return f"{self.root}/meta/marks"
 
     # Run log
 
@@ -122,6 +170,12 @@ class Store:
         return read_if_exists(self.spark, f"{self.root}/meta/load_log")
 
 
+def to_micros(value: datetime | None) -> int | None:
+    if value is None:
+        return None
+    return (as_utc(value) - datetime(1970, 1, 1, tzinfo=timezone.utc)) // timedelta(microseconds=1)
+
+
 def from_micros(micros: int | None) -> datetime | None:
     """Aware UTC datetime, whatever the time zone of the driver."""
     if micros is None:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.arrays import association_ids, first_association
 from tidemark.operators.select import promote_properties
@@ -21,6 +21,9 @@ _OBJECT = (
 )
 OBJECT_PAGE = f"results array<{_OBJECT}>, paging struct<next: struct<after: string>>"
 
+# A table of more columns is taken for a mistake.
+MAX_PROPERTIES = 10_000
+
 # The properties read of a line item.
 LINE_ITEM_PROPERTIES = (
     "name",
@@ -43,7 +46,14 @@ def property_names(pages: DataFrame) -> list[str]:
     """Every property name the pages mention: the columns of the table to come."""
     objects = pages.select(F.explode("results").alias("r"))
     names = objects.select(F.explode(F.map_keys("r.properties")).alias("name")).distinct()
-    return sorted(row["name"] for row in names.collect())
+    found = names.limit(MAX_PROPERTIES + 1).collect()
+    if len(found) > MAX_PROPERTIES:
+        raise ValueError(f"more than {MAX_PROPERTIES} different properties")
+    return sorted(row["name"] for row in found)
+
+
+#: Columns of an object beside its properties.
+OBJECT_COLUMNS = ("id", "createdAt", "updatedAt", "archived", "associated_company_ids")
 
 
 def unwrap_objects(
@@ -85,21 +95,37 @@ def read_module_pages(spark: SparkSession, path: str, record: T.StructType) -> D
         [
             T.StructField("page", T.LongType()),
             T.StructField("data", T.ArrayType(record)),
-            T.StructField("info", T.StructType([T.StructField("more_records", T.BooleanType())])),
+            T.StructField(
+                "info",
+                T.StructType(
+                    [T.StructField("more_records", T.BooleanType()), T.StructField("page", T.LongType())]
+                ),
+            ),
+            T.StructField("unreadable", T.StringType()),
         ]
     )
-    return spark.read.schema(page).json(path)
+    read = spark.read.schema(page).option("columnNameOfCorruptRecord", "unreadable").json(path)
+    return read.withColumn("page", F.coalesce("page", "info.page"))
 
 
 def read_variant_pages(spark: SparkSession, path: str) -> DataFrame:
-    """Module pages whose records have no schema: ``data`` is a variant array."""
+    """Module pages whose records have no schema: ``data`` is a variant array.
+
+    The page number stands at the top or in ``info``. A line that is no JSON is kept
+    whole in ``unreadable``.
+    """
     page = F.try_parse_json("value")
+
+    def number(place: str) -> Column:
+        return F.try_variant_get(page, place, "bigint")
+
     return spark.read.text(path).select(
-        F.try_variant_get(page, "$.page", "bigint").alias("page"),
+        F.coalesce(number("$.page"), number("$.info.page")).alias("page"),
         F.try_variant_get(page, "$.data", "variant").alias("data"),
         F.struct(
             F.try_variant_get(page, "$.info.more_records", "boolean").alias("more_records")
         ).alias("info"),
+        F.when(page.isNull() & (F.trim("value") != ""), F.col("value")).alias("unreadable"),
     )
 
 
@@ -109,6 +135,15 @@ def variant_records(pages: DataFrame) -> DataFrame:
     return pages.select("data").lateralJoin(each).select(F.col("value").alias("record"))
 
 
+def landed_records(pages: DataFrame) -> DataFrame:
+    """(record, unreadable): one row per element of the pages' data, and per line that is
+    no JSON; read from the pages in one pass."""
+    each = pages.sparkSession.tvf.variant_explode_outer(F.col("data").outer())
+    rows = pages.select("data", "unreadable").lateralJoin(each)
+    found = F.col("value").isNotNull() | F.col("unreadable").isNotNull()
+    return rows.filter(found).select(F.col("value").alias("record"), "unreadable")
+
+
 def unwrap_module_pages(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode("data").alias("r")).select("r.*")
 
@@ -116,20 +151,33 @@ def unwrap_module_pages(pages: DataFrame) -> DataFrame:
 def feed_complete(pages: DataFrame) -> DataFrame:
     """One row: did the fetch reach its last page, and is no page before it missing?
 
-    Pages without numbers are complete when one of them announces no further page. A
-    cut feed must not be taken for deletions.
+    Only a page that says so is the last one; a line that could not be read makes the
+    feed incomplete, as do unnumbered pages among numbered ones. Pages without numbers
+    are complete when one of them announces no further page. A cut feed must not be
+    taken for deletions.
     """
-    more = F.coalesce(F.col("info.more_records"), F.lit(False))
+    more = F.col("info.more_records")
+    lost = F.col("unreadable").isNotNull() if "unreadable" in pages.columns else F.lit(False)
     facts = pages.agg(
         F.max("page").alias("last_page"),
         F.count_distinct("page").alias("pages"),
         F.max_by(more, "page").alias("more"),
         F.bool_or(~more).alias("ended"),
+        F.bool_or(lost | (F.col("page").isNull() & more.isNull())).alias("lost"),
+        F.count_if(F.col("page").isNull()).alias("unnumbered"),
     )
-    numbered = ~F.col("more") & (F.col("pages") == F.col("last_page"))
-    unnumbered = F.coalesce(F.col("ended"), F.lit(False))
-    return facts.select(
-        "last_page",
-        "pages",
-        F.when(F.col("last_page").isNull(), unnumbered).otherwise(numbered).alias("complete"),
+    whole = (F.col("more") == F.lit(False)) & (F.col("pages") == F.col("last_page")) & (F.col("unnumbered") == 0)
+    complete = F.when(F.col("last_page").isNull(), F.col("ended")).otherwise(whole) & ~F.col("lost")
+    return facts.select("last_page", "pages", F.coalesce(complete, F.lit(False)).alias("complete"))
+
+
+def cursor_complete(pages: DataFrame) -> DataFrame:
+    """One row: does a cursor feed end, that is, have a page without a next cursor?
+
+    A line that could not be read has no results and makes the feed incomplete; so does
+    a feed without pages.
+    """
+    read = F.col("results").isNotNull()
+    return pages.agg(
+        F.coalesce(F.bool_or(read & F.col("paging.next.after").isNull()) & F.bool_and(read), F.lit(False)).alias("complete")
     )

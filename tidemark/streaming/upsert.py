@@ -22,7 +22,7 @@ def stream_upsert(
     name: str,
     checkpoint: str,
     staging: str,
-    partition_by: Column | None = None,
+    partition_by: Column | int | None = None,
 ) -> StreamingQuery:
     """Upsert every micro-batch of a stream into a target, then stop when none is left.
 

@@ -143,6 +143,7 @@ _STATES = """
       FROM orders WHERE o_orderpriority <> '5-LOW'),
     active AS (SELECT * FROM previous WHERE type <> 'Delete')
 """
+# Keys logged as deleted and seen again are created anew.
 _ENTRY = """
     SELECT 'A' || sha256('run-1' || chr(31) || id || chr(31) || type) AS action_id,
            '2024-06-01 17:30:00' AS action_timestamp, block AS "Block_id", id AS revenue_id,
@@ -235,7 +236,7 @@ def latest_history_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     _STATES
     + ", entries AS (SELECT * FROM (SELECT c.id, c.block, c.name, c.date, c.amount,"
     + f" CASE WHEN p.id IS NULL THEN 'Create' ELSE {_CHANGE} END AS type"
-    + " FROM current c LEFT JOIN previous p USING (id)) WHERE type <> '')"
+    + " FROM current c LEFT JOIN active p USING (id)) WHERE type <> '')"
     + _ENTRY,
 )
 def snapshot_diff_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,10 +258,10 @@ _PAIRS = """
     vanished AS (SELECT * FROM active WHERE id NOT IN (SELECT id FROM current)),
     pairs AS (
       SELECT n.id AS new_id, o.id AS old_id FROM
-        (SELECT *, row_number() OVER (PARTITION BY block, date ORDER BY substr(md5(id), 1, 3), id) AS rn
+        (SELECT *, row_number() OVER (PARTITION BY block, date ORDER BY id) AS rn
          FROM appeared) n
         JOIN
-        (SELECT *, row_number() OVER (PARTITION BY block, date ORDER BY substr(md5(id), 1, 3), id) AS rn
+        (SELECT *, row_number() OVER (PARTITION BY block, date ORDER BY id) AS rn
          FROM vanished) o
         ON n.block IS NOT DISTINCT FROM o.block AND n.date IS NOT DISTINCT FROM o.date AND n.rn = o.rn)
 """
@@ -271,7 +272,7 @@ def replacement_match_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     current, previous = _sides(spark, sf_dir)
     active = previous.filter(active_history(F.col("Type")))
     appeared = current.join(active.select("id"), "id", "left_anti")
-    return replacement_match(appeared, detect_deletes(current, previous))
+    return replacement_match(appeared, detect_deletes(current, previous), stage_in(spark, "pairs"))
 
 
 _FULL = (

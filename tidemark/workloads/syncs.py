@@ -12,11 +12,15 @@ from tidemark.plans.modules import Module, history_path, sync_modules
 from tidemark.plans.objects import ObjectSource, sync_objects
 from tidemark.plans.refresh import PagedModule, RefreshSource, refresh_objects, refresh_with_history
 from tidemark.plans.store import Store
-from tidemark.session import scratch
+from tidemark.operators.watermark import INITIAL_LOOKBACK
+from tidemark.session import materialize, scratch
+from tidemark.sinks.partitioned import PartitionedTable
 from tidemark.sinks.snapshot import SnapshotTable
 from tidemark.sources.pages import (
+    feed_complete,
     read_module_pages,
     read_object_pages,
+    read_variant_pages,
     unwrap_line_items,
     unwrap_objects,
 )
@@ -310,7 +314,7 @@ def sync_objects_query(spark: SparkSession, sf_dir: str) -> DataFrame:
             unwrap_line_items(read_object_pages(spark, items)), "lastmodifieddate", since
         ),
     )
-    sync_objects(store, "crm", feeds, "run-0", now)
+    sync_objects(store, "crm", feeds, "run-0", now, lookback=INITIAL_LOOKBACK)
     marks = _rows(store.watermarks(), "watermark", F.col("module"), F.col("last_synced_at"))
     return _object_tables(store).unionByName(marks)
 
@@ -441,3 +445,129 @@ def stream_upsert_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     query.awaitTermination()
     return target.read()
+
+
+@workload(
+    "stream_upsert_partitioned",
+    """
+    SELECT user_id, event_id, ts, event_type, value FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+    WHERE rn = 1
+    """,
+)
+def stream_upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same stream into a table of key buckets, of which a batch rewrites only its own."""
+    root = scratch(spark, "stream")
+    events = table(spark, sf_dir, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    events.repartition(4, "event_id").write.parquet(f"{root}/landing")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/landing")
+    target = PartitionedTable(spark, f"{root}/target")
+    query = stream_upsert(
+        stream,
+        target,
+        ["user_id"],
+        [F.col("ts"), F.col("event_id")],
+        name=f"upsert_{root.rsplit('-', 1)[-1]}",
+        checkpoint=f"{root}/checkpoint",
+        staging=f"{root}/staging",
+        partition_by=8,
+    )
+    query.awaitTermination()
+    return target.read()
+
+
+@workload(
+    "upsert_partitioned",
+    """
+    SELECT o_orderkey, o_orderdate,
+           CASE WHEN o_orderkey % 10 = 3 AND o_orderdate >= TIMESTAMP '1998-06-01'
+                THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+           (SELECT count(DISTINCT date_trunc('month', o_orderdate)) FROM orders
+            WHERE o_orderkey % 10 = 3 AND o_orderdate >= TIMESTAMP '1998-06-01') AS rewritten
+    FROM orders
+    """,
+)
+def upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delta of the last months into a table partitioned by month: only its months are
+    rewritten, which the result counts."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
+    target = PartitionedTable(spark, f"{scratch(spark, 'partitioned')}/orders")
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    target.upsert(orders, ["o_orderkey"], month)
+    late = (F.col("o_orderdate") >= F.lit("1998-06-01").cast("timestamp_ntz")) & (F.col("o_orderkey") % 10 == 3)
+    delta = orders.filter(late).withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    rewritten = target.upsert(delta, ["o_orderkey"], month)
+    return target.read().withColumn("rewritten", F.lit(rewritten).cast("bigint"))
+
+
+@workload(
+    "upsert_drift",
+    """
+    SELECT layout, c_custkey AS id, CASE WHEN c_custkey % 5 = 0 THEN 2.0 ELSE c_acctbal END AS balance,
+           CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_nationkey END AS nation,
+           CASE WHEN c_custkey % 5 = 0 THEN 'word' ELSE (c_custkey % 100)::VARCHAR END AS code
+    FROM customer, (VALUES ('whole'), ('partitioned')) AS t(layout)
+    """,
+)
+def upsert_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delta with an integer for a float, a column of nulls only, and text for a number."""
+    stored = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("id"),
+        F.col("c_acctbal").alias("balance"),
+        F.col("c_nationkey").cast("int").alias("nation"),
+        (F.col("c_custkey") % 100).alias("code"),
+    )
+    drifted = stored.filter(F.col("id") % 5 == 0).select(
+        "id", F.lit(2).cast("bigint").alias("balance"), F.lit(None).cast("string").alias("nation"), F.lit("word").alias("code")
+    )
+    store = Store(spark, scratch(spark, "drift"))
+    for run, staged in enumerate((store.stage(stored, "stored"), store.stage(drifted, "drifted"))):
+        store.upsert("whole", staged, ["id"], [], f"run-{run}")
+        store.upsert("partitioned", staged, ["id"], [], f"run-{run}", partition_by=4)
+
+    def read(name: str) -> DataFrame:
+        return store.read(name).select(F.lit(name).alias("layout"), "id", "balance", "nation", "code")
+
+    return read("whole").unionByName(read("partitioned"))
+
+
+@workload(
+    "feed_completeness",
+    """
+    SELECT feed, feed IN ('whole', 'numbered_in_info', 'unnumbered') AS complete
+    FROM (VALUES ('whole'), ('numbered_in_info'), ('unnumbered'), ('cut'), ('gap'), ('broken'), ('silent')) AS t(feed)
+    WHERE (SELECT count(*) FROM supplier) > 0
+    """,
+)
+def feed_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds of the suppliers' pages: whole, cut, with a page or a line missing, and with
+    a last page that does not say that it is the last."""
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    number = (F.col("s_suppkey") / 4).cast("bigint")
+    last = suppliers.agg(F.max(number).alias("last")).first()["last"] + 2
+    paged = suppliers.groupBy((number + 1).alias("page")).agg(F.collect_list(F.struct("s_suppkey", "s_name")).alias("data"))
+    # Pages of four, then an empty last one.
+    paged = paged.unionByName(spark.createDataFrame([(last, [])], paged.schema))
+    paged = materialize(paged.withColumn("more", F.col("page") < last), scratch(spark, "pages"))
+    page, more = F.col("page").alias("page"), F.col("more").alias("more_records")
+    top = F.struct(page, "data", F.struct(more).alias("info"))
+    feeds = {
+        "whole": paged.select(top.alias("j")),
+        "numbered_in_info": paged.select(F.struct("data", F.struct(page, more).alias("info")).alias("j")),
+        "unnumbered": paged.select(F.struct("data", F.struct(more).alias("info")).alias("j")),
+        "cut": paged.filter("more").select(top.alias("j")),
+        "gap": paged.filter("page <> 1").select(top.alias("j")),
+        "broken": paged.select(top.alias("j")),
+        "silent": paged.select(
+            F.struct(page, "data", F.struct(F.when(F.col("more"), True).alias("more_records")).alias("info")).alias("j")
+        ),
+    }
+    found = []
+    for name, rows in feeds.items():
+        path = scratch(spark, f"feed-{name}")
+        lines = rows.select(F.to_json("j").alias("value"))
+        if name == "broken":
+            lines = lines.unionByName(spark.createDataFrame([("{broken",)], "value string"))
+        lines.write.text(path)
+        found.append(feed_complete(read_variant_pages(spark, path)).select(F.lit(name).alias("feed"), "complete"))
+    return reduce(DataFrame.unionByName, found)
