@@ -106,8 +106,26 @@ FROM d LEFT JOIN listed USING (r)
 """
 
 
+_CHAT_MARK = r"""'([\[<])(\\*)(/?(?:INST|TEXT|ROLE)\]|/?s>)', '\1\\\2\3', 'g'"""
+_CHAT = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+), e AS (
+  SELECT *, length(regexp_replace(text, {_CHAT_MARK})) AS n,
+    length(regexp_replace(role, {_CHAT_MARK})) AS role_n, chr(10) AS br FROM c
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || br || text || br, '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(CASE role WHEN 'user' THEN 13 + n WHEN 'assistant' THEN 7 + n ELSE 19 + role_n + n END) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
 ORACLES: dict[str, str] = {
     "op2_quality": _quality(),
     "op3_near_duplicates": _NEAR,
+    "op7_chat": _CHAT,
     "op10_secrets": _secrets(),
 }
