@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import quality, secrets
+from tidemark.llm import licenses, quality, secrets
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _DOCS = "SELECT doc_id, coalesce(text, '') AS text FROM documents"
@@ -123,9 +123,58 @@ FROM e GROUP BY conv_id
 """
 
 
+def _licenses() -> str:
+    model = ", ".join(
+        f"({n}, {_regex(name)}, {_regex(t)}, {c})" for n, name, terms in licenses.templates() for t, c in terms.items()
+    )
+    wording = ", ".join(f"({_regex(t)})" for t in sorted(licenses.COMMON))
+    return f"""
+WITH f AS (
+  SELECT DISTINCT concat_ws('/', source, lang, doc_id || '.txt') AS path, doc_id, coalesce(text, '') AS text FROM documents
+), model AS (SELECT * FROM (VALUES {model}) AS t(template, licence, term, n)),
+term AS (SELECT DISTINCT term FROM model),
+line AS (
+  SELECT path, k, regexp_extract_all(lower(ls[k]), '{licenses.TERM}') AS terms
+  FROM (SELECT path, ls, unnest(range(1, len(ls) + 1)) AS k FROM (SELECT path, string_split(text, chr(10)) AS ls FROM f))
+), word AS (SELECT path, k, unnest(terms) AS term FROM line),
+held AS (SELECT path, k, term, count(*) AS tf FROM word SEMI JOIN term USING (term) GROUP BY ALL),
+idf AS (
+  SELECT term, ln(((SELECT count(*) FROM f) + 1) / (count(DISTINCT path) + 1)) + 1 AS idf FROM term LEFT JOIN held USING (term) GROUP BY term
+), unit AS (
+  SELECT template, licence, term, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY template)) AS unit
+  FROM model JOIN idf USING (term)
+), norm AS (SELECT path, k, sqrt(sum(tf * idf * tf * idf)) AS norm FROM held JOIN idf USING (term) GROUP BY ALL),
+score AS (
+  SELECT path, k, template, licence, round(sum(tf * idf * unit) / any_value(norm), 6) AS score
+  FROM held JOIN idf USING (term) JOIN unit USING (term) JOIN norm USING (path, k) GROUP BY ALL
+), best AS (
+  SELECT path, k, score, licence FROM score WHERE score >= {licenses.LEAST}
+  QUALIFY row_number() OVER (PARTITION BY path, k ORDER BY score DESC, template) = 1
+), words AS (
+  SELECT path, k, count(*) AS n FROM word WHERE term IN (SELECT term FROM term UNION ALL SELECT * FROM (VALUES {wording})) GROUP BY ALL
+), header AS (
+  SELECT path, max(struct_pack(score := score, licence := licence)) AS h, sum(n) AS noticed
+  FROM best JOIN words USING (path, k) GROUP BY path
+), stated AS (
+  SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, max(h) AS h FROM header JOIN f USING (path)
+  WHERE regexp_matches(path, {_regex(licenses.FILE_NAME)})
+    OR noticed * 100 >= len(regexp_extract_all(text, '{_WORD}')) * {licenses.FILE_PERCENT}
+  GROUP BY dir
+), near AS (
+  SELECT path, arg_max(dir, length(dir)) AS dir, arg_max(h.licence, length(dir)) AS licence
+  FROM f JOIN stated ON dir = '' OR starts_with(path, dir || '/') GROUP BY path
+)
+SELECT doc_id, path, h.licence AS header_licence, h.score AS header_score,
+  CASE WHEN h IS NULL THEN near.licence END AS inherited_licence,
+  CASE WHEN h IS NULL THEN near.dir END AS inherited_from, coalesce(h.licence, near.licence) AS licence
+FROM f LEFT JOIN header USING (path) LEFT JOIN near USING (path)
+"""
+
+
 ORACLES: dict[str, str] = {
     "op2_quality": _quality(),
     "op3_near_duplicates": _NEAR,
     "op7_chat": _CHAT,
+    "op8_licenses": _licenses(),
     "op10_secrets": _secrets(),
 }
