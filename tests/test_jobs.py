@@ -173,3 +173,34 @@ def test_refresh_modules_job(spark, tmp_path):
     assert rows(store.read("raw_Site_Splits")) == [("b", "s")]
     history = spark.read.parquet(history_path(store))
     assert rows(history.select("revenue_id", "Type", "amount")) == [("r", "Create", "5")]
+
+
+def test_rows_that_cannot_be_loaded_are_kept_aside(spark, tmp_path):
+    at = "2024-05-01T00:00:00Z"
+    good = page({"id": "1", "Modified_Time": at}, {"id": None, "Amount": 3, "Modified_Time": at}, {"id": "2", "Modified_Time": "?"})
+    land(tmp_path, "Deals", good)
+    (tmp_path / "landing" / "Deals" / "part-9.json").write_text("{broken\n")
+    land(tmp_path, "modules", {"modules": [{"api_name": "Konten", "plural_label": "Accounts"}]})
+    land(tmp_path, "Konten", page({"id": "k", "Modified_Time": at}))
+    result = {r.label: r for r in run(tmp_path, "modules", "r0", "2024-05-02T00:00:00")}
+    assert (result["Deals"].records, result["Deals"].quarantined) == (3, 1)
+    assert result["Accounts"].status == "synced"
+    store = Store(spark, str(tmp_path / "store"))
+    assert rows(store.read("Deals").select("id")) == [("1",), ("2",)]
+    kept = {(r["table_name"], r["reason"], r["run_id"]) for r in store.quarantined().collect()}
+    assert kept == {("Deals", "no key", "r0"), ("Deals", "unreadable", "r0")}
+
+
+def test_a_cut_feed_with_a_broken_line_deletes_nothing(spark, tmp_path):
+    records = [{"id": k, "Amount": 5, "Date": "d", "Parent_Id": {"id": "b", "name": "B"}} for k in "abc"]
+    for name in ("Deals", "Blocks", "Site_Splits"):
+        land(tmp_path, name, page({"id": "1"}))
+    land(tmp_path, "Revenue_Recognition", {"data": records, "info": {"more_records": False, "page": 1}})
+    run(tmp_path, "refresh-modules", "r0", "2024-05-02T00:00:00")
+    folder = tmp_path / "landing" / "Revenue_Recognition"
+    (folder / "part-0.json").write_text(json.dumps({"data": records[:1], "info": {"more_records": True}}) + "\n{broken\n")
+    result = {r.label: r.status for r in run(tmp_path, "refresh-modules", "r1", "2024-05-03T00:00:00")}
+    assert result["Revenue_Recognition"] == "incomplete"
+    store = Store(spark, str(tmp_path / "store"))
+    assert store.read("raw_Revenue_Recognition").count() == 3
+    assert rows(spark.read.parquet(history_path(store)).select("Type").distinct()) == [("Create",)]
