@@ -15,7 +15,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.llm.columns import named, text_of
 from tidemark.llm.tokens import encoder, open_tokenizer

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
-SPACES = " \t\n\x0b\f\r"
 
 
 def named(name: str) -> Column:
@@ -24,15 +23,6 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
-def without(text: Column, characters: str) -> Column:
-    """``text`` without any of ``characters``."""
-    return F.translate(text, characters, "")
-
-
-def crc32_of(text: Column) -> Column:
-    return F.crc32(text.cast("binary"))
-
-
 def hidden(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have, whatever the letter case."""
     taken = {c.lower() for c in df.columns}
