@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Stage = Callable[[DataFrame], DataFrame]
+#: Makes a node's set, an array of distinct values, from its items.
+Sets = Callable[[Column], Column]
 
 #: Masks under which the smallest member of a bucket differs (fixed values).
 CENTRES = (0x5851F42D4C957F2D, 0x14057B7EF767814F, 0x2545F4914F6CDD1D, 0x369DEA0F31A53F85)
@@ -56,11 +58,15 @@ def similar(left: str, right: str, percent: int) -> Column:
     return near & (both * (100 + percent) >= (n + m) * percent)
 
 
-def confirmed(candidates: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+def confirmed(candidates: DataFrame, items: DataFrame, percent: int, sets: Sets | None = None) -> DataFrame:
     """The pairs (a, b) whose whole sets are similar enough. ``items``: (node, items)."""
     left = items.select(F.col("node").alias("a"), F.col("items").alias("left"))
     right = items.select(F.col("node").alias("b"), F.col("items").alias("right"))
-    return candidates.join(left, "a").join(right, "b").where(similar("left", "right", percent)).select("a", "b")
+    both = candidates.join(left, "a").join(right, "b")
+    if sets:
+        # Made once a pair: what depends on the partition's number is not moved into a condition.
+        both = both.withColumns({c: F.when(F.spark_partition_id() >= 0, sets(F.col(c))) for c in ("left", "right")})
+    return both.where(similar("left", "right", percent)).select("a", "b")
 
 
 def components(links: DataFrame, stage: Stage) -> DataFrame:
@@ -96,7 +102,9 @@ def _state(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def rest_links(members: DataFrame, comps: DataFrame, items: DataFrame, percent: int, stage: Stage) -> DataFrame:
+def rest_links(
+    members: DataFrame, comps: DataFrame, items: DataFrame, percent: int, stage: Stage, sets: Sets | None = None
+) -> DataFrame:
     """Links between members of one bucket that lie in different components so far.
 
     In each bucket whose members are not yet one component, the members outside its
@@ -114,6 +122,8 @@ def rest_links(members: DataFrame, comps: DataFrame, items: DataFrame, percent:
     counts = held.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     main = counts.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most"))
     main = main.select("bucket", F.col("most.comp").alias("main"))
+    if sets:
+        items = items.join(held.select("node").distinct(), "node", "left_semi").select("node", sets(F.col("items")).alias("items"))
     wide = held.join(main, "bucket").join(items, "node")
     rest = wide.where("comp != main").select("bucket", F.col("comp").alias("a"), F.col("items").alias("left"))
     every = wide.select("bucket", F.col("comp").alias("b"), (F.col("comp") == F.col("main")).alias("in_main"), F.col("items").alias("right"))
@@ -123,15 +133,16 @@ def rest_links(members: DataFrame, comps: DataFrame, items: DataFrame, percent:
 
 
 def linked_components(
-    members: DataFrame, candidates: DataFrame, items: DataFrame, percent: int, stage: Stage
+    members: DataFrame, candidates: DataFrame, items: DataFrame, percent: int, stage: Stage, sets: Sets | None = None
 ) -> DataFrame:
     """(node, comp) over all links between nodes that share a bucket.
 
     First the centre of each bucket is compared with its members (``candidates``),
-    then what these links have not joined is compared within its buckets.
+    then what these links have not joined is compared within its buckets. ``sets``, if
+    given, makes the set of a node from its ``items``.
     """
-    first = components(confirmed(candidates, items, percent), stage)
-    rest = rest_links(members, first, items, percent, stage)
+    first = components(confirmed(candidates, items, percent, sets), stage)
+    rest = rest_links(members, first, items, percent, stage, sets)
     second = components(rest, stage).select(F.col("node").alias("comp"), F.col("comp").alias("root"))
     joined = first.join(second, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp"))
     alone = second.select(F.col("comp").alias("node"), F.col("root").alias("comp")).join(first, "node", "left_anti")
