@@ -54,3 +54,25 @@ def test_odd_rows(spark):
     assert got[2][2] == "\n\n".join([LONG] * 3000)
     assert extraction.extracted(pages.limit(0)).count() == 0
     assert extraction.extracted(pages.where("page_id is null")).first().text == LONG
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<body><div class='content has-sidebar'><p>{LONG}</p><p>End.</p></div></body>", f"{LONG}\n\nEnd."),
+        (f"<div id='page' class='fixed-header'><p>{LONG}</p><div class=sidebar>x</div><p>End.</p></div>", f"{LONG}\n\nEnd."),
+        (f"<article class='post tag-social'><p>{LONG}</p></article>", LONG),
+        (f"<div class='widget'><article><p>{LONG}</p></article></div><div class='comments'><p>c</p></div>", LONG),
+        (f"<div class='widget'><p>{LONG}</p><p>{LONG}</p></div><article><p>{LONG} b</p></article>", f"{LONG} b"),
+        (f"<div class='layout--sidebar'><p>{LONG}</p></div><p>{LONG}</p><p>{LONG}</p>", f"{LONG}\n\n{LONG}\n\n{LONG}"),
+        (f"<article><p class=byline>By A<p>{LONG}<p>End.</article><p>{LONG}</p>", f"{LONG}\n\nEnd."),
+        (f"<article><p class=byline>By A<div>{LONG}</div></article>", LONG),
+        (f"<article><ul><li class=share>Send<ul><li>on<li>off</ul><li>{LONG}</ul><p>End.</article>", f"{LONG}\n\nEnd."),
+        (f"<table><tr><td class=sidebar>Menu<td>{LONG}<tr><th class=ad>Buy<td>{LONG}</table>", f"{LONG}\n\n{LONG}"),
+        (f"<article><dl><dt class=ad>Buy<dd>{LONG}</dl><p>End.</article>", f"{LONG}\n\nEnd."),
+        (f"<article><div class=intro><p class=byline>By A</div><p>{LONG}</article>", LONG),
+        (f"<body><div class=ad>Buy<article><p>{LONG}</p></article></body>", LONG),
+    ],
+)
+def test_names_and_left_out_ends(page, text):
+    assert extraction.main_text(page) == text

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,8 +45,36 @@ NAMES = set(
     " popup promo promoted promotion recommended related replies reply respond responses search share sharing sidebar"
     " signup skip social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split()
 )
+#: Words that make a name say what an element has, shows or is filed under, not what it is.
+STATES = set("cat category format has no not overflow tag tagged type with without".split())
+#: An element stays, whatever its names, if it holds more than this share of the page's text, in percent.
+DOMINANT_PERCENT = 50
 ROLES = set("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 
+#: Elements whose end tag may be left out: the start tags that end them, and the elements beyond which these do not reach.
+_ROW = set("tbody td tfoot th thead tr".split())
+ENDED_BY = {
+    "dd": ({"dd", "dt"}, {"dl"}),
+    "dt": ({"dd", "dt"}, {"dl"}),
+    "li": ({"li"}, {"ol", "ul", "menu"}),
+    "option": ({"option", "optgroup"}, {"datalist"}),
+    "p": (
+        set(
+            "address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer form h1"
+            " h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
+        ),
+        {"button", "caption", "object"},
+    ),
+    "tbody": ({"tbody", "tfoot"}, {"table"}),
+    "td": (_ROW, {"table"}),
+    "tfoot": ({"tbody"}, {"table"}),
+    "th": (_ROW, {"table"}),
+    "thead": ({"tbody", "tfoot"}, {"table"}),
+    "tr": (_ROW - {"td", "th"}, {"table"}),
+}
+_ENDING = {x: [name for name, (names, _) in ENDED_BY.items() if x in names] for names, _ in ENDED_BY.values() for x in names}
+_BARRIERS = {name for _, names in ENDED_BY.values() for name in names}
+
 _MARKUP = re.compile(
     r"<!--.*?(?:--!?>|\Z)"
     r"|<(?P<raw>script|style|textarea|title|noscript|template|iframe|svg|select)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
@@ -68,18 +98,14 @@ class Line:
 
 
 def _other_part(name: str, rest: str, in_article: bool) -> bool:
-    """Whether an element holds something else than main text."""
+    """Whether an element holds something else than main text, whatever its names say."""
     if name in DROPPED or (name == "header" and not in_article):
         return True
     if name in ("html", "body", "main") or not rest:
         return False
     for key, value in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), value.strip("\"'")
-        if key in ("class", "id"):
-            words = {w.lower() for w in _SPLIT.split(value)}
-            if words & NAMES or ("header" in words and not in_article):
-                return True
-        elif key == "role" and value.lower() in ROLES:
+        if key == "role" and value.lower() in ROLES:
             return True
         elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
             return True
@@ -88,10 +114,24 @@ def _other_part(name: str, rest: str, in_article: bool) -> bool:
     return False
 
 
+def _named_other(name: str, rest: str, in_article: bool) -> bool:
+    """Whether a class or id says that an element is another part: as a whole or in a compound, not as a state or a modifier."""
+    if name in ("html", "body", "main") or not rest:
+        return False
+    for key, value in _ATTRIBUTE.findall(rest):
+        if key.lower() in ("class", "id"):
+            for token in value.strip("\"'").split():
+                words = {w.lower() for w in _SPLIT.split(token.split("--")[0])}
+                if not words & STATES and (words & NAMES or ("header" in words and not in_article)):
+                    return True
+    return False
+
+
 def lines_of(page: str) -> list[Line]:
     """The blocks of a page in order; other parts of it leave an empty line."""
     marks = list(_MARKUP.finditer(page))
-    ends = _matching_ends(marks)
+    ends = _ends(marks)
+    held: _Held | None = None
     out: list[Line] = []
     parts: list[str] = []
     state = {"linked": 0, "link": 0, "article": 0, "articles": 0, "depth": 0}
@@ -123,16 +163,18 @@ def lines_of(page: str) -> list[Line]:
                 state["depth"] -= 1
                 state["article"] = state["article"] if state["depth"] else 0
             continue
-        if _other_part(name, mark["rest"], state["depth"] > 0) and name not in VOID:
+        other = name not in VOID and _other_part(name, mark["rest"], state["depth"] > 0)
+        if not other and name not in VOID and _named_other(name, mark["rest"], state["depth"] > 0):
+            held = held or _Held(page, marks, ends)
+            other = not held.main(k - 1)
+        if other:
             if name in BLOCKS:
                 close()
                 out.append(Line("", 0, 0))
-            end = ends.get(k - 1)
-            if end is not None:
-                at, k = marks[end].end(), end + 1
-            else:
-                k = _unclosed(marks, k)
-                at = marks[k].start() if k < len(marks) else len(page)
+            k = ends[k - 1]
+            at = marks[k].start() if k < len(marks) else len(page)
+            if k < len(marks) and marks[k]["end"] and marks[k]["name"].lower() == name:
+                at, k = marks[k].end(), k + 1
             continue
         if name == "br":
             parts.append(" ")
@@ -151,27 +193,100 @@ def lines_of(page: str) -> list[Line]:
     return out
 
 
-def _matching_ends(marks: list[re.Match]) -> dict[int, int]:
-    """For each start tag the place of its end tag, where it has one."""
-    opened: dict[str, list[int]] = {}
-    out = {}
+def _ends(marks: list[re.Match]) -> dict[int, int]:
+    """For each start tag the place of the mark that ends it, the number of marks if none does.
+
+    An end tag that may be left out is implied by the next sibling or the parent's end.
+    Another element without its own end tag goes at most to the next article.
+    """
+    mains = [k for k, x in enumerate(marks) if (x["name"] or "").lower() in MAIN and not x["end"]]
+    out: dict[int, int] = {}
+    stack: list[tuple[str, int]] = []
+    opened: Counter[str] = Counter()
+
+    def implied(first: int, place: int) -> None:
+        """Ends what is open from ``first`` on, without own end tags."""
+        for name, k in stack[first:]:
+            later = bisect_right(mains, k)
+            out[k] = place if name in ENDED_BY or later == len(mains) else min(place, mains[later])
+            opened[name] -= 1
+        del stack[first:]
+
     for k, mark in enumerate(marks):
         name = (mark["name"] or "").lower()
-        if not name or name in VOID:
+        if not name or name in VOID and name not in _ENDING:
             continue
         if not mark["end"]:
-            opened.setdefault(name, []).append(k)
-        elif opened.get(name):
-            out[opened[name].pop()] = k
+            if any(opened[x] for x in _ENDING.get(name, ())):
+                first = None
+                # What ends a part also ends what is open inside it, up to an element that holds siblings of its own.
+                for i in range(len(stack) - 1, -1, -1):
+                    above = stack[i][0]
+                    if above in ENDED_BY and name in ENDED_BY[above][0]:
+                        first = i
+                    elif above in _BARRIERS or (above in BLOCKS and above not in ENDED_BY and name not in ENDED_BY):
+                        break
+                if first is not None:
+                    implied(first, k)
+            if name not in VOID:
+                stack.append((name, k))
+                opened[name] += 1
+            continue
+        for i in range(len(stack) - 1, -1, -1) if opened[name] else ():
+            if stack[i][0] == name:
+                if name in BLOCKS or not any(x in BLOCKS for x, _ in stack[i + 1 :]):
+                    implied(i + 1, k)
+                out[stack.pop(i)[1]] = k
+                opened[name] -= 1
+                break
+            # An end tag in a table's cell or a list does not end what lies around them.
+            if stack[i][0] == "table" or (name in ENDED_BY and stack[i][0] in ENDED_BY.get(name, (0, set()))[1]):
+                break
+    implied(0, len(marks))
     return out
 
 
-def _unclosed(marks: list[re.Match], k: int) -> int:
-    """Where a part that is never closed ends: at the next article, or with the page."""
-    for i in range(k, len(marks)):
-        if (marks[i]["name"] or "").lower() in MAIN and not marks[i]["end"]:
-            return i
-    return len(marks)
+class _Held:
+    """What text the elements of a page hold."""
+
+    def __init__(self, page: str, marks: list[re.Match], ends: dict[int, int]):
+        self.ends = ends
+        #: Characters of text before each mark, without what is no text by its element.
+        self.before = [0]
+        #: The articles that lie in no element which names mark as another part.
+        self.free: list[tuple[int, int]] = []
+        self.articles: list[int] = []
+        at, dropped, marked = 0, 0, 0
+        for k, mark in enumerate(marks):
+            size = 0 if k < dropped else len(page[at : mark.start()].strip())
+            self.before.append(self.before[-1] + size)
+            at = mark.end()
+            name = (mark["name"] or "").lower()
+            if not name or mark["end"] or name in VOID or k < dropped:
+                continue
+            if _other_part(name, mark["rest"], True):
+                dropped = ends[k] + 1
+                continue
+            named = _named_other(name, mark["rest"], True)
+            if named:
+                marked = max(marked, ends[k])
+            elif name in MAIN:
+                self.articles.append(k)
+                if k >= marked:
+                    self.free.append((k, ends[k]))
+        self.all = self.before[-1] + (0 if dropped >= len(marks) and dropped else len(page[at:].strip()))
+        self.before.append(self.all)
+        self.first_end = min((b for _, b in self.free), default=len(marks))
+        self.last_start = max((a for a, _ in self.free), default=-1)
+
+    def main(self, k: int) -> bool:
+        """Whether an element holds the main text: an article, or the larger part of the page's text,
+        and no article that names do not mark lies elsewhere."""
+        end = self.ends[k]
+        if self.first_end < k or self.last_start > end:
+            return False
+        text = self.before[end + 1] - self.before[k + 1]
+        return bisect_right(self.articles, k) < bisect_left(self.articles, end) or text * 100 > DOMINANT_PERCENT * self.all
 
 
 def kept_lines(lines: list[Line]) -> list[bool]:
@@ -225,7 +340,7 @@ def extracted(pages: DataFrame, id: str = "page_id", url: str = "url", page: str
     """Per row of ``pages``: page_id, url, text (blocks parted by an empty line), n_chars.
 
     A null or empty page, and one without text, gives an empty text. Broken markup is read
-    as far as it goes: an unclosed article or paragraph ends with the page. Null ids and
+    as far as it goes: an unclosed article ends with the page, a paragraph or list entry as in HTML. Null ids and
     urls stay, repeated rows are extracted each, other columns are not read.
     """
     source = pages.select(
