@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import textwrap
 
 from tidemark.llm import quality
 
@@ -49,3 +50,27 @@ def test_cleaned_keeps_columns(spark, documents_of, odd_rows):
     assert {r.doc_id for r in rows} == {1, 2, 3, 9, None}
     assert all(r.n_chars == len(r.text) and r["a.b"] == f"a.b{r.doc_id}" for r in rows)
     assert quality.cleaned(documents_of([])).count() == 0
+
+
+def test_wrapped_prose_stays(spark, documents_of):
+    docs = {r.doc_id: r for r in quality.judged(spark.read.parquet("/root/testdata/sf0.001/documents.parquet")).collect()}
+    clean = {i: r.kept_text for i, r in docs.items() if r.kept and 2 * r.n_kept_words > r.n_words}
+
+    def wrapped(text, width):
+        return "\n".join("\n".join(textwrap.wrap(x, width, break_long_words=False, break_on_hyphens=False)) for x in text.split("\n"))
+
+    for width in (72, 60):
+        rows = [(i, wrapped(t, width)) for i, t in clean.items()]
+        got = quality.judged(documents_of(rows)).collect()
+        assert len(got) > 50 and all(r.kept or r.base_failed for r in got)
+        assert sum(r.n_kept_words for r in got) > 0.99 * sum(r.n_words for r in got)
+
+
+def test_other_scripts_stay(spark, documents_of):
+    hindi = "नदी के किनारे एक पुराना गाँव बसा हुआ था।\nवहाँ के लोग खेती करते थे और शाम को गीत गाते थे।\nबारिश आने पर सब बच्चे आँगन में खेलने लगते हैं।"
+    thai = "\n".join(f"ข้อความนี้เป็นประโยคภาษาไทยที่ {i} และควรอยู่ในเอกสาร ต่อไปอีก นาน {i}" for i in range(9))
+    junk = ["Home News Sport About Contact Login", "https://example.org/" + "a1" * 40, "buy buy buy buy buy buy now now now", "no end here"]
+    good = "This line has a full sentence and it stays where it is."
+    got = {r.doc_id: r for r in quality.judged(documents_of([(1, hindi), (2, thai), (3, "\n".join([good] + junk))])).collect()}
+    assert got[1].kept_text == hindi and got[2].kept_text == thai and got[3].kept_text == good
+    assert got[1].kept and got[2].kept

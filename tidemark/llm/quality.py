@@ -20,7 +20,15 @@ WINDOW, LEAST_WORDS, REPEATED_PERCENT = 8, 20, 30
 
 #: A line holds a sentence when one of these ends a word in it (closing quotes may follow).
 SENTENCE = r"""[.!?;:…。！？；：][\x22'”’»)\]]*(\s|$)"""
-#: A line fails by its punctuation if it has no sentence end, more symbols than one for
+#: Sentence marks of other scripts; words need not be parted there.
+OTHER_SENTENCE = "[।॥؟۔։።፧፨။។៕།༎๚๛｡。！？]"
+#: A line without a sentence end may be the middle of a wrapped sentence. It fails if it has
+#: few words (and no run of a script that does not part them), if half of its words or more
+#: are repeated, or if more than two thirds of them begin with a capital, as in a menu.
+FEW_WORDS = 4
+UNPARTED = r"[\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}\p{IsTibetan}\p{IsHan}\p{IsHiragana}\p{IsKatakana}]{8}"
+CAPITAL = r"(?<![^\x20\x09-\x0D])\p{Lu}"
+#: A line fails by its punctuation if it hangs so, has more symbols than one for
 #: five words, or more repeated !!, ?? or … marks than one for five words.
 MARKS_PERCENT = 20
 #: Signs that part the entries of a menu or a trail, with blanks around them.
@@ -77,13 +85,22 @@ def _figures(line: Column) -> Column:
     )
 
 
+def _hanging(line: Column) -> Column:
+    """Whether a line without a sentence end shows otherwise, too, that it is no part of a sentence."""
+    words = words_of(line)
+    n = F.size(words)
+    few = (n <= FEW_WORDS) & ~line.rlike(UNPARTED)
+    return few | (F.size(F.array_distinct(words)) * 2 <= n) | (_count(line, CAPITAL) * 3 > n * 2)
+
+
 def _verdict(f: Column) -> Column:
     line, words, signs = f["line"], f["words"], f["signs"]
     menu = (signs >= MENU_SIGNS) & (signs * MENU_WORDS >= words - signs)
     notice = f["lower"].isNotNull() & reduce(or_, (f["lower"].contains(n) for n in NOTICES))
     marks = (f["symbols"] * 100 > words * MARKS_PERCENT) | (f["shouts"] * 100 > words * MARKS_PERCENT)
-    sentence = line.endswith(".") | line.endswith("!") | line.endswith("?") | line.rlike(SENTENCE)
-    return F.when(menu, "navigation").when(marks | ~sentence, "punctuation").when(notice, "boilerplate")
+    sentence = line.endswith(".") | line.endswith("!") | line.endswith("?") | line.rlike(SENTENCE) | line.rlike(OTHER_SENTENCE)
+    hanging = F.when(sentence, F.lit(False)).otherwise(_hanging(line))
+    return F.when(menu, "navigation").when(marks | hanging, "punctuation").when(notice, "boilerplate")
 
 
 def line_verdicts(lines: Column) -> Column:
