@@ -28,5 +28,5 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     names = set(__spark_entry__.queries())
-    assert {f"op{n}_" for n in range(1, 11)} <= {x.split("_")[0] + "_" for x in names if x.startswith("op")}
+    assert {f"op{n}_" for n in range(1, 14)} <= {x.split("_")[0] + "_" for x in names if x.startswith("op")}
     assert "pipeline" in names and set(queries.ORACLES) <= set(__spark_entry__.oracle_sql())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import licenses, quality, secrets
+from tidemark.llm import licenses, middle, quality, secrets
 
 _WORD = r"[^\x20\x09-\x0D]+"
 _DOCS = "SELECT doc_id, coalesce(text, '') AS text FROM documents"
@@ -171,10 +171,41 @@ FROM f LEFT JOIN header USING (path) LEFT JOIN near USING (path)
 """
 
 
+def _middle() -> str:
+    p, m, s = middle.PREFIX, middle.MIDDLE, middle.SUFFIX
+    return f"""
+WITH d AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[A-Za-z]+|[^A-Za-z]') AS t,
+    sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM ({_DOCS})
+), k AS (
+  SELECT doc_id, text, t, len(t) AS n,
+    [CAST('0x' || substr(h, 1 + 8 * i, 8) AS BIGINT) for i in range(4)] AS h
+  FROM d
+), c AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+    CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR h[3] % 100 >= {middle.RATE} THEN 'plain'
+      WHEN h[4] % 100 < {middle.SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form
+  FROM k
+), o AS (
+  SELECT *, array_to_string(t[1 : a], '') AS p, array_to_string(t[a + 1 : b], '') AS m, array_to_string(t[b + 1 : n], '') AS s
+  FROM c
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '{p}' || p || '{s}' || s || '{m}' || m
+    ELSE '{s}' || s || '{p}' || p || '{m}' || m END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM o
+"""
+
+
 ORACLES: dict[str, str] = {
     "op2_quality": _quality(),
     "op3_near_duplicates": _NEAR,
     "op7_chat": _CHAT,
     "op8_licenses": _licenses(),
     "op10_secrets": _secrets(),
+    "op11_middle": _middle(),
 }

@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat, decontamination, extraction, licenses, lines, packing, quality, secrets, setsketch, sharding
+from tidemark.llm import chat, decontamination, extraction, licenses, lines, middle, packing, periodic, quality, rans, secrets, setsketch, sharding
+from tidemark.llm.columns import text_of, words_of
 from tidemark.llm.oracles import ORACLES
 from tidemark.session import scratch
 
-VOCABULARY = "byte_bpe_50k.json"
+VOCABULARY, WORDS = "byte_bpe_50k.json", "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +106,50 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = middle.middle_last(table(spark, sf_dir, "documents"))
+    again = middle.restored(F.col("form"), F.col("output"))
+    digests = (F.sha2("output", 256).alias("output_sha256"), F.sha2(again, 256).alias("restored_sha256"))
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of every tenth document, by a hash of its id, the end repeats a stretch of words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", text_of().alias("text"), (h % 10 == 0).alias("planted"), F.floor(h / 10).alias("g"))
+    words = F.when(F.col("planted"), words_of(F.col("text")))
+    rows = rows.withColumn("words", words).withColumn("n", F.size("words"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    period = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))
+    rows = rows.withColumn("p", period.cast("int"))
+    left = F.col("n") - F.col("a")
+    block = F.slice("words", F.col("a") + 1, F.col("p"))
+    again = F.slice(F.flatten(F.array_repeat(block, F.ceil(left / F.col("p")).cast("int"))), 1, left)
+    text = F.array_join(F.concat(F.slice("words", 1, F.col("a")), again), " ")
+    return rows.select("doc_id", F.when(F.col("planted") & (F.col("n") > 0), text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(planted_runs(table(spark, sf_dir, "documents")))
+    best = periodic.strongest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]), F.lit("\n")))
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"), F.array_join(lines, "").alias("listed"), "collapsed")
+    return rows.select(
+        "doc_id",
+        "n_runs",
+        *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2("listed", 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "token-files")
+    rans.write_tokens(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), folder)
+    return rans.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -118,5 +163,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_licenses,
         op9_decontamination,
         op10_secrets,
+        op11_middle,
+        op12_periodic,
+        op13_token_files,
     )
 }

@@ -7,6 +7,8 @@ import os
 from array import array
 from collections.abc import Callable
 
+import numpy as np
+
 #: Words whose ids a task remembers at once; older ones make way.
 REMEMBERED = 200_000
 #: The splitting rule of byte-level tokenizers (fixed value).
@@ -85,3 +87,50 @@ def encoder(path: str) -> Callable[[list[str]], list[bytes]]:
         return out
 
     return encode
+
+
+def vocabulary_size(path: str) -> int:
+    """One more than the largest id of a tokenizer file, added tokens included."""
+    return open_tokenizer(path).get_vocab_size(with_added_tokens=True)
+
+
+#: What a tokenizer that drops white space does to a text before it looks at words (fixed values).
+_DROPS_SPACE = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_ONLY_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _parts_at_space(path: str) -> bool:
+    """Does the tokenizer of a file encode what stands between white space independently?"""
+    with open(path, encoding="utf-8") as file:
+        rules = json.load(file)
+    steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    split = steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and steps[0].get("invert")
+    same = split and steps[0].get("pattern") == {"Regex": _ONLY_WORDS} and all(s.get("use_regex") is False for s in steps[1:])
+    return bool(same and (rules.get("normalizer") or {}).get("normalizers") == _DROPS_SPACE)
+
+
+def word_encoder(path: str, kind: str = "<u4") -> Callable[[list[str]], list[bytes]]:
+    """A function from texts to their ids as numbers of a numpy ``kind``, for tokenizers that drop white space.
+
+    Words parted by ASCII white space are encoded independently: each distinct word is
+    encoded once by the library and its ids are remembered. Other files go text by text.
+    """
+    slow = open_tokenizer(path)
+
+    def whole(texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, dtype=kind).tobytes() for e in slow.encode_batch_fast(texts, add_special_tokens=False)]
+
+    if not _parts_at_space(path):
+        return whole
+    known: dict[bytes, bytes] = {}
+
+    def encode(texts: list[str]) -> list[bytes]:
+        nonlocal known
+        words = [t.encode().split() for t in texts]
+        if len(known) > REMEMBERED:
+            known = {}
+        fresh = list({w for text in words for w in text} - known.keys())
+        known.update(zip(fresh, whole([w.decode() for w in fresh]), strict=True))
+        return [b"".join([known[w] for w in text]) for text in words]
+
+    return encode
