@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.llm import secrets
@@ -73,3 +74,17 @@ def test_odd_rows(spark, documents_of, odd_rows, tmp_path):
     got = secrets.findings(spark, documents_of(odd_rows), str(tmp_path / "a")).collect()
     assert len(got) == len(odd_rows) and {r.doc_id for r in got} == {i for i, _ in odd_rows}
     assert secrets.findings(spark, documents_of([]), str(tmp_path / "b")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["-----BEGIN " + "A " * 500_000, "-----BEGIN " * 90_000, "eyJ" * 330_000, "eyJabcdefgh." * 80_000, "a" * 1_000_000, "x://" * 250_000,
+     "token " * 160_000, "token" + " " * 1_000_000, "password=" * 110_000, "ghp_" * 250_000, "AKIA" * 250_000],
+)
+def test_texts_of_a_million_characters(spark, documents_of, tmp_path, text):
+    """No rule recurses over a long text or tries it anew from each place."""
+    key = "-----BEGIN RSA PRIVATE KEY-----"
+    found = secrets.findings(spark, documents_of([(1, text), (2, f"{text} {key}")]), str(tmp_path / "ledger"))
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in found.collect()}
+    assert [s for s in spans[1] if s[1] < 3] == base(text)
+    assert (len(text) + 1, 3, len(text) + 1 + len(key)) in spans[2] or text.startswith("-----BEGIN")
