@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import re
+import time
 
 import pytest
 
@@ -76,3 +77,59 @@ def test_odd_rows(spark):
 )
 def test_names_and_left_out_ends(page, text):
     assert extraction.main_text(page) == text
+
+
+def bare(page):
+    """A page without its class, id and role attributes, its semantic elements made plain ones."""
+    page = re.sub(r"<(/?)(?:article|main|nav|header|footer|aside|section)\b[^>]*>", r"<\1div>", page)
+    return re.sub(r"\s(?:class|id|role)=(?:\"[^\"]*\"|'[^']*'|[^\s>]+)", "", page)
+
+
+def test_sums_alone_find_the_articles(spark):
+    """With names, roles and semantic elements stripped: precision and recall in characters."""
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    found = right = wanted = 0
+    for page in pages:
+        got, true = (set(extraction.main_text(x).split("\n\n")) for x in (bare(page), page))
+        found += sum(map(len, got))
+        wanted += sum(map(len, true))
+        right += sum(map(len, got & true))
+    assert right / found > 0.97 and right / wanted > 0.99, (right / found, right / wanted)
+
+
+def test_names_do_not_overrule_the_sums():
+    """A part that names call another one, but of which the page consists, is what the sums find."""
+    story = f"<p>{LONG}</p>" * 4
+    assert extraction.main_text(f"<div class=menu-page>{story}</div><div class=box><p>Short.</p></div>") == "\n\n".join([LONG] * 4)
+    # Between two long parts a short one is kept, at the page's end it is not.
+    assert extraction.main_text(f"<div><p>{LONG}</p></div><div><p>So it was.</p></div><div><p>{LONG}</p></div><div><p>Imprint</p></div>") == f"{LONG}\n\nSo it was.\n\n{LONG}"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<body><form action=x><div><article><p>{LONG}</p></article></div><input></form></body>", LONG),
+        (f"<body><form action=x><div><p>{LONG}</p><p>{LONG}</p></div></form><p>Short.</p></body>", f"{LONG}\n\n{LONG}"),
+        (f"<form><label>Name</label></form><p>{LONG}</p>", LONG),
+        (f"<div style='display: none'><p>{LONG}</p></div><p>{LONG} b</p>", f"{LONG} b"),
+    ],
+)
+def test_forms_and_hidden_parts(page, text):
+    assert extraction.main_text(page) == text
+
+
+@pytest.mark.parametrize("unit", ["<b>", "<div>", "<li>", "<table><tr><td>", "<p><i>", "<article>", "</b>", "<ul><li><div>"])
+def test_time_grows_with_the_page(unit):
+    def seconds(n):
+        page = unit * n + "<p>t" * n + "</i>" * n + "</div>" * n
+        start = time.perf_counter()
+        extraction.main_text(page)
+        return time.perf_counter() - start
+
+    seconds(200)
+    assert seconds(16_000) < 24 * max(seconds(2_000), 0.01)  # squares would take 64 times as long
+
+
+def test_a_page_of_a_million_characters():
+    assert extraction.main_text("x" * 1_000_000) == "x" * 1_000_000
+    assert extraction.main_text(f"<p>{LONG}</p>" * 9_000).count(LONG) == 9_000

@@ -1,8 +1,10 @@
 """The main text of web pages by line-block distribution.
 
-A page's markup is stripped into lines, one for each block of text; what menus, notices,
-adverts and the like hold counts as empty. Text lengths are summed over windows of
-consecutive lines: the main text lies between the points where the sums surge and dive.
+A page's markup is stripped into lines, one for each block of text, and an empty one where
+a container begins or ends. The lengths of their texts, without those of links, are summed
+over windows of consecutive lines: the main text lies between the points where the sums
+surge and dive. What elements, roles and names say of a page's parts only refines that:
+it takes menus, notices, adverts and the like from it, and adds the rest of an article.
 """
 
 from __future__ import annotations
@@ -10,7 +12,6 @@ from __future__ import annotations
 import html
 import re
 from bisect import bisect_left, bisect_right
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,9 +21,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.columns import named
 
-#: Lines of a window, and the sum at which it surges.
-WINDOW, SURGE = 3, 86
-#: A line outside an article is part of a menu if links hold more than this share of it, in percent.
+#: Lines of a window, the sum at which it surges, and the share of the largest sum it needs as well, in percent.
+WINDOW, SURGE, PEAK_PERCENT = 3, 86, 20
+#: A line is part of a menu if links hold more than this share of it, in percent.
 LINKED_PERCENT = 50
 
 #: The elements of HTML by what they mean here.
@@ -32,9 +33,15 @@ BLOCKS = set(
     " table tbody td tfoot th thead title tr ul".split()
 )
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-DROPPED = set(
-    "applet aside audio button canvas datalist dialog embed footer form head iframe map menu nav noscript object optgroup"
-    " script select style svg template textarea title video".split()
+#: Elements that hold no text of the page, and those that hold another part of it. A form may wrap a whole page.
+TEXTLESS = set(
+    "applet audio button canvas datalist embed head iframe map noscript object optgroup script select style svg template"
+    " textarea title video".split()
+)
+OTHER = set("aside dialog footer menu nav".split())
+#: Containers: where one begins or ends, lines are parted.
+CONTAINERS = set(
+    "article aside blockquote body details dialog div dl fieldset figure footer form header main menu nav ol section table ul".split()
 )
 MAIN = {"article", "main"}
 #: Words in class or id names, and roles, that mark other parts of a page.
@@ -90,32 +97,45 @@ _SPLIT = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 @dataclass
 class Line:
-    """A block's text, the characters of it in links, and the article it lies in (0: none)."""
+    """A block's text, the characters of it in links, the article it lies in (0: none),
+    whether elements or names say that it belongs to another part of the page, and the
+    innermost container that holds it."""
 
     text: str
     linked: int
     article: int
+    other: bool = False
+    container: int = 0
 
 
-def _other_part(name: str, rest: str, in_article: bool) -> bool:
-    """Whether an element holds something else than main text, whatever its names say."""
-    if name in DROPPED or (name == "header" and not in_article):
+def _unseen(name: str, rest: str) -> bool:
+    """Whether an element's text is none of the page, or hidden."""
+    if name in TEXTLESS:
         return True
     if name in ("html", "body", "main") or not rest:
         return False
     for key, value in _ATTRIBUTE.findall(rest):
         key, value = key.lower(), value.strip("\"'")
-        if key == "role" and value.lower() in ROLES:
+        if key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
             return True
-        elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
-        elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
+        if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
             return True
     return False
 
 
+def _other_part(name: str, rest: str, in_article: bool) -> bool:
+    """Whether an element or its role says that it is another part, whatever its names say."""
+    if name in OTHER or (name == "header" and not in_article):
+        return True
+    if name in ("html", "body", "main") or not rest:
+        return False
+    return any(k.lower() == "role" and v.strip("\"'").lower() in ROLES for k, v in _ATTRIBUTE.findall(rest))
+
+
 def _named_other(name: str, rest: str, in_article: bool) -> bool:
     """Whether a class or id says that an element is another part: as a whole or in a compound, not as a state or a modifier."""
+    if name == "form":
+        return True
     if name in ("html", "body", "main") or not rest:
         return False
     for key, value in _ATTRIBUTE.findall(rest):
@@ -128,120 +148,204 @@ def _named_other(name: str, rest: str, in_article: bool) -> bool:
 
 
 def lines_of(page: str) -> list[Line]:
-    """The blocks of a page in order; other parts of it leave an empty line."""
+    """The blocks of a page in order, an empty line where a container begins or ends."""
     marks = list(_MARKUP.finditer(page))
     ends = _ends(marks)
     held: _Held | None = None
     out: list[Line] = []
     parts: list[str] = []
-    state = {"linked": 0, "link": 0, "article": 0, "articles": 0, "depth": 0}
+    linked = link = article = articles = depth = 0
+    held_by, containers = _Containers(), 0
+    #: While in another part: the mark that ends it, and the state to go on with then.
+    other: tuple[int, str, int, int, int, int] | None = None
 
-    def close() -> None:
+    def close(gap: bool = False) -> None:
+        nonlocal linked
         text = " ".join(html.unescape("".join(parts)).split())
         if text:
-            out.append(Line(text, state["linked"], state["article"]))
+            out.append(Line(text, linked, article, other is not None, held_by.innermost()))
+        if gap:
+            out.append(Line("", 0, 0, other is not None))
         parts.clear()
-        state["linked"] = 0
+        linked = 0
 
     at, k = 0, 0
     while k < len(marks):
         mark = marks[k]
         text = page[at : mark.start()]
         parts.append(text)
-        if state["link"]:
-            state["linked"] += len(text.strip())
+        if link:
+            linked += len(text.strip())
         at, k = mark.end(), k + 1
+        if other and k - 1 >= other[0]:
+            own = bool(mark["end"]) and mark["name"].lower() == other[1]
+            close()
+            _, _, link, article, depth, n = other
+            held_by.leave(n)
+            other = None
+            if own:
+                close(mark["name"].lower() in CONTAINERS)
+                continue
         name = (mark["name"] or "").lower()
         if not name:
             continue
         if mark["end"]:
             if name == "a":
-                state["link"] = max(0, state["link"] - 1)
+                link = max(0, link - 1)
             if name in BLOCKS:
-                close()
-            if name in MAIN and state["depth"]:
-                state["depth"] -= 1
-                state["article"] = state["article"] if state["depth"] else 0
+                close(name in CONTAINERS)
+            held_by.end(name)
+            if name in MAIN and depth:
+                depth -= 1
+                article = article if depth else 0
             continue
-        other = name not in VOID and _other_part(name, mark["rest"], state["depth"] > 0)
-        if not other and name not in VOID and _named_other(name, mark["rest"], state["depth"] > 0):
-            held = held or _Held(page, marks, ends)
-            other = not held.main(k - 1)
-        if other:
+        if name not in VOID and _unseen(name, mark["rest"]):
             if name in BLOCKS:
-                close()
-                out.append(Line("", 0, 0))
+                close(True)
             k = ends[k - 1]
             at = marks[k].start() if k < len(marks) else len(page)
             if k < len(marks) and marks[k]["end"] and marks[k]["name"].lower() == name:
                 at, k = marks[k].end(), k + 1
             continue
+        begins = other is None and name not in VOID and _other_part(name, mark["rest"], depth > 0)
+        if other is None and not begins and name not in VOID and _named_other(name, mark["rest"], depth > 0):
+            held = held or _Held(page, marks, ends)
+            begins = not held.main(k - 1)
+        if begins or name in BLOCKS:
+            close(name in CONTAINERS)
+        if begins:
+            other = (ends[k - 1], name, link, article, depth, len(held_by.open))
+        if name in CONTAINERS:
+            containers += 1
+            held_by.begin(name, containers)
         if name == "br":
             parts.append(" ")
         elif name == "a":
-            state["link"] += not mark["rest"].endswith("/")
+            link += not mark["rest"].endswith("/")
         elif name in BLOCKS:
-            close()
-            state["link"] = 0 if name in ("p", "li", "td") else state["link"]
+            link = 0 if name in ("p", "li", "td") else link
         if name in MAIN:
-            if not state["depth"]:
-                state["articles"] += 1
-                state["article"] = state["articles"]
-            state["depth"] += 1
+            if not depth:
+                articles += 1
+                article = articles
+            depth += 1
     parts.append(page[at:])
     close()
     return out
 
 
+class _Containers:
+    """The containers open at a place."""
+
+    def __init__(self):
+        self.open: list[tuple[str, int]] = []
+        self.places: dict[str, list[int]] = {}
+
+    def innermost(self) -> int:
+        return self.open[-1][1] if self.open else 0
+
+    def begin(self, name: str, number: int) -> None:
+        self.places.setdefault(name, []).append(len(self.open))
+        self.open.append((name, number))
+
+    def end(self, name: str) -> None:
+        if places := self.places.get(name):
+            self.leave(places[-1])
+
+    def leave(self, n: int) -> None:
+        """Only the first ``n`` stay open."""
+        while len(self.open) > n:
+            self.places[self.open.pop()[0]].pop()
+
+
+class _Open:
+    """The elements open at a place, by their order; some may be closed below others."""
+
+    def __init__(self):
+        self.names: list[str | None] = []
+        self.marks: list[int] = []
+        #: For each name, and for each kind of elements, the places of open ones, ascending.
+        self.places: dict[str, list[int]] = {}
+
+    def _keys(self, name: str) -> list[str]:
+        kinds = [name]
+        if name in BLOCKS:
+            kinds.append("*block")
+            if name not in ENDED_BY:
+                kinds.append("*lasting")
+        if name in _BARRIERS:
+            kinds.append("*barrier")
+        return kinds
+
+    def push(self, name: str, mark: int) -> None:
+        for key in self._keys(name):
+            self.places.setdefault(key, []).append(len(self.names))
+        self.names.append(name)
+        self.marks.append(mark)
+
+    def last(self, key: str) -> int:
+        """The place of the last open one, -1 if there is none."""
+        places = self.places.get(key, ())
+        return places[-1] if places else -1
+
+    def first_above(self, key: str, place: int) -> int | None:
+        places = self.places.get(key, ())
+        i = bisect_right(places, place)
+        return places[i] if i < len(places) else None
+
+    def close(self, place: int) -> None:
+        """Closes the last open element of its name, wherever others stand."""
+        for key in self._keys(self.names[place]):
+            places = self.places[key]
+            del places[bisect_left(places, place)]
+        self.names[place] = None
+        while self.names and self.names[-1] is None:
+            self.names.pop()
+            self.marks.pop()
+
+
 def _ends(marks: list[re.Match]) -> dict[int, int]:
     """For each start tag the place of the mark that ends it, the number of marks if none does.
 
     An end tag that may be left out is implied by the next sibling or the parent's end.
-    Another element without its own end tag goes at most to the next article.
+    Another element without its own end tag goes at most to the next article. The work
+    grows with the marks (times a logarithm), whatever is left unclosed.
     """
     mains = [k for k, x in enumerate(marks) if (x["name"] or "").lower() in MAIN and not x["end"]]
     out: dict[int, int] = {}
-    stack: list[tuple[str, int]] = []
-    opened: Counter[str] = Counter()
+    held = _Open()
 
     def implied(first: int, place: int) -> None:
         """Ends what is open from ``first`` on, without own end tags."""
-        for name, k in stack[first:]:
+        while len(held.names) > first:
+            name, k = held.names[-1], held.marks[-1]
             later = bisect_right(mains, k)
             out[k] = place if name in ENDED_BY or later == len(mains) else min(place, mains[later])
-            opened[name] -= 1
-        del stack[first:]
+            held.close(len(held.names) - 1)
 
     for k, mark in enumerate(marks):
         name = (mark["name"] or "").lower()
         if not name or name in VOID and name not in _ENDING:
             continue
         if not mark["end"]:
-            if any(opened[x] for x in _ENDING.get(name, ())):
-                first = None
-                # What ends a part also ends what is open inside it, up to an element that holds siblings of its own.
-                for i in range(len(stack) - 1, -1, -1):
-                    above = stack[i][0]
-                    if above in ENDED_BY and name in ENDED_BY[above][0]:
-                        first = i
-                    elif above in _BARRIERS or (above in BLOCKS and above not in ENDED_BY and name not in ENDED_BY):
-                        break
-                if first is not None:
-                    implied(first, k)
+            # What ends a part also ends what is open inside it, up to an element that holds siblings of its own.
+            stop = max(held.last("*barrier"), -1 if name in ENDED_BY else held.last("*lasting"))
+            firsts = [held.first_above(x, stop) for x in _ENDING.get(name, ())]
+            first = min((x for x in firsts if x is not None), default=None)
+            if first is not None:
+                implied(first, k)
             if name not in VOID:
-                stack.append((name, k))
-                opened[name] += 1
+                held.push(name, k)
+            continue
+        at = held.last(name)
+        # An end tag in a table's cell or a list does not end what lies around them.
+        scopes = {"table", *ENDED_BY.get(name, (0, ()))[1]} - {name}
+        if at < 0 or any(held.last(x) > at for x in scopes):
             continue
-        for i in range(len(stack) - 1, -1, -1) if opened[name] else ():
-            if stack[i][0] == name:
-                if name in BLOCKS or not any(x in BLOCKS for x, _ in stack[i + 1 :]):
-                    implied(i + 1, k)
-                out[stack.pop(i)[1]] = k
-                opened[name] -= 1
-                break
-            # An end tag in a table's cell or a list does not end what lies around them.
-            if stack[i][0] == "table" or (name in ENDED_BY and stack[i][0] in ENDED_BY.get(name, (0, set()))[1]):
-                break
+        if name in BLOCKS or held.last("*block") <= at:
+            implied(at + 1, k)
+        out[held.marks[at]] = k
+        held.close(at)
     implied(0, len(marks))
     return out
 
@@ -264,7 +368,7 @@ class _Held:
             name = (mark["name"] or "").lower()
             if not name or mark["end"] or name in VOID or k < dropped:
                 continue
-            if _other_part(name, mark["rest"], True):
+            if _unseen(name, mark["rest"]) or _other_part(name, mark["rest"], True):
                 dropped = ends[k] + 1
                 continue
             named = _named_other(name, mark["rest"], True)
@@ -289,35 +393,54 @@ class _Held:
         return bisect_right(self.articles, k) < bisect_left(self.articles, end) or text * 100 > DOMINANT_PERCENT * self.all
 
 
-def kept_lines(lines: list[Line]) -> list[bool]:
+def surges(sizes: list[int]) -> list[bool]:
     """Which lines lie between a surge and a dive of the window sums.
 
-    A segment begins where the sum first reaches the surge and ends where a whole window
-    is empty. Inside an article it extends to the article's bounds, outside to the last
-    lines that hold text. Without any surge the window of the largest sum is kept.
+    Runs of lines that hold text are kept where the sum over a window of them reaches the
+    surge and a share of the largest such sum; without a surge, those of the largest sum.
+    What lies between two kept runs, no window apart, is kept with them.
     """
-    sizes = [
-        0 if not x.article and x.linked * 100 > LINKED_PERCENT * len(x.text) else len(x.text) for x in lines
-    ]
-    sums = [sum(sizes[i : i + WINDOW]) for i in range(len(sizes))]
-    level = min(SURGE, max(sums, default=0))
-    kept = [False] * len(lines)
+    runs: list[tuple[int, int, int]] = []
     i = 0
-    while i < len(lines) and level:
-        if sums[i] < level:
-            i += 1
-            continue
-        first = i
-        while i < len(lines) and sums[i]:
-            i += 1
-        while first and sizes[first - 1]:
-            first -= 1
-        for j in range(first, min(i, len(lines))):
-            kept[j] = sizes[j] > 0
+    while i < len(sizes):
+        j = i
+        while j < len(sizes) and sizes[j]:
+            j += 1
+        if j > i:
+            runs.append((i, j, max(sum(sizes[k : min(k + WINDOW, j)]) for k in range(i, j))))
+        i = j + 1
+    largest = max((peak for _, _, peak in runs), default=0)
+    level = max(min(SURGE, largest), largest * PEAK_PERCENT / 100)
+    kept = [False] * len(sizes)
+    high = [k for k, (_, _, peak) in enumerate(runs) if peak >= level]
+    last = None
+    for k in high:
+        first = runs[k][0]
+        if last is not None and all(runs[n + 1][0] - runs[n][1] <= WINDOW for n in range(last, k)):
+            first = runs[last][0]
+        for line in range(first, runs[k][1]):
+            kept[line] = True
+        last = k
+    return kept
+
+
+def kept_lines(lines: list[Line]) -> list[bool]:
+    """Which lines are main text: those the window sums find, as elements and names refine them.
+
+    Lines of other parts are taken from them; lines that stand in one container with kept
+    ones are added. Where an article holds kept lines, all its lines are added, and what lies
+    outside of it goes. If the sums find other parts only, they are formed again without these.
+    """
+    sizes = [0 if x.linked * 100 > LINKED_PERCENT * len(x.text) else len(x.text) for x in lines]
+    kept = [k and not x.other for x, k in zip(lines, surges(sizes), strict=True)]
+    if not any(kept):
+        sizes = [0 if x.other else n for x, n in zip(lines, sizes, strict=True)]
+        kept = surges(sizes)
     main = {x.article for x, k in zip(lines, kept, strict=True) if k and x.article}
     if main:
-        return [x.article in main and bool(x.text) for x in lines]
-    return kept
+        return [x.article in main and bool(x.text) and not x.other for x in lines]
+    beside = {x.container for x, k in zip(lines, kept, strict=True) if k and x.text}
+    return [(k or x.container in beside and n > 0) and bool(x.text) and not x.other for x, k, n in zip(lines, kept, sizes, strict=True)]
 
 
 def main_text(page: str) -> str:
@@ -341,7 +464,8 @@ def extracted(pages: DataFrame, id: str = "page_id", url: str = "url", page: str
 
     A null or empty page, and one without text, gives an empty text. Broken markup is read
     as far as it goes: an unclosed article ends with the page, a paragraph or list entry as in HTML. Null ids and
-    urls stay, repeated rows are extracted each, other columns are not read.
+    urls stay, repeated rows are extracted each, other columns are not read. Pages are read whole, in time that
+    grows with their length however their markup is broken.
     """
     source = pages.select(
         named(id).cast("long").alias("page_id"), named(url).cast("string").alias("url"), F.coalesce(named(page), F.lit("")).alias("html")
