@@ -124,41 +124,50 @@ FROM e GROUP BY conv_id
 
 
 def _licenses() -> str:
-    model = ", ".join(
-        f"({n}, {_regex(name)}, {_regex(t)}, {c})" for n, name, terms in licenses.templates() for t, c in terms.items()
+    rows = ", ".join(
+        f"({n}, {_regex(name)}, {_regex(t)}, {c})" for n, name, _, terms in licenses.templates() for t, c in terms.items()
     )
-    wording = ", ".join(f"({_regex(t)})" for t in sorted(licenses.COMMON))
+    common = ", ".join(f"({_regex(t)})" for t in sorted(licenses.COMMON))
+    window, step = licenses.WINDOW, licenses.STEP
     return f"""
 WITH f AS (
   SELECT DISTINCT concat_ws('/', source, lang, doc_id || '.txt') AS path, doc_id, coalesce(text, '') AS text FROM documents
-), model AS (SELECT * FROM (VALUES {model}) AS t(template, licence, term, n)),
-term AS (SELECT DISTINCT term FROM model),
-line AS (
-  SELECT path, k, regexp_extract_all(lower(ls[k]), '{licenses.TERM}') AS terms
-  FROM (SELECT path, ls, unnest(range(1, len(ls) + 1)) AS k FROM (SELECT path, string_split(text, chr(10)) AS ls FROM f))
-), word AS (SELECT path, k, unnest(terms) AS term FROM line),
-held AS (SELECT path, k, term, count(*) AS tf FROM word SEMI JOIN term USING (term) GROUP BY ALL),
-idf AS (
-  SELECT term, ln(((SELECT count(*) FROM f) + 1) / (count(DISTINCT path) + 1)) + 1 AS idf FROM term LEFT JOIN held USING (term) GROUP BY term
-), unit AS (
-  SELECT template, licence, term, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY template)) AS unit
-  FROM model JOIN idf USING (term)
-), norm AS (SELECT path, k, sqrt(sum(tf * idf * tf * idf)) AS norm FROM held JOIN idf USING (term) GROUP BY ALL),
+), t AS (SELECT path, text, regexp_extract_all(lower(text), '{licenses.TERM}') AS terms FROM f),
+model AS (SELECT * FROM (VALUES {rows}) AS t(template, licence, term, n)),
+common AS (SELECT * FROM (VALUES {common}) AS t(term)),
+known AS (SELECT DISTINCT term FROM model ANTI JOIN common USING (term)),
+held AS (SELECT term, count(DISTINCT path) AS df FROM (SELECT path, unnest(terms) AS term FROM t) SEMI JOIN known USING (term) GROUP BY term),
+idf AS (SELECT term, ln(((SELECT count(*) FROM f) + 1) / (coalesce(df, 0) + 1)) + 1 AS idf FROM known LEFT JOIN held USING (term)),
+weight AS (SELECT term, idf FROM idf UNION ALL SELECT term, 1 FROM common),
+unit AS (
+  SELECT template, licence, term, n * idf / sqrt(sum(n * idf * n * idf) OVER (PARTITION BY template)) AS unit FROM model JOIN weight USING (term)
+), line AS (SELECT path, unnest(string_split(text, chr(10))) AS l FROM f),
+short AS (
+  SELECT path, regexp_extract_all(lower(l), '{licenses.TERM}') AS terms FROM line
+  UNION ALL
+  SELECT path, regexp_extract_all(lower(unnest(regexp_split_to_array(l, '{licenses.SENTENCE}'))), '{licenses.TERM}') FROM line
+), units AS (
+  SELECT *, row_number() OVER () AS at FROM (
+    SELECT path, terms FROM short WHERE len(terms) BETWEEN 1 AND {window}
+    UNION
+    SELECT path, terms[k : k + {window} - 1] FROM (SELECT path, terms, unnest(range(1, greatest(len(terms) - {step}, 1) + 1, {step})) AS k FROM t)
+    WHERE len(terms) > 0)
+), tf AS (SELECT at, term, count(*) AS tf FROM (SELECT at, unnest(terms) AS term FROM units) GROUP BY ALL),
+weighed AS (SELECT at, term, tf * coalesce(idf, (SELECT avg(idf) FROM idf)) AS weight FROM tf LEFT JOIN weight USING (term)),
+norm AS (SELECT at, sqrt(sum(weight * weight)) AS norm FROM weighed GROUP BY at),
 score AS (
-  SELECT path, k, template, licence, round(sum(tf * idf * unit) / any_value(norm), 6) AS score
-  FROM held JOIN idf USING (term) JOIN unit USING (term) JOIN norm USING (path, k) GROUP BY ALL
+  SELECT at, template, licence, round(sum(weight * unit) / any_value(norm), 6) AS score
+  FROM weighed JOIN unit USING (term) JOIN norm USING (at) GROUP BY ALL
 ), best AS (
-  SELECT path, k, score, licence FROM score WHERE score >= {licenses.LEAST}
-  QUALIFY row_number() OVER (PARTITION BY path, k ORDER BY score DESC, template) = 1
-), words AS (
-  SELECT path, k, count(*) AS n FROM word WHERE term IN (SELECT term FROM term UNION ALL SELECT * FROM (VALUES {wording})) GROUP BY ALL
+  SELECT at, score, licence FROM score WHERE score >= {licenses.LEAST}
+  QUALIFY row_number() OVER (PARTITION BY at ORDER BY score DESC, template) = 1
 ), header AS (
-  SELECT path, max(struct_pack(score := score, licence := licence)) AS h, sum(n) AS noticed
-  FROM best JOIN words USING (path, k) GROUP BY path
+  SELECT path, max(struct_pack(granted := licence <> {_regex(licenses.RESERVED)}, score := score, licence := licence)) AS h,
+    max(len(terms)) AS noticed
+  FROM best JOIN units USING (at) GROUP BY path
 ), stated AS (
-  SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, max(h) AS h FROM header JOIN f USING (path)
-  WHERE regexp_matches(path, {_regex(licenses.FILE_NAME)})
-    OR noticed * 100 >= len(regexp_extract_all(text, '{_WORD}')) * {licenses.FILE_PERCENT}
+  SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, max(h) AS h FROM header JOIN t USING (path)
+  WHERE regexp_matches(path, {_regex(licenses.FILE_NAME)}) OR noticed * 100 >= len(terms) * {licenses.FILE_PERCENT}
   GROUP BY dir
 ), near AS (
   SELECT path, arg_max(dir, length(dir)) AS dir, arg_max(h.licence, length(dir)) AS licence
