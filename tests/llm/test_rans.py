@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.errors import PythonException
 
@@ -75,10 +77,24 @@ def test_damage_is_found():
 def test_words_are_encoded_as_whole_texts():
     texts = [prose(k, 300) for k in range(4)]
     texts += ["İstanbul ΣΑΣ ǅ ﬁ   x y\x1cz é ́a don't it'S ''s 's", "#~ ## !!?? a1b22 日本語 <|endoftext|> </w>", "\x85\x0b\x0c\r", ""]
-    got = [np.frombuffer(x, dtype="<u2").tolist() for x in word_encoder(PATH, "<u2")(texts)]
+    got = [np.frombuffer(x, dtype="<u2").tolist() for x in word_encoder(PATH, "<u2")(pa.array(texts)).to_pylist()]
     assert [[*x, 2] for x in got] == expected(texts)
 
 
+def test_words_of_all_kinds_equal_the_library():
+    """Every word of the vocabulary, made-up ones, and every character below U+0600 inside a word."""
+    pick = random.Random(5)
+    tokenizer = open_tokenizer(PATH)
+    vocabulary = [tokenizer.id_to_token(i).replace("</w>", "") for i in range(0, 49_000, 7)]
+    words = [w for w in vocabulary if w.isascii()]
+    words += ["".join(pick.choices(words, k=3)) for _ in range(20_000)]
+    words += ["".join(pick.choices("abcdefghijklmnopqrstuvwxyzABCéßøñ'-.,0123!#", k=pick.randint(1, 25))) for _ in range(20_000)]
+    words += [f"a{chr(c)}{x}" for c in range(33, 0x600) for x in ("", "b", "\u0301", "s!")]
+    got = word_encoder(PATH, "<u2")(pa.array(words)).to_pylist()
+    want = tokenizer.encode_batch(words, add_special_tokens=False)
+    assert [np.frombuffer(g, dtype="<u2").tolist() for g in got] == [e.ids for e in want]
+
+
 def check(rows, found):
     """In order of the ids read back: gapless starts, and every document's ids."""
     got = sorted(found, key=lambda r: r.start)

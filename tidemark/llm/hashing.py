@@ -57,11 +57,11 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about ``CHUNK`` bytes."""
+def chunks(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about ``size`` bytes."""
     first, n = 0, len(offsets) - 1
     while first < n:
-        last = int(np.searchsorted(offsets, offsets[first] + CHUNK, side="right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, side="right")) - 1
         last = min(n, max(first + 1, last))
         yield first, last
         first = last

@@ -29,15 +29,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.columns import named, text_of
+from tidemark.llm.hashing import chunks, utf8
 from tidemark.llm.tokens import vocabulary_size, word_encoder
 from tidemark.session import materialize, scratch
 
 END = 2
 #: Frequencies sum up to 2**BITS; a lane's state stays in [2**31, 2**63).
 BITS, LOW = 20, np.uint64(1 << 31)
-LANES = 256
+LANES = 1024
 #: Steps between checkpoints, and tokens after which a block is closed.
-STEPS, BLOCK = 128, 1 << 17
+STEPS, BLOCK = 64, 1 << 18
+#: Bytes of text tokenized at once: of these each distinct word is looked up once.
+TEXT_BYTES = 16_000_000
 _HEAD = "<4sHHIIIIIII"
 MAGIC, VERSION = b"TRNS", 1
 _WORD = np.uint64(32)
@@ -180,9 +183,9 @@ def _tokenized(path: str, end: int, kind: str):
         ids_of = word_encoder(path, kind)
         last = np.array([end], dtype=kind).tobytes()
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                ids, texts = (c.slice(a, 256) for c in batch.columns)
-                coded = [x + last for x in ids_of(texts.to_pylist())]
+            for a, b in chunks(utf8(batch.column(1))[1], TEXT_BYTES):
+                ids, texts = (c.slice(a, b - a) for c in batch.columns)
+                coded = [x + last for x in ids_of(texts).to_pylist()]
                 yield pa.RecordBatch.from_arrays([ids, pa.array(coded, pa.binary())], names=["doc_id", "ids"])
 
     return run
@@ -293,7 +296,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     parts = blocks.groupBy("part").agg(F.sum("tokens").alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    placed = blocks.select("part", "first", "block").join(parts, "part")
+    # There are at most spark.sql.shuffle.partitions of them, so the blocks are not shuffled.
+    placed = blocks.select("part", "first", "block").join(F.broadcast(parts), "part")
     return placed.select((F.col("before") + F.col("first")).alias("start"), "block").mapInArrow(
         _documents(share), "doc_id long, start long, n_tokens long, ids binary"
     )

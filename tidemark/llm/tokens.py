@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import json
 import os
+import unicodedata
 from array import array
 from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Words whose ids a task remembers at once; older ones make way.
 REMEMBERED = 200_000
@@ -99,38 +102,100 @@ _DROPS_SPACE = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"
 _ONLY_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
-def _parts_at_space(path: str) -> bool:
-    """Does the tokenizer of a file encode what stands between white space independently?"""
+#: Words a task remembers before it begins anew; some hundred bytes each.
+MOST_WORDS = 600_000
+#: Characters below this are lower-cased and parted here as the library does it; others go through it.
+_LATIN_END = "\u0250"
+
+
+def _word_ranks(path: str) -> dict[bytes, int] | None:
+    """The vocabulary of a tokenizer that encodes what stands between white space independently.
+
+    A byte that no text has (255) stands for the end of a word, and words that end with it
+    are ranked as the library merges them: last letters first, then in the order of merges,
+    which is the order of ids. None if the file is of another kind.
+    """
     with open(path, encoding="utf-8") as file:
         rules = json.load(file)
+    model, added = rules["model"], {t["content"] for t in rules.get("added_tokens") or ()}
     steps = (rules.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
     split = steps[0].get("type") == "Split" and steps[0].get("behavior") == "Removed" and steps[0].get("invert")
     same = split and steps[0].get("pattern") == {"Regex": _ONLY_WORDS} and all(s.get("use_regex") is False for s in steps[1:])
-    return bool(same and (rules.get("normalizer") or {}).get("normalizers") == _DROPS_SPACE)
+    end, others = model.get("end_of_word_suffix"), (model.get("continuing_subword_prefix"), model.get("unk_token"), model.get("dropout"))
+    if not same or (rules.get("normalizer") or {}).get("normalizers") != _DROPS_SPACE or not end or any(others):
+        return None
+    merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    made = [model["vocab"]["".join(m)] for m in merges]
+    signs = _byte_signs()
+    ranks = {}
+    for word, i in model["vocab"].items():
+        if word not in added:
+            ranks[bytes(signs[c] for c in word.removesuffix(end)) + (b"\xff" if word.endswith(end) else b"")] = i
+    last = [i for word, i in ranks.items() if len(word) == 2 and word[1] == 255]
+    ordered = made == sorted(set(made)) and len(last) == 256 and max(last) < min(made, default=1 << 31)
+    return ranks if ordered and len(ranks) == len(model["vocab"]) - len(added & set(model["vocab"])) else None
 
 
-def word_encoder(path: str, kind: str = "<u4") -> Callable[[list[str]], list[bytes]]:
+def word_encoder(path: str, kind: str = "<u4") -> Callable[[pa.Array], pa.Array]:
     """A function from texts to their ids as numbers of a numpy ``kind``, for tokenizers that drop white space.
 
-    Words parted by ASCII white space are encoded independently: each distinct word is
-    encoded once by the library and its ids are remembered. Other files go text by text.
+    What stands between ASCII white space is encoded independently, and so are the words
+    and signs it consists of: the ids of both are remembered, up to a number of them. Words
+    beyond the Latin scripts are encoded by the library; files of another kind, text by
+    text.
     """
     slow = open_tokenizer(path)
 
     def whole(texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype=kind).tobytes() for e in slow.encode_batch_fast(texts, add_special_tokens=False)]
 
-    if not _parts_at_space(path):
-        return whole
-    known: dict[bytes, bytes] = {}
+    ranks = _word_ranks(path)
+    if ranks is None:
+        return lambda texts: pa.array(whole(texts.to_pylist()), pa.large_binary())
+    import regex
+    import tiktoken
 
-    def encode(texts: list[str]) -> list[bytes]:
-        nonlocal known
-        words = [t.encode().split() for t in texts]
-        if len(known) > REMEMBERED:
-            known = {}
-        fresh = list({w for text in words for w in text} - known.keys())
-        known.update(zip(fresh, whole([w.decode() for w in fresh]), strict=True))
-        return [b"".join([known[w] for w in text]) for text in words]
+    core, code = tiktoken.Encoding("words", pat_str=".", mergeable_ranks=ranks, special_tokens={})._core_bpe, "H" if np.dtype(kind).itemsize == 2 else "I"
+    parts, piece_ids = regex.compile(_ONLY_WORDS).findall, core.encode_single_piece
+    words: dict[str, bytes] = {}
+    pieces: dict[str, bytes] = {}
+
+    def piece(text: str) -> bytes:
+        ids = pieces.get(text)
+        if ids is None:
+            ids = pieces[text] = array(code, piece_ids(text.encode() + b"\xff")).tobytes()
+        return ids
+
+    def learn(fresh: list[str]) -> None:
+        joined = " ".join(fresh)
+        latin = joined.isascii() or max(joined) < _LATIN_END
+        # Within the Latin scripts a letter's lower case does not depend on its neighbours.
+        plain = unicodedata.normalize("NFC", joined).lower().split(" ") if latin else [None] * len(fresh)
+        for raw, text in zip(fresh, plain, strict=True):
+            if text is None:
+                if max(raw, default="") >= _LATIN_END:
+                    words[raw] = whole([raw])[0]
+                    continue
+                text = unicodedata.normalize("NFC", raw).lower()
+            # A word of letters alone is one piece.
+            words[raw] = piece(text) if text.isalpha() else b"".join(map(piece, parts(text)))
+
+    def encode(texts: pa.Array) -> pa.Array:
+        split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
+        coded = split.flatten().dictionary_encode()
+        own = coded.dictionary.to_pylist()
+        for known in (words, pieces):
+            if len(known) > MOST_WORDS:
+                known.clear()
+        if fresh := [w for w in own if w not in words]:
+            learn(fresh)
+        # Each distinct word is looked up once; its ids are copied to wherever it stands.
+        ids = pa.array([words[w] for w in own], pa.large_binary()).take(coded.indices)
+        first = split.offsets.to_numpy()
+        at = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[first - first[0]]
+        data = ids.buffers()[2]
+        return pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(texts), [None, pa.py_buffer(at), pa.py_buffer(b"") if data is None else data]
+        )
 
     return encode
