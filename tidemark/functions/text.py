@@ -45,22 +45,24 @@ def full_name(first: Column, last: Column, *, strict: bool = False) -> Column:
 def float_text(c: Column) -> Column:
     """Shortest text of a double, positional between 1e-4 and 1e16.
 
-    A plain cast prints ``1.0E7``; amounts and ids must read ``10000000.0``.
+    A plain cast prints ``1.0E7``; amounts and ids must read ``10000000.0``. Values that
+    the cast prints well take that way alone; the others go through a lambda, whose
+    expressions stay out of the generated code: inlined for every column of a wide table
+    they made methods too large to compile.
     """
-    printed = c.cast("string")
     size = F.abs(c)
-    padded = c.try_cast("decimal(38,21)").cast("string")
-    positional = F.regexp_replace(padded, r"^(-?\d+\.(?:\d*[1-9]|0))0*$", "$1")
-    signed = F.replace(F.regexp_replace(printed, r"(\.0)?E", "e+"), F.lit("e+-"), F.lit("e-"))
+    plain = ((size >= 1e-3) & (size < 1e7)) | (size == 0)
+    return F.when(plain, c.cast("string")).otherwise(F.get(F.transform(F.array(c), _rare_float_text), F.lit(0)))
+
+
+def _rare_float_text(c: Column) -> Column:
+    """The text of doubles below 1e-3 or from 1e7 on, and of those that are no number."""
+    size = F.abs(c)
+    positional = F.regexp_replace(c.try_cast("decimal(38,21)").cast("string"), r"^(-?\d+\.(?:\d*[1-9]|0))0*$", "$1")
+    signed = F.replace(F.regexp_replace(c.cast("string"), r"(\.0)?E", "e+"), F.lit("e+-"), F.lit("e-"))
     two_digits = F.regexp_replace(signed, r"e([+-])(\d)$", "e$10$2")
-    scientific = F.replace(
-        F.replace(two_digits, F.lit("NaN"), F.lit("nan")), F.lit("Infinity"), F.lit("inf")
-    )
-    return (
-        F.when(((size >= 1e-3) & (size < 1e7)) | (size == 0), printed)
-        .when((size >= 1e-4) & (size < 1e16), positional)
-        .otherwise(scientific)
-    )
+    scientific = F.replace(F.replace(two_digits, F.lit("NaN"), F.lit("nan")), F.lit("Infinity"), F.lit("inf"))
+    return F.when((size >= 1e-4) & (size < 1e16), positional).otherwise(scientific)
 
 
 def as_text(c: Column, dtype: T.DataType) -> Column:

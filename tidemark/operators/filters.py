@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.text import any_of
 from tidemark.functions.times import event_time, time_literal
+from tidemark.operators.watermark import modified_time
 
 
 def delta_filter(
@@ -26,6 +28,16 @@ def delta_filter(
     return df.filter(column >= bound if inclusive else column > bound)
 
 
+def changed_since(df: DataFrame, modified: Sequence[str], since: datetime) -> DataFrame:
+    """Rows modified at or after a time by the first of several columns that a row fills,
+    and rows that state no readable time: none of them may be lost."""
+    known = [c for c in modified if c in df.columns]
+    if not known:
+        return df
+    stamp = modified_time(df, *known)
+    return df.filter(stamp.isNull() | (stamp >= time_literal(since, T.TimestampType())))
+
+
 def missing_parent(parent: Column) -> Column:
     return F.coalesce(parent.cast("string"), F.lit("")) == ""
 

@@ -97,7 +97,7 @@ def _one_per_key(current: DataFrame) -> DataFrame:
     return latest_per_key(given, ["id"], [*newest, F.xxhash64(*STATE)])
 
 
-def _entries(rows: DataFrame, run_id: str, run_ts: datetime) -> DataFrame:
+def entries(rows: DataFrame, run_id: str, run_ts: datetime) -> DataFrame:
     """History rows of (id, state struct ``row``, Type)."""
     stamp = offset_time(
         F.lit(as_utc(run_ts).strftime("%Y-%m-%d %H:%M:%S")), LOCAL_OFFSET_MINUTES
@@ -132,7 +132,7 @@ def snapshot_diff(
         F.col("now").alias("row"),
         F.when(F.col("was").isNull(), "Create").otherwise(_reasons()).alias("Type"),
     )
-    return _entries(compared.filter(F.col("Type") != ""), run_id, run_ts)
+    return entries(compared.filter(F.col("Type") != ""), run_id, run_ts)
 
 
 def detect_deletes(current: DataFrame, previous: DataFrame) -> DataFrame:
@@ -211,4 +211,4 @@ def snapshot_diff_full(
     rows = changed.unionByName(
         with_partner(appeared, "new_id", "old_id", replacing, "Create")
     ).unionByName(with_partner(vanished, "old_id", "new_id", replaced, "Delete"))
-    return _entries(rows, run_id, run_ts)
+    return entries(rows, run_id, run_ts)

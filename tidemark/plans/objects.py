@@ -15,7 +15,7 @@ from tidemark.operators.explode import explode_stages
 from tidemark.operators.normalize import for_loading
 from tidemark.operators.select import REQUIRED_PROPERTIES
 from tidemark.operators.union import tagged_passes
-from tidemark.plans.modules import Feed, Module, Synced, load_batch, log_run
+from tidemark.plans.modules import Batch, Feed, Module, Synced, advance_mark, as_batch, load_batch, log_run
 from tidemark.plans.store import Store
 from tidemark.sinks.partitioned import BUCKETS
 
@@ -66,28 +66,38 @@ def sync_objects(
             store.upsert(table, staged, [key], [], run_id)
         results.append(Synced(label, "synced" if records else "idle", records))
 
-    def delta(label: str, table: str, fetch: Callable[[datetime], DataFrame]) -> DataFrame:
+    def delta(label: str, table: str, fetch: Feed) -> DataFrame | None:
         module = Module(label, table, fetch, OBJECT_MODIFIED, partition_by=partition_by)
         mark = marks[label]
-        staged = store.stage(for_loading(fetch(mark[1])), table)
-        results.append(load_batch(store, source, module, staged, mark, run_id, run_ts, idle))
+        batch = as_batch(fetch(mark[1]))
+        if batch.records is None:
+            complete = not batch.is_open()
+            kept = advance_mark(store, source, label, mark, None, 0, complete, run_id, run_ts, idle)
+            results.append(Synced(label, "idle", 0, kept, complete=complete))
+            return None
+        staged = store.stage(for_loading(batch.records), table)
+        results.append(load_batch(store, source, module, staged, mark, run_id, run_ts, idle, take=batch.take))
         return staged
 
+    def companies(since: datetime) -> DataFrame | Batch:
+        """The delta, with the companies that new deals name."""
+        batch = as_batch(feeds.companies(since))
+        if deals is None:
+            return batch
+        everything = feeds.all_companies()
+        children = batch.records if batch.records is not None else everything.limit(0)
+        caught_up = association_catchup(children, deals, everything, "associated_company_ids")
+        return Batch(caught_up, batch.take, batch.is_open)
+
     try:
         marks = store.marks(source, ["deals", "companies", "line_items"], run_ts, lookback)
         whole("pipelines", "Pipelines", explode_stages(feeds.pipelines()), "stage_id")
         whole("owners", "Owners", owners_with_names(feeds.owners(False), feeds.owners(True)), "id")
         deals = delta("deals", "Deals", feeds.deals)
         for name in REQUIRED_PROPERTIES["deals"]:
-            if name not in deals.columns:
+            if deals is not None and name not in deals.columns:
                 logger.warning("deals have no property %s", name)
-        delta(
-            "companies",
-            "Companies",
-            lambda since: association_catchup(
-                feeds.companies(since), deals, feeds.all_companies(), "associated_company_ids"
-            ),
-        )
+        delta("companies", "Companies", companies)
         delta("line_items", "Line_Items", feeds.line_items)
     except Exception as failure:
         log_run(store, source, "FAILED", results, run_ts, str(failure))

@@ -12,20 +12,15 @@ from pyspark.sql import DataFrame
 from tidemark.functions.times import as_utc
 from tidemark.operators.associations import referenced_only
 from tidemark.operators.explode import explode_stages
-from tidemark.operators.history import (
-    HISTORY_SCHEMA,
-    history_state,
-    latest_history,
-    snapshot_diff_full,
-)
+from tidemark.operators.history import history_state, snapshot_diff_full
 from tidemark.operators.normalize import for_full_refresh
 from tidemark.operators.quality import full_refresh_log_row
-from tidemark.plans.modules import Synced, append_changes, history_path
+from tidemark.plans.history import History
+from tidemark.plans.modules import Synced
 from tidemark.plans.objects import owners_with_names
 from tidemark.plans.store import Store
 from tidemark.sinks.tables import append, drop_table
 from tidemark.sources.pages import feed_complete, unwrap_module_pages
-from tidemark.sources.tables import read_if_exists
 
 logger = logging.getLogger(__name__)
 
@@ -52,7 +47,7 @@ class RefreshSource:
     companies: Callable[[], DataFrame]
     line_items: Callable[[], DataFrame]
     complete: Callable[[str], bool] = lambda name: True
-    """Did the feed of deals, companies or line_items reach its end?"""
+    """Did a feed, pipelines and owners among them, reach its end?"""
 
 
 def refresh_objects(
@@ -79,7 +74,8 @@ def refresh_objects(
 
     def try_replace(label: str, table: str, feed: Callable[[], DataFrame]) -> None:
         try:
-            replace(label, table, feed())
+            if not cut(label):
+                replace(label, table, feed())
         except Exception as failure:  # a source may fail in any way
             logger.warning("skipping %s: %s", label, failure)
             results.append(Synced(label, "skipped", error=str(failure)))
@@ -94,8 +90,7 @@ def refresh_objects(
             deals = store.read("Deals")
             named = referenced_only(feeds.companies(), deals, "associated_company_ids")
             replace("companies", "Companies", named)
-        if not cut("line_items"):
-            try_replace("line_items", "Line_Items", feeds.line_items)
+        try_replace("line_items", "Line_Items", feeds.line_items)
     except Exception as failure:
         log_refresh(store, "FAILED", results, run_ts, str(failure))
         raise
@@ -117,21 +112,12 @@ class PagedModule:
 def log_snapshot_changes(
     store: Store, records: DataFrame, run_id: str, run_ts: datetime, *, deletes: bool
 ) -> None:
-    """Append what changed between the last logged state and a snapshot."""
+    """Log what changed between the last state of each key and a snapshot, in one commit."""
     current = history_state(records)
-    history = read_if_exists(store.spark, history_path(store))
-    if history is None:
-        history = store.spark.createDataFrame([], HISTORY_SCHEMA)
-    previous = latest_history(history)
-    changes = snapshot_diff_full(
-        current,
-        previous,
-        run_id,
-        run_ts,
-        deletes=deletes,
-        stage=_stages(store),
+    entries = History(store).record(
+        lambda previous: snapshot_diff_full(current, previous, run_id, run_ts, deletes=deletes, stage=_stages(store))
     )
-    append_changes(store, store.stage(changes, "revenue_changes"), run_ts)
+    store.commits.commit(f"{run_id}/history", entries)
 
 
 def _stages(store: Store) -> Callable[[DataFrame], DataFrame]:

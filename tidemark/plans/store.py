@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import threading
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -15,7 +16,9 @@ from tidemark.functions.times import as_utc
 from tidemark.operators.upsert import upsert
 from tidemark.operators.watermark import WATERMARK_SCHEMA, get_watermark
 from tidemark.session import materialize
-from tidemark.sinks.partitioned import PartitionedTable, conformed
+from tidemark.sinks.commits import Commits, Entry
+from tidemark.sinks.merged import MergedTable
+from tidemark.sinks.partitioned import BUCKETS, PartitionedTable, conformed
 from tidemark.sinks.snapshot import SnapshotTable
 from tidemark.sinks.tables import append
 from tidemark.sources.tables import read_if_exists
@@ -31,12 +34,23 @@ Mark = tuple[datetime | None, datetime]
 class Store:
     """Targets, staging tables, watermarks and run log below one shared path.
 
-    One store writes at a time; it remembers which version of a table it made current.
+    One store writes at a time; it remembers which version of a table it made current, and
+    its threads may load different tables at once.
     """
 
     spark: SparkSession
     root: str
     _tables: dict[str, SnapshotTable] = field(default_factory=dict, repr=False)
+    _commits: list[Commits] = field(default_factory=list, repr=False)
+    _lock: threading.RLock = field(default_factory=threading.RLock, repr=False, compare=False)
+
+    @property
+    def commits(self) -> Commits:
+        """The commits of all tables of the store that are merged on read."""
+        with self._lock:
+            if not self._commits:
+                self._commits.append(Commits(self.spark, f"{self.root}/meta/commits"))
+            return self._commits[0]
 
     def target(self, name: str) -> SnapshotTable:
         return self._snapshot(f"target/{name}")
@@ -47,18 +61,57 @@ class Store:
         return self._tables[path]
 
     def read(self, name: str) -> DataFrame | None:
-        """A target in either layout, None before its first load."""
-        whole = self.target(name).read()
-        return self.partitioned(name).read() if whole is None else whole
+        """A target in whichever layout it has, None before its first load."""
+        for read in (self.target(name).read, self.merged(name).read, self.partitioned(name).read):
+            if (found := read()) is not None:
+                return found
+        return None
 
     def partitioned(self, name: str) -> PartitionedTable:
         return PartitionedTable(self.spark, f"{self.root}/partitioned/{name}")
 
+    def merged(self, name: str, keys: Sequence[str] = (), buckets: int = BUCKETS) -> MergedTable:
+        """A target merged on read: of each key the newest row counts, in whatever order rows come."""
+        return MergedTable(
+            self.spark, f"{self.root}/merged/{name}", keys, buckets, newest=True, commits=self.commits, name=f"target/{name}"
+        )
+
+    def has_rows(self, name: str, least: int) -> bool:
+        """Do the commits alone tell that a target has so many rows?"""
+        return self.merged(name).at_least() >= least
+
     def stage(self, df: DataFrame, name: str) -> DataFrame:
         """A run's rows of one table, written once and then read by every step. The next
         run replaces them."""
         return materialize(df, f"{self.root}/staging/{name}")
 
+    def stage_upsert(
+        self,
+        name: str,
+        staged: DataFrame,
+        keys: list[str],
+        order: list[Column],
+        run_id: str,
+        partition_by: Column | int | None = None,
+    ) -> list[Entry]:
+        """Write staged rows to a target. With a number of buckets they go to a delta that
+        counts once the returned entries are committed. With an expression only the
+        partitions they fall into are rewritten, else a new version of the whole is written;
+        these count at once. A table stays in the layout it was begun in."""
+        merged, target = self.merged(name, keys, partition_by if isinstance(partition_by, int) else BUCKETS), self.target(name)
+        if not merged.exists():
+            stored = target.read()
+            begun = partition_by is not None and stored is None
+            if begun and (isinstance(partition_by, Column) or self.partitioned(name).read() is not None):
+                self.partitioned(name).upsert(staged, keys, partition_by, order)
+                return []
+            if not begun:
+                staged = staged if stored is None else conformed(staged, stored.schema)
+                target.publish(upsert(stored, staged, keys, order), run_id)
+                return []
+        entry = merged.stage(staged, order or [F.lit(None).cast("timestamp")])
+        return [] if entry is None else [entry]
+
     def upsert(
         self,
         name: str,
@@ -68,17 +121,9 @@ class Store:
         run_id: str,
         partition_by: Column | int | None = None,
     ) -> None:
-        """Apply staged rows to a target: given a partitioning, only the partitions the
-        rows fall into are rewritten, else a new version of the whole is written. A table
-        that was begun whole stays so."""
-        target = self.target(name)
-        stored = target.read()
-        if partition_by is not None and stored is None:
-            self.partitioned(name).upsert(staged, keys, partition_by, order)
-            return
-        if stored is not None:
-            staged = conformed(staged, stored.schema)
-        target.publish(upsert(stored, staged, keys, order), run_id)
+        """:meth:`stage_upsert` in a commit of its own."""
+        self.commits.commit(f"{run_id}/{name}", self.stage_upsert(name, staged, keys, order, run_id, partition_by))
+        self.merged(name).tend()
 
     # Rows that cannot be loaded
 
@@ -155,7 +200,8 @@ class Store:
             F.lit(run_id).alias("run_id"),
             F.lit(time.time_ns()).cast("bigint").alias("seq"),
         )
-        row.coalesce(1).write.mode("append").json(self._mark_log)
+        with self._lock:  # two writers into one folder would clear each other's attempts away
+            row.coalesce(1).write.mode("append").json(self._mark_log)
 
     @property
     def _mark_log(self) -> str:

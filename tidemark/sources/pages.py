@@ -19,7 +19,7 @@ _OBJECT = (
     "struct<id: string, properties: map<string,string>, createdAt: string, updatedAt: string,"
     f" archived: boolean, associations: struct<companies: {_LINKS}, deals: {_LINKS}>>"
 )
-OBJECT_PAGE = f"results array<{_OBJECT}>, paging struct<next: struct<after: string>>"
+OBJECT_PAGE = f"results array<{_OBJECT}>, paging struct<next: struct<after: string>>, unreadable string"
 
 # A table of more columns is taken for a mistake.
 MAX_PROPERTIES = 10_000
@@ -38,8 +38,20 @@ LINE_ITEM_PROPERTIES = (
 )
 
 
-def read_object_pages(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(OBJECT_PAGE).json(path)
+def read_object_pages(spark: SparkSession, *paths: str) -> DataFrame:
+    """Object pages; a line that is no JSON, or no such page, stands whole in ``unreadable``."""
+    return read_result_pages(spark, OBJECT_PAGE, *paths)
+
+
+def read_result_pages(spark: SparkSession, schema: str, *paths: str) -> DataFrame:
+    """Pages of a schema with ``results``, ``paging`` and ``unreadable``, and when their file was written."""
+    read = spark.read.schema(schema).option("columnNameOfCorruptRecord", "unreadable").json(list(paths))
+    return read.withColumn("written_at", F.col("_metadata.file_modification_time"))
+
+
+def readable(pages: DataFrame) -> DataFrame:
+    """Pages without the lines that could not be read, whose results may be cut."""
+    return pages.filter(F.col("unreadable").isNull())
 
 
 def property_names(pages: DataFrame) -> list[str]:
@@ -108,7 +120,7 @@ def read_module_pages(spark: SparkSession, path: str, record: T.StructType) -> D
     return read.withColumn("page", F.coalesce("page", "info.page"))
 
 
-def read_variant_pages(spark: SparkSession, path: str) -> DataFrame:
+def read_variant_pages(spark: SparkSession, *paths: str) -> DataFrame:
     """Module pages whose records have no schema: ``data`` is a variant array.
 
     The page number stands at the top or in ``info``. A line that is no JSON is kept
@@ -119,13 +131,14 @@ def read_variant_pages(spark: SparkSession, path: str) -> DataFrame:
     def number(place: str) -> Column:
         return F.try_variant_get(page, place, "bigint")
 
-    return spark.read.text(path).select(
+    return spark.read.text(list(paths)).select(
         F.coalesce(number("$.page"), number("$.info.page")).alias("page"),
         F.try_variant_get(page, "$.data", "variant").alias("data"),
         F.struct(
             F.try_variant_get(page, "$.info.more_records", "boolean").alias("more_records")
         ).alias("info"),
         F.when(page.isNull() & (F.trim("value") != ""), F.col("value")).alias("unreadable"),
+        F.col("_metadata.file_modification_time").alias("written_at"),
     )
 
 
@@ -144,6 +157,28 @@ def landed_records(pages: DataFrame) -> DataFrame:
     return rows.filter(found).select(F.col("value").alias("record"), "unreadable")
 
 
+def landed_pages(pages: DataFrame) -> DataFrame:
+    """(page, more, written_at, record, unreadable): a row per record, page without records, and unreadable line."""
+    each = pages.sparkSession.tvf.variant_explode_outer(F.col("data").outer())
+    named = pages.select("page", F.col("info.more_records").alias("more"), "written_at", "data", "unreadable")
+    rows = named.lateralJoin(each)
+    return rows.select("page", "more", "written_at", F.col("value").alias("record"), "unreadable")
+
+
+def page_facts(landed: DataFrame, records: Column) -> DataFrame:
+    """(page, more, records, unreadable) of landed pages, one row a number.
+
+    Of a page that came twice the one written last counts; pages without numbers announce
+    more if all of them do. Lines that could not be read are no pages.
+    """
+    read = F.col("unreadable").isNull()
+    by_page = landed.filter(read).groupBy("page").agg(
+        F.when(F.first("page").isNull(), F.bool_and(F.coalesce("more", F.lit(False)))).otherwise(F.max_by("more", "written_at")).alias("more"),
+        F.sum(records).cast("long").alias("records"),
+    )
+    return by_page.select("page", "more", "records", F.lit(0).cast("long").alias("unreadable"))
+
+
 def unwrap_module_pages(pages: DataFrame) -> DataFrame:
     return pages.select(F.explode("data").alias("r")).select("r.*")
 

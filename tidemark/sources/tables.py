@@ -15,10 +15,10 @@ def scan_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_if_exists(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, *, format: str = "parquet"
+    spark: SparkSession, path: str, schema: T.StructType | None = None, *, format: str = "parquet", **options: str
 ) -> DataFrame | None:
     """The table at a path, or None when there is none; any other failure is raised."""
-    reader = spark.read.format(format)
+    reader = spark.read.format(format).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     try:

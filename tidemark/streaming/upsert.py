@@ -9,13 +9,14 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.operators.upsert import upsert_newest
 from tidemark.session import materialize
+from tidemark.sinks.merged import MergedTable
 from tidemark.sinks.partitioned import PartitionedTable
 from tidemark.sinks.snapshot import SnapshotTable
 
 
 def stream_upsert(
     stream: DataFrame,
-    target: SnapshotTable | PartitionedTable,
+    target: SnapshotTable | PartitionedTable | MergedTable,
     keys: Sequence[str],
     order: Sequence[Column | str],
     *,
@@ -36,7 +37,10 @@ def stream_upsert(
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         staged = materialize(batch, staging)
-        if isinstance(target, PartitionedTable):
+        if isinstance(target, MergedTable):
+            if not target.commits.made(f"{name}-{batch_id}"):
+                target.upsert(staged, order, f"{name}-{batch_id}")
+        elif isinstance(target, PartitionedTable):
             target.upsert(staged, keys, partition_by, order, apply=upsert_newest)
         else:
             target.publish(

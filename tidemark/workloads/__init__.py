@@ -4,7 +4,7 @@ from importlib import import_module
 
 from tidemark.workloads.registry import WORKLOADS, Workload
 
-_FAMILIES = ("scans", "shaping", "changes", "links", "marks", "syncs")
+_FAMILIES = ("scans", "shaping", "changes", "links", "marks", "syncs", "landings")
 
 
 def all_workloads() -> dict[str, Workload]:

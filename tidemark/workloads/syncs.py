@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.functions.text import float_text
 from tidemark.operators.filters import delta_filter
-from tidemark.plans.modules import Module, history_path, sync_modules
+from tidemark.plans.history import History
+from tidemark.plans.modules import Module, sync_modules
 from tidemark.plans.objects import ObjectSource, sync_objects
 from tidemark.plans.refresh import PagedModule, RefreshSource, refresh_objects, refresh_with_history
 from tidemark.plans.store import Store
@@ -199,7 +200,7 @@ def sync_with_history(spark: SparkSession, sf_dir: str) -> DataFrame:
             "Revenue Recognition", "Revenue_Recognition", lambda since, feed=feed: feed, keeps_history=True
         )
         sync_modules(store, "crm", [module], f"run-{run}", utc(at))
-    return spark.read.parquet(history_path(store))
+    return History(store).read()
 
 
 # Objects
@@ -395,7 +396,7 @@ def full_refresh_history(spark: SparkSession, sf_dir: str) -> DataFrame:
             "Revenue Recognition", "Revenue_Recognition", lambda pages=pages: pages, keeps_history=True
         )
         refresh_with_history(store, [module], f"run-{run}", utc(at))
-    logged = spark.read.parquet(history_path(store)).select(
+    logged = History(store).read().select(
         F.col("revenue_id").alias("id"),
         "action_id",
         "action_timestamp",
