@@ -1,14 +1,21 @@
 from __future__ import annotations
 
+from datetime import datetime
+
 import pytest
 
 from tests.conftest import rows
 from tidemark.operators.upsert import upsert_newest
 from tidemark.sinks.partitioned import PartitionedTable, key_bucket
 from tidemark.sinks.snapshot import SnapshotTable
+from tidemark.sinks.commits import Commits, CommittedLog
+from tidemark.sinks.merged import MergedTable
+from tidemark.streaming.changes import STATE_STORE, stream_changes
+from tidemark.streaming.dedupe import dedupe_stream, late_rows
 from tidemark.streaming.upsert import stream_upsert
 
 SCHEMA = "id string, v int, seq int"
+STATES = "id string, amount string, Revenue_date string, Block_id string, block_name string, __changed timestamp"
 
 
 def run(spark, path, target, partition_by=None):
@@ -57,3 +64,89 @@ def test_a_replayed_batch_changes_nothing(spark):
     once = upsert_newest(target, batch, ["id"], ["seq"])
     assert rows(once) == [("a", 2, 6), ("b", 1, 1)]
     assert rows(upsert_newest(once, batch, ["id"], ["seq"])) == rows(once)
+
+
+class TestDedupe:
+    def run(self, spark, path):
+        log, late = self.logs(spark, path)
+        stream = spark.readStream.schema("id string, ts timestamp").option("maxFilesPerTrigger", 1).parquet(f"{path}/landing")
+        dedupe_stream(stream, log, ["id"], "ts", "10 minutes", name="test_dedupe", checkpoint=f"{path}/check").awaitTermination()
+        late_rows(
+            stream, log, late, ["id"], "ts", "10 minutes", name="test_late", checkpoint=f"{path}/check-late", staging=f"{path}/staging"
+        ).awaitTermination()
+
+    def logs(self, spark, path):
+        commits = Commits(spark, f"{path}/commits")
+        return CommittedLog(spark, f"{path}/log", commits, "log"), CommittedLog(spark, f"{path}/late", commits, "late")
+
+    def land(self, spark, path, *items):
+        rows = [(i, datetime(2024, 1, 1, hour, minute)) for i, hour, minute in items]
+        spark.createDataFrame(rows, "id string, ts timestamp").coalesce(1).write.mode("append").parquet(f"{path}/landing")
+
+    def test_repeats_and_late_rows(self, spark, path):
+        self.land(spark, path, ("a", 1, 0), ("a", 1, 1), ("b", 1, 2))
+        self.land(spark, path, ("b", 1, 2), ("c", 3, 0))
+        self.land(spark, path, ("f", 3, 0))  # a batch drops what was late when the batch before it began
+        self.land(spark, path, ("late", 1, 30), ("late", 1, 31), ("a", 1, 0), ("d", 3, 1))
+        self.run(spark, path)
+        log, late = self.logs(spark, path)
+        assert rows(log.read().select("id")) == [("a",), ("b",), ("c",), ("d",), ("f",)]
+        assert rows(late.read().select("id")) == [("late",)]
+        self.run(spark, path)  # nothing new
+        self.land(spark, path, ("d", 3, 1), ("late", 1, 30), ("e", 5, 0))
+        self.run(spark, path)
+        log, late = self.logs(spark, path)
+        assert rows(log.read().select("id")) == [("a",), ("b",), ("c",), ("d",), ("e",), ("f",)]
+        assert rows(late.read().select("id")) == [("late",)]
+
+    def test_a_replayed_batch_appends_nothing(self, spark, path):
+        self.land(spark, path, ("a", 1, 0))
+        self.run(spark, path)
+        log, _ = self.logs(spark, path)
+        assert not log.append(log.read(), "test_dedupe-0") and log.read().count() == 1
+
+
+class TestChanges:
+    def run(self, spark, path):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+        stream = spark.readStream.schema(STATES).option("maxFilesPerTrigger", 1).parquet(f"{path}/landing")
+        log = CommittedLog(spark, f"{path}/log", Commits(spark, f"{path}/commits"), "changes")
+        stream_changes(stream, log, datetime(2024, 6, 1), name="test_changes", checkpoint=f"{path}/check").awaitTermination()
+        return CommittedLog(spark, f"{path}/log", Commits(spark, f"{path}/commits"), "changes").read()
+
+    def land(self, spark, path, *items):
+        rows = [(i, a, d, None, None, None if t is None else datetime(2024, 5, t)) for i, a, d, t in items]
+        spark.createDataFrame(rows, STATES).coalesce(1).write.mode("append").parquet(f"{path}/landing")
+
+    def test_state_survives_a_restart(self, spark, path):
+        self.land(spark, path, ("1", "5", "d", 1), ("2", None, None, 1), ("3", "1", "d", None), (None, "9", "d", 1))
+        assert rows(self.run(spark, path).select("revenue_id", "Type", "amount")) == sorted(
+            [("1", "Create", "5"), ("2", "Create", None), ("3", "Create", "1")], key=repr
+        )
+        # Another session goes on from the checkpoint; of two versions the newest counts, an older one is left out.
+        self.land(spark, path, ("1", "6", "d", 2), ("1", "7", "e", 3), ("2", "4", None, 2), ("3", "1", "d", 2))
+        self.land(spark, path, ("1", "5", "d", 1), ("2", "4", "x", 3), ("4", "1", "d", 1))
+        found = self.run(spark, path).filter("Type <> 'Create'").select("revenue_id", "Type", "amount")
+        assert rows(found) == sorted(
+            [("1", "Amount changed and Date changed", "7"), ("2", "Amount changed", "4"), ("2", "Date changed", "4")], key=repr
+        )
+        before = self.run(spark, path).count()
+        assert before == 7 and self.run(spark, path).count() == before
+
+
+def test_a_merged_target_takes_each_batch_once(spark, path):
+    land(spark, path, ("a", 1, 5), ("b", 1, 1))
+    land(spark, path, ("a", 0, 2), ("b", 2, 7))
+
+    def table():
+        return MergedTable(spark, f"{path}/target", ["id"], 4, newest=True)
+
+    run(spark, path, table())
+    assert rows(table().read()) == [("a", 1, 5), ("b", 2, 7)]
+    commits = len(table().commits.all())
+    run(spark, path, table())
+    land(spark, path, ("c", 3, 1), ("b", 9, 6))
+    run(spark, path, table())
+    assert rows(table().read()) == [("a", 1, 5), ("b", 2, 7), ("c", 3, 1)] and len(table().commits.all()) > commits
+    with pytest.raises(ValueError):
+        run(spark, path, MergedTable(spark, f"{path}/other", ["id"]))

@@ -92,6 +92,10 @@ class Landing:
     def folder(self, name: str) -> str:
         return f"{self.path}/{name.replace(' ', '_')}"
 
+    def landed(self, name: str, schema: str) -> DataFrame | None:
+        """An optional feed as JSON lines, None if it has no folder."""
+        return read_if_exists(self.spark, self.folder(name), schema, format="json", recursiveFileLookup="true")
+
     def arrivals(self, name: str) -> Arrivals:
         feed = name.replace(" ", "_")
         return Arrivals(self.spark, self.folder(name), f"{self.store.root}/arrivals/{feed}", self.store.commits, feed)
@@ -147,7 +151,7 @@ class Landing:
     def catalog(self) -> DataFrame | None:
         """The landed list of modules in its order, if there is one."""
         entry = "api_name: string, plural_label: string, singular_label: string"
-        pages = read_if_exists(self.spark, self.folder("modules"), f"modules array<struct<{entry}>>", format="json")
+        pages = self.landed("modules", f"modules array<struct<{entry}>>")
         if pages is None:
             return None
         return pages.select(F.posexplode("modules").alias("sequence", "m")).select("sequence", "m.*")
@@ -169,9 +173,7 @@ class Landing:
         """The objects of staged pages with their visible properties."""
         objects = unwrap_objects(pages, property_names(pages), companies=companies)
         entry = "struct<name: string, hidden: boolean>"
-        catalog = read_if_exists(
-            self.spark, self.folder(f"{name}_properties"), f"results array<{entry}>", format="json"
-        )
+        catalog = self.landed(f"{name}_properties", f"results array<{entry}>")
         if catalog is None:
             return objects
         shown = catalog.selectExpr("inline(results)").unionByName(
@@ -236,8 +238,7 @@ class Landing:
         return unwrap_line_items(self.whole_pages("line_items"))
 
     def refreshed_companies(self) -> DataFrame:
-        there = read_if_exists(self.spark, self.folder("all_companies"), format="text")
-        return self.whole("companies" if there is None else "all_companies")
+        return self.whole("companies" if self.landed("all_companies", "value string") is None else "all_companies")
 
     def whole_module(self, pages: DataFrame, table: str) -> DataFrame:
         return self.typed(readable(self.stage(landed_pages(pages), table)))
@@ -245,7 +246,7 @@ class Landing:
     def complete(self, name: str) -> bool:
         """Did the cursor feed reach its end?"""
         names = [name, "owners_archived"] if name == "owners" else [name]
-        if name == "companies" and read_if_exists(self.spark, self.folder("all_companies"), format="text") is not None:
+        if name == "companies" and self.landed("all_companies", "value string") is not None:
             names = ["all_companies"]
         return all(cursor_complete(read_object_pages(self.spark, self.folder(n))).first()["complete"] for n in names)
 

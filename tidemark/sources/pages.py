@@ -45,7 +45,8 @@ def read_object_pages(spark: SparkSession, *paths: str) -> DataFrame:
 
 def read_result_pages(spark: SparkSession, schema: str, *paths: str) -> DataFrame:
     """Pages of a schema with ``results``, ``paging`` and ``unreadable``, and when their file was written."""
-    read = spark.read.schema(schema).option("columnNameOfCorruptRecord", "unreadable").json(list(paths))
+    reader = spark.read.schema(schema).option("columnNameOfCorruptRecord", "unreadable").option("recursiveFileLookup", "true")
+    read = reader.json(list(paths))
     return read.withColumn("written_at", F.col("_metadata.file_modification_time"))
 
 
@@ -131,7 +132,7 @@ def read_variant_pages(spark: SparkSession, *paths: str) -> DataFrame:
     def number(place: str) -> Column:
         return F.try_variant_get(page, place, "bigint")
 
-    return spark.read.text(list(paths)).select(
+    return spark.read.option("recursiveFileLookup", "true").text(list(paths)).select(
         F.coalesce(number("$.page"), number("$.info.page")).alias("page"),
         F.try_variant_get(page, "$.data", "variant").alias("data"),
         F.struct(

@@ -18,17 +18,19 @@ from tidemark.sinks.commits import CommittedLog
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _FIELDS = ", ".join(f"{c} string" for c in STATE)
-_VERSION = f"{_FIELDS}, {CHANGED} timestamp"
+#: When a version was changed, in microseconds; the least number if it does not say.
+_STAMP, _NEVER = "changed_at", -(1 << 62)
+_VERSION = f"{_FIELDS}, {_STAMP} bigint"
 _CHANGE = f"id string, {_FIELDS}, Type string"
 _COLUMNS = tuple(STATE)
-_STAMP = CHANGED
 
 #: The state store that keyed state of several kinds needs.
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def _plain(value):
-    return None if value is None or value is pd.NaT or (isinstance(value, float) and value != value) else value
+    """A missing text as None, however pandas has it."""
+    return None if value is None or isinstance(value, float) else value
 
 
 class LastVersions(StatefulProcessor):
@@ -42,17 +44,18 @@ class LastVersions(StatefulProcessor):
         for batch in rows:
             columns = [batch[c].tolist() for c in (_STAMP, *_COLUMNS)]
             for version in zip(*columns, strict=True):
-                version = tuple(map(_plain, version))
-                rank = (version[0] is not None, version[0], *[(v is not None, v or "") for v in version[1:]])
-                if newest is None or _after(rank, newest[0]):
+                version = (int(version[0]), *map(_plain, version[1:]))
+                # Of equally new versions any will do, but the same for every attempt.
+                rank = (version[0], [(v is not None, v or "") for v in version[1:]])
+                if newest is None or rank > newest[0]:
                     newest = (rank, version)
         stamp, *now = newest[1]
         was = self.last.get() if self.last.exists() else None
         if was is None:
             kind = "Create"
         else:
-            before = dict(zip((*_COLUMNS, _STAMP), map(_plain, was), strict=True))
-            if stamp is not None and before[_STAMP] is not None and stamp < before[_STAMP]:
+            before = dict(zip((*_COLUMNS, _STAMP), was, strict=True))
+            if _NEVER < stamp < before[_STAMP]:
                 return  # an older version that came late
             value = dict(zip(_COLUMNS, now, strict=True))
             reasons = [("Amount changed", "amount"), ("Date changed", "Revenue_date")]
@@ -65,15 +68,6 @@ class LastVersions(StatefulProcessor):
         pass
 
 
-def _after(a: tuple, b: tuple) -> bool:
-    """Is the version ranked ``a`` newer than ``b``? A version without a time is older than any."""
-    if a[0] != b[0]:
-        return a[0]
-    if a[0] and a[1] != b[1]:
-        return a[1] > b[1]
-    return a[2:] > b[2:]
-
-
 def stream_changes(
     states: DataFrame, log: CommittedLog, run_ts: datetime, *, name: str, checkpoint: str
 ) -> StreamingQuery:
@@ -85,9 +79,9 @@ def stream_changes(
     the newest counts; one older than the last seen is left out. Rows without a key are, too.
     A replayed batch finds its transaction made.
     """
-    if CHANGED not in states.columns:
-        states = states.withColumn(CHANGED, F.lit(None).cast("timestamp"))
-    keyed = states.filter(F.col("id").isNotNull()).select("id", *STATE, F.col(CHANGED).cast("timestamp").alias(CHANGED))
+    at = F.unix_micros(F.col(CHANGED).cast("timestamp")) if CHANGED in states.columns else F.lit(None)
+    stamp = F.coalesce(at.cast("bigint"), F.lit(_NEVER)).alias(_STAMP)
+    keyed = states.filter(F.col("id").isNotNull()).select("id", *STATE, stamp)
     changes = keyed.groupBy("id").transformWithStateInPandas(
         LastVersions(), outputStructType=_CHANGE, outputMode="Append", timeMode="None"
     )

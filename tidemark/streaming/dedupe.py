@@ -28,8 +28,8 @@ def dedupe_stream(
 
     Keys are remembered in the state store until the watermark, ``delay`` behind the newest
     event, has passed them by as much again, so the state stays as large as that stretch of
-    time. Rows older than the watermark are left out here; see :func:`late_rows`. A batch
-    that is replayed after a failure finds its transaction made.
+    time. Rows older than the watermark that the batch before had are left out here; see
+    :func:`late_rows`. A batch that is replayed after a failure finds its transaction made.
     """
     first = stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
     return _appending(first, lambda batch, txn: log.append(batch, txn), name, checkpoint)

@@ -29,9 +29,12 @@ def stream_upsert(
 
     The checkpoint remembers which files were read, in place of a watermark. A batch
     replayed after a failure holds the rows it had, and upserting them again changes
-    nothing. A row that comes late does not replace a newer one. A large target is a
-    partitioned table: each batch then rewrites only the partitions it falls into.
+    nothing. A row that comes late does not replace a newer one. A large target is merged
+    on read, so that a batch writes its own rows only; or it is a partitioned table, of
+    which each batch rewrites the partitions it falls into.
     """
+    if isinstance(target, MergedTable) and not target.newest:
+        raise ValueError("rows of a stream may come late: the newest row of a key has to count in the target")
     if isinstance(target, PartitionedTable) != (partition_by is not None):
         raise ValueError("a partitioned target, and only that, needs partition_by")
 
