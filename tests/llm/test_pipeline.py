@@ -25,9 +25,11 @@ def line_fails(line):
     symbols, shouts = len(re.findall(r"[#*$%&<>{}~^\\=_]", line)), len(re.findall(r"[!?]{2,}|…{2,}", line))
     if symbols * 5 > words or shouts * 5 > words:
         return True
-    if not re.search(quality.SENTENCE, line) and line[-1] not in ".!?":
-        return True
-    return len(line) <= 400 and any(n in line.lower() for n in quality.NOTICES)
+    if not re.search(quality.SENTENCE, line) and line[-1] not in ".!?" and not re.search(quality.OTHER_SENTENCE, line):
+        parts = re.findall("[^\x20\x09-\x0d]+", line)
+        if len(parts) <= 4 or 2 * len(set(parts)) <= len(parts) or 3 * sum(p[0].isupper() for p in parts) > 2 * len(parts):
+            return True
+    return any(n in line.lower() and 100 * len(n) >= 5 * len(line) for n in quality.NOTICES)
 
 
 def cleaned(rows):
@@ -65,6 +67,9 @@ def corpus():
     items = [prose(900 + i, 25).replace("\n", " ") for i in range(4)]
     texts += [prose(400 + i, 40) + "\n" + items[i % 4] for i in range(4)]
     texts += [" | ".join(prose(500 + i, 40).split()) for i in range(3)]
+    # The words of one text, broken into other lines: line dedup leaves them, as documents they are alike.
+    texts += ["\n".join(" ".join(rewrapped[a:b]) for a, b in zip((0, *cuts), (*cuts, len(rewrapped)), strict=True))
+              for cuts in ((20, 40, 60), (10, 30, 50, 70)) for rewrapped in [prose(650, 80).split()]]
     texts += [texts[0], texts[30], prose(600, 50) + "\nAll rights reserved.", "!! ".join(prose(601, 40).split()), "", None, "x " * 60]
     pick.shuffle(texts)
     return list(enumerate(texts)), items
@@ -110,3 +115,24 @@ def test_run_equals_plain_stages(spark, tmp_path):
 
 def test_names_and_order():
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality rules", "line dedup", "near dedup", "decontamination", "packing"]
+
+
+def test_odd_documents(spark, tmp_path, documents_of, odd_rows):
+    """Nulls, repeated rows, a long text and clashing columns through every stage."""
+    docs = documents_of(odd_rows)
+    spark.createDataFrame([(None, None), (1, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    now = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, str(tmp_path))
+        assert now.columns == docs.columns and dict(now.dtypes) == dict(docs.dtypes), name
+        kept = now.collect()
+        assert all(r["a.b"] == f"a.b{r.doc_id}" for r in kept), name
+    assert {r.doc_id for r in kept} <= {1, 2, 3, 9, None} and {1, 9} <= {r.doc_id for r in kept}
+    pieces = corpus_pipeline.STAGES[-1][1](spark, now, str(tmp_path)).collect()
+    assert {p.doc_id for p in pieces} == {r.doc_id for r in kept}
+
+
+def test_no_documents(spark, tmp_path, documents_of):
+    documents_of([]).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, "some item of the benchmark")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

@@ -3,7 +3,10 @@ from __future__ import annotations
 import re
 import textwrap
 
-from tidemark.llm import quality
+import duckdb
+
+from tidemark.llm import quality, queries
+from tidemark.llm.oracles import ORACLES
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 
@@ -74,3 +77,37 @@ def test_other_scripts_stay(spark, documents_of):
     got = {r.doc_id: r for r in quality.judged(documents_of([(1, hindi), (2, thai), (3, "\n".join([good] + junk))])).collect()}
     assert got[1].kept_text == hindi and got[2].kept_text == thai and got[3].kept_text == good
     assert got[1].kept and got[2].kept
+
+
+def test_sql_states_the_same_rules(spark, tmp_path):
+    """Wrapped texts, other scripts, menus, capitals and notices of all lengths, in the code and in DuckDB."""
+    docs = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()]
+    rows = [(i, "\n".join(textwrap.wrap(t or "", 40))) for i, t in docs[:60]] + [(1000 + i, t) for i, t in docs[60:90]]
+    words = "one more word that stands in the line here and there with nothing else to say"
+    odd = [f"{words} {notice}{' ' + words if k % 2 else ''}" * (1 + k % 7) for k, notice in enumerate(quality.NOTICES)]
+    odd += ["यह एक पूरा वाक्य है जो यहाँ खड़ा है।", "นี่คือประโยคยาวที่ไม่มีช่องว่างเลย", "这是一个没有空格的句子", "Home About Contact News Sport", "the the the the the the", "Ünder Éinem Öl Ägypten Straße"]
+    rows += [(2000 + i, "\n".join([x] * 2 + [words + "."] * 3)) for i, x in enumerate(odd)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.op2_quality(spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    result = con.execute(ORACLES["op2_quality"])
+    names = [d[0] for d in result.description]
+    want = {r[names.index("doc_id")]: dict(zip(names, r, strict=True)) for r in result.fetchall()}
+    got = {r.doc_id: r.asDict() for r in found.collect()}
+    assert got == {i: {c: want[i][c] for c in got[i]} for i in want}
+    kept = [r["n_kept_words"] for r in got.values()]
+    assert len(set(kept)) > 20
+
+
+def test_a_notice_fails_a_line_by_its_share(spark, documents_of):
+    long = "we use cookies " + "and then there is much more that this line has to say about them " * 8 + "."
+    rows = [(1, "We use cookies here, so be it.\n" + "This line is a good one, and it stays. " * 9), (2, long)]
+    got = {r.doc_id: r.kept_text for r in quality.judged(documents_of(rows)).collect()}
+    assert "cookies" not in got[1] and got[2] == long
+
+
+def test_a_text_of_a_million_characters(spark, documents_of):
+    rows = [(1, "x" * 1_000_000), (2, "A good sentence of some words stands here. " * 23_000)]
+    got = {r.doc_id: r.n_words for r in quality.judged(documents_of(rows)).collect()}
+    assert got == {1: 1, 2: 8 * 23_000}

@@ -13,7 +13,10 @@ def _regex(pattern: str) -> str:
 
 
 def _quality() -> str:
-    notices = " OR ".join(f"contains(lower(l), {_regex(n)})" for n in quality.NOTICES)
+    notices = " OR ".join(
+        f"(contains(lower(l), {_regex(n)}) AND length(l) * {quality.NOTICE_PERCENT} <= {100 * len(n)})" for n in quality.NOTICES
+    )
+    unparted = quality.UNPARTED.replace(r"\p{Is", r"\p{")
     return rf"""
 WITH d AS (
   SELECT row_number() OVER () AS r, doc_id, text, regexp_extract_all(text, '{_WORD}') AS w,
@@ -27,7 +30,7 @@ WITH d AS (
 ), covered AS (
   SELECT r, count(DISTINCT i + k) AS n FROM again, range({quality.WINDOW}) AS t(k) GROUP BY r
 ), line AS (
-  SELECT r, l, len(string_split(l, ' ')) AS words,
+  SELECT r, l, len(string_split(l, ' ')) AS words, regexp_extract_all(l, '{_WORD}') AS ws,
     len(regexp_extract_all(l, '[#*$%&<>{{}}~^\\=_]')) AS symbols,
     len(regexp_extract_all(l, '[!?]{{2,}}|…{{2,}}')) AS shouts,
     -- A blank may part two signs, so it is doubled before signs are counted.
@@ -37,8 +40,11 @@ WITH d AS (
   SELECT r, sum(len(regexp_extract_all(l, '{_WORD}'))) AS n FROM line
   WHERE NOT (signs >= {quality.MENU_SIGNS} AND signs * {quality.MENU_WORDS} >= words - signs)
     AND symbols * 100 <= words * {quality.MARKS_PERCENT} AND shouts * 100 <= words * {quality.MARKS_PERCENT}
-    AND (regexp_matches(l, '[.!?]$') OR regexp_matches(l, {_regex(quality.SENTENCE)}))
-    AND NOT (length(l) <= {quality.NOTICE_CHARS} AND ({notices}))
+    AND (regexp_matches(l, '[.!?]$') OR regexp_matches(l, {_regex(quality.SENTENCE)}) OR regexp_matches(l, '{quality.OTHER_SENTENCE}')
+      -- Without a sentence end: more than a few words, no half of them repeated, not mostly capitals.
+      OR NOT ((len(ws) <= {quality.FEW_WORDS} AND NOT regexp_matches(l, '{unparted}')) OR len(list_distinct(ws)) * 2 <= len(ws)
+        OR len(list_filter(ws, lambda w: regexp_matches(w, '^\p{{Lu}}'))) * 3 > len(ws) * 2))
+    AND NOT ({notices})
   GROUP BY r
 ), f AS (
   SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,

@@ -34,7 +34,7 @@ MARKS_PERCENT = 20
 #: Signs that part the entries of a menu or a trail, with blanks around them.
 MENU = r"\s(\||»|›|·|•|→|/|>)(?=\s)"
 MENU_SIGNS, MENU_WORDS = 2, 4
-#: Wording of notices (fixed values, natural order); a line of at most 400 characters that holds one fails.
+#: Wording of notices (fixed values, natural order); a line fails of which one makes up this share or more, in percent.
 NOTICES = (
     "accept cookies",
     "accept all cookies",
@@ -60,7 +60,7 @@ NOTICES = (
     "tous droits réservés",
     "we use cookies",
 )
-NOTICE_CHARS = 400
+NOTICE_PERCENT = 5
 #: A document that keeps less than this share of its words is rejected.
 KEPT_PERCENT = 50
 
@@ -81,7 +81,8 @@ def _figures(line: Column) -> Column:
         _count(line, r"[#*$%&<>{}~^\\=_]").alias("symbols"),
         _if_any(line, ("!!", "!?", "?!", "??", "……"), _count(line, r"[!?]{2,}|…{2,}")).alias("shouts"),
         _if_any(line, "|»›·•→/>", _count(line, MENU)).alias("signs"),
-        F.when(F.length(line) <= NOTICE_CHARS, F.lower(line)).alias("lower"),
+        # No notice is such a share of a longer line.
+        F.when(F.length(line) * NOTICE_PERCENT <= 100 * max(map(len, NOTICES)), F.lower(line)).alias("lower"),
     )
 
 
@@ -96,7 +97,8 @@ def _hanging(line: Column) -> Column:
 def _verdict(f: Column) -> Column:
     line, words, signs = f["line"], f["words"], f["signs"]
     menu = (signs >= MENU_SIGNS) & (signs * MENU_WORDS >= words - signs)
-    notice = f["lower"].isNotNull() & reduce(or_, (f["lower"].contains(n) for n in NOTICES))
+    share = F.length(line) * NOTICE_PERCENT
+    notice = f["lower"].isNotNull() & reduce(or_, (f["lower"].contains(n) & (share <= 100 * len(n)) for n in NOTICES))
     marks = (f["symbols"] * 100 > words * MARKS_PERCENT) | (f["shouts"] * 100 > words * MARKS_PERCENT)
     sentence = line.endswith(".") | line.endswith("!") | line.endswith("?") | line.rlike(SENTENCE) | line.rlike(OTHER_SENTENCE)
     hanging = F.when(sentence, F.lit(False)).otherwise(_hanging(line))
