@@ -70,3 +70,40 @@ def test_size_classes(spark):
     got = spark.createDataFrame([(s,) for s in sizes], "size long").select("size", sharding.size_class(F.col("size")).alias("c"))
     for r in got.collect():
         assert r.c <= r.size and (r.size < 65536 and r.c == r.size or (r.size - r.c) * 2**11 <= r.size)
+
+
+def test_large_groups_are_scheduled_by_their_exact_sizes(spark):
+    """Sizes that share a class, but are above a ten-thousandth of a share: as longest-first has them."""
+    pick = random.Random(4)
+    sizes = [1_000_000 + pick.randrange(400) for _ in range(60)] + [pick.randrange(1, 300) for _ in range(400)]
+    assert len({s for s in sizes if s > 10**6}) > 40
+    rows = spark.createDataFrame(list(enumerate(sizes)), "text_group long, size long")
+    load = Counter()
+    for r in sharding.sharded(spark, rows, "size", "text_group", 7).collect():
+        load[r.shard] += r.size
+    plain = [0] * 7
+    for s in sorted(sizes, reverse=True):
+        plain[plain.index(min(plain))] += s
+    assert sorted(load.values()) == sorted(plain)
+
+
+def test_query_equals_plain_schedule(spark):
+    """The loads of the registered query are those of a heap over all groups of equal texts."""
+    texts = Counter((r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    plain = [0] * 16
+    for size in sorted(((len(t.encode()) + 1) * n for t, n in texts.items()), reverse=True):
+        plain[plain.index(min(plain))] += size
+    load = Counter()
+    for r in queries.op4_sharding(spark, SF).collect():
+        load[r.shard] += r.size
+    assert sorted(load.values()) == sorted(plain)
+
+
+def test_rows_without_a_group_are_one_group(spark):
+    rows = spark.createDataFrame([(None, 5), (None, 7), ("a", 3), ("a", 3), ("b", 4)], "text_group string, size long")
+    found = sharding.sharded(spark, rows, "size", "text_group", 3).collect()
+    assert len(found) == 5
+    shards = defaultdict(set)
+    for r in found:
+        shards[r.text_group].add(r.shard)
+    assert all(len(x) == 1 for x in shards.values()) and len(set(map(tuple, shards.values()))) == 3

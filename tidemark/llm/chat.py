@@ -153,8 +153,11 @@ def _read_back(path: str):
 def read_back(turns: DataFrame, tokenizer: str) -> DataFrame:
     """Per conversation what its ids and mask say: n_turns and digests of turns and learnt text.
 
-    Rows are sorted within their partition and pass one by one, so a conversation of any
-    length needs no more memory than its longest turn.
+    ``turns`` is what :func:`formatted` returns; of other columns none is read. Turns count in
+    the order of their number (null first), then of their ids; rows with a null conversation
+    are one; repeated rows are turns of their own, and an empty table gives no row. Rows are
+    sorted within their partition and pass one by one, so a conversation of any length needs
+    no more memory than its longest turn.
     """
     dealt = turns.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "ids")
     return dealt.mapInArrow(

@@ -120,7 +120,7 @@ def packed(
     sequence's worth of places stays empty.
 
     Long documents are cut into pieces before they are dealt out, so a block's size does
-    not depend on any single document.
+    not depend on any single document, however long it is or however many rows have its id.
     """
     source = docs.select(named(id).cast("long").alias("doc_id"), text_of(text).alias("text"))
     size = source.agg(F.sum(F.octet_length("text").cast("long") + 1)).first()[0] or 0

@@ -19,10 +19,13 @@ from tidemark.llm.columns import hidden, text_of
 from tidemark.session import stage_in
 
 SHARDS = 16
-#: Sizes below 2**EXACT are kept apart; larger ones share a class if their first DIGITS bits
-#: agree, so there are at most 2**EXACT + 64 * 2**DIGITS classes and sizes in one differ by
-#: at most a 2**(1 - DIGITS)th.
-EXACT, DIGITS = 16, 12
+#: Sizes below 2**EXACT are kept apart, and so is every group above a LARGEth of a shard's
+#: even share: there are at most SHARDS * LARGE of these, whatever the input. Sizes between
+#: share a class if their first DIGITS bits agree, so there are at most 2**EXACT + 64 *
+#: 2**DIGITS classes more, and sizes in one differ by at most a 2**(1 - DIGITS)th: where the
+#: schedule takes one for another, a shard's size differs by no more than that part of a
+#: LARGEth of its share.
+EXACT, DIGITS, LARGE = 16, 12, 10_000
 #: Parts in which the rows of one class or shard are numbered, so none is held by one task.
 PARTS = 512
 
@@ -88,8 +91,8 @@ def numbered(df: DataFrame, by: str, key: Column, to: str, stage) -> DataFrame:
 def sharded(spark: SparkSession, rows: DataFrame, size: str, group: str, shards: int = SHARDS) -> DataFrame:
     """``rows`` with shard and slot: sizes of the shards near equal, equal ``group`` values together.
 
-    ``size`` is a positive long column, ``group`` a column without nulls; columns named
-    shard and slot are replaced. Rows of a shard are numbered from 0 without gaps; equal
+    ``size`` is a positive long column; rows whose ``group`` is null are one group; columns
+    named shard and slot are replaced. Rows of a shard are numbered from 0 without gaps; equal
     rows get numbers of their own. With an empty table nothing is assigned. A group
     larger than an even share makes its shard the largest, as it must stay together.
     """
@@ -97,11 +100,13 @@ def sharded(spark: SparkSession, rows: DataFrame, size: str, group: str, shards:
     at, g, n, c = (hidden(rows, x) for x in ("at", "group", "size", "class"))
     held = stage(
         rows.drop("shard", "slot").withColumns(
-            {at: F.monotonically_increasing_id(), g: F.col(group), n: F.col(size).cast("long")}
+            {at: F.monotonically_increasing_id(), g: F.struct(F.col(group)), n: F.col(size).cast("long")}
         )
     )
-    groups = held.groupBy(g).agg(F.sum(n).alias(n)).withColumn(c, size_class(F.col(n)))
-    groups = stage(groups)
+    groups = stage(held.groupBy(g).agg(F.sum(n).alias(n)))
+    total = groups.agg(F.sum(n)).first()[0] or 0
+    large = F.col(n) >= max(1, total // (shards * LARGE))
+    groups = groups.withColumn(c, F.when(large, F.col(n)).otherwise(size_class(F.col(n))))
     counts = [tuple(x) for x in groups.groupBy(c).agg(F.count("*"), F.sum(n)).toLocalIterator()]
     plan = [(size, ends) for size, dealt in schedule(counts, shards) for ends in [_ends(dealt)]]
     planned = spark.createDataFrame(plan, f"`{c}` long, ends array<long>")
