@@ -153,24 +153,24 @@ short AS (
   UNION ALL
   SELECT path, regexp_extract_all(lower(unnest(regexp_split_to_array(l, '{licenses.SENTENCE}'))), '{licenses.TERM}') FROM line
 ), units AS (
-  SELECT *, row_number() OVER () AS at FROM (
+  SELECT *, row_number() OVER () AS uid FROM (
     SELECT path, terms FROM short WHERE len(terms) BETWEEN 1 AND {window}
     UNION
     SELECT path, terms[k : k + {window} - 1] FROM (SELECT path, terms, unnest(range(1, greatest(len(terms) - {step}, 1) + 1, {step})) AS k FROM t)
     WHERE len(terms) > 0)
-), tf AS (SELECT at, term, count(*) AS tf FROM (SELECT at, unnest(terms) AS term FROM units) GROUP BY ALL),
-weighed AS (SELECT at, term, tf * coalesce(idf, (SELECT avg(idf) FROM idf)) AS weight FROM tf LEFT JOIN weight USING (term)),
-norm AS (SELECT at, sqrt(sum(weight * weight)) AS norm FROM weighed GROUP BY at),
+), tf AS (SELECT uid, term, count(*) AS tf FROM (SELECT uid, unnest(terms) AS term FROM units) GROUP BY ALL),
+weighed AS (SELECT uid, term, tf * coalesce(idf, (SELECT avg(idf) FROM idf)) AS weight FROM tf LEFT JOIN weight USING (term)),
+norm AS (SELECT uid, sqrt(sum(weight * weight)) AS norm FROM weighed GROUP BY uid),
 score AS (
-  SELECT at, template, licence, round(sum(weight * unit) / any_value(norm), 6) AS score
-  FROM weighed JOIN unit USING (term) JOIN norm USING (at) GROUP BY ALL
+  SELECT uid, template, licence, round(sum(weight * unit) / any_value(norm), 6) AS score
+  FROM weighed JOIN unit USING (term) JOIN norm USING (uid) GROUP BY ALL
 ), best AS (
-  SELECT at, score, licence FROM score WHERE score >= {licenses.LEAST}
-  QUALIFY row_number() OVER (PARTITION BY at ORDER BY score DESC, template) = 1
+  SELECT uid, score, licence FROM score WHERE score >= {licenses.LEAST}
+  QUALIFY row_number() OVER (PARTITION BY uid ORDER BY score DESC, template) = 1
 ), header AS (
   SELECT path, max(struct_pack(granted := licence <> {_regex(licenses.RESERVED)}, score := score, licence := licence)) AS h,
     max(len(terms)) AS noticed
-  FROM best JOIN units USING (at) GROUP BY path
+  FROM best JOIN units USING (uid) GROUP BY path
 ), stated AS (
   SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, max(h) AS h FROM header JOIN t USING (path)
   WHERE regexp_matches(path, {_regex(licenses.FILE_NAME)}) OR noticed * 100 >= len(terms) * {licenses.FILE_PERCENT}
