@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -73,13 +73,11 @@ def components(links: DataFrame, stage: Stage) -> DataFrame:
     """(node, comp) for every node of ``links`` (a, b): the smallest node it is connected with.
 
     Alternates two star contractions (each node's larger neighbours, then its
-    smaller ones, are tied to its smallest neighbour) until the set of links no
-    longer changes; every link then leads to the smallest node of its component.
+    smaller ones, are tied to its smallest neighbour) until only stars are left: no node
+    has two smaller neighbours, or smaller and larger ones; a star's centre is its smallest.
     """
     edges = stage(links.where("a != b").select(*pairs(F.col("a"), F.col("b"))).distinct())
-    before = None
-    while (now := _state(edges)) != before and now[0]:
-        before = now
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = both.join(low, "a").where("b > a").select(F.col("b").alias("n"), "low").where("n != low").distinct()
@@ -90,35 +88,37 @@ def components(links: DataFrame, stage: Stage) -> DataFrame:
             met.select(F.col("least").alias("a"), F.col("low").alias("b"))
         )
         edges = stage(small.where("a != b").distinct())
-    leaves = edges.groupBy("b").agg(F.min("a").alias("comp")).withColumnRenamed("b", "node")
-    roots = edges.select(F.col("a").alias("node")).distinct().withColumn("comp", F.col("node"))
-    return stage(leaves.unionByName(roots.join(leaves, "node", "left_anti")))
+    leaves = edges.select(F.col("b").alias("node"), F.col("a").alias("comp"))
+    return stage(leaves.unionByName(edges.select(F.col("a").alias("node"), F.col("a").alias("comp")).distinct()))
 
 
-def _state(edges: DataFrame) -> tuple:
-    row = edges.agg(
-        F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 30))), F.sum(F.pmod(F.xxhash64("b", "a"), F.lit(1 << 30)))
-    ).first()
-    return tuple(row)
+def _stars(edges: DataFrame) -> bool:
+    """Is each node the larger one of one edge, or the smaller one of any number?"""
+    ends = edges.select(F.col("b").alias("node"), F.lit(1).alias("under"), F.lit(0).alias("over")).unionByName(
+        edges.select(F.col("a").alias("node"), F.lit(0).alias("under"), F.lit(1).alias("over"))
+    )
+    others = ends.groupBy("node").agg(F.sum("under").alias("under"), F.max("over").alias("over"))
+    return others.where("under > 1 or (under > 0 and over > 0)").isEmpty()
 
 
 def rest_links(
     members: DataFrame, comps: DataFrame, items: DataFrame, percent: int, stage: Stage, sets: Sets | None = None
-) -> DataFrame:
+) -> DataFrame | None:
     """Links between members of one bucket that lie in different components so far.
 
     In each bucket whose members are not yet one component, the members outside its
     most frequent component are compared with all others. The comparison is the
     condition of a join, so only links leave it; a large bucket is cut by the join
     like any skewed key. With it, every pair that shares a bucket is either
-    connected already or compared.
+    connected already or compared. It suits members of which few are alike once the
+    first links have joined them; see :func:`dense_rest_links` for others.
     """
     known = members.select("bucket", "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     open_buckets = known.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"), F.count("*").alias("n"))
     open_buckets = open_buckets.where("x != y and n > 2").select("bucket")
     held = stage(known.join(open_buckets, "bucket"))
     if held.isEmpty():
-        return held.select(F.col("comp").alias("a"), F.col("comp").alias("b"))
+        return None
     counts = held.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
     main = counts.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most"))
     main = main.select("bucket", F.col("most.comp").alias("main"))
@@ -132,17 +132,105 @@ def rest_links(
     return found.select(*pairs(F.col("a"), F.col("b"))).distinct()
 
 
+#: Members of a bucket that are compared with all others before the rest is compared.
+FEW = 8
+
+
+def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """(bucket, node, comp) of buckets whose members, their centre aside, are not all of one component."""
+    held = members.where("node != centre").select("bucket", "node").join(comps, "node", "left")
+    held = held.withColumn("comp", F.coalesce("comp", "node"))
+    ends = held.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y"))
+    return held.join(ends.where("x != y").select("bucket"), "bucket")
+
+
+def _beside(rows: DataFrame, having: DataFrame, **names: str) -> DataFrame:
+    """Rows with the sets of their nodes, and columns renamed."""
+    return rows.join(having, "node").withColumnsRenamed(names)
+
+
+def _met(held: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """(bucket, node, comp, main, hit, few): for each member outside the largest component
+    of its bucket, whether it is like a member of that, and like which of a few others.
+
+    The comparison with the largest component stops at the first hit.
+    """
+    counts = held.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most"))
+    wide = held.join(largest.select("bucket", F.col("most.comp").alias("main")), "bucket")
+    rest = wide.where("comp != main")
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(masked(F.col("node"), F.col("bucket")), "node"))
+    centres = rest.select("bucket", "node", "comp").withColumn("place", place).where(F.col("place") <= FEW).drop("place")
+
+    left = _beside(rest, items, items="left")
+    alike = (F.col("bucket") == F.col("at")) & similar("left", "right", percent)
+    main = _beside(wide.where("comp = main").select("bucket", "node"), items, bucket="at", items="right").select("at", "right")
+    hit = left.join(main, alike, "left_semi").select("bucket", "node", F.lit(True).alias("hit"))
+    others = _beside(centres, items, bucket="at", node="centre", comp="other", items="right")
+    few = left.join(others, alike & (F.col("comp") != F.col("other"))).groupBy("bucket", "node")
+    few = few.agg(F.collect_list(F.struct("centre", "other")).alias("few"))  # at most FEW of them
+    met = rest.join(hit, ["bucket", "node"], "left").join(few, ["bucket", "node"], "left")
+    own = centres.select("bucket", "node", F.lit(True).alias("is_centre"))
+    return met.join(own, ["bucket", "node"], "left")
+
+
+def dense_rest_links(
+    members: DataFrame, comps: DataFrame, items: DataFrame, percent: int, stage: Stage, sets: Sets | None = None
+) -> DataFrame | None:
+    """Links (a, b) between components of which members share a bucket; None if none is to be compared.
+
+    All members were compared with their bucket's centre before. In a bucket whose members
+    are not of one component, those outside the largest one are compared with it and with a
+    few of their own; most of what is alike is then known to be connected, over one or two
+    links. What is not is compared with each other, and only links leave that join. So each
+    pair that shares a bucket is connected or compared, while of many alike members each
+    yields few rows; a bucket of many unlike ones costs their comparisons.
+    """
+    held = stage(_open(members, comps))
+    if held.isEmpty():
+        return None
+    items = items.join(held.select("node").distinct(), "node", "left_semi")
+    if sets:
+        items = items.select("node", sets(F.col("items")).alias("items"))
+    met = stage(_met(held, items, percent))
+
+    links = met.select("bucket", "node", F.explode("few").alias("few")).select("bucket", "node", "few.centre", "few.other")
+    lifted = met.where("is_centre and hit").select("bucket", F.col("node").alias("centre"), F.lit(True).alias("lifted"))
+    by_few = links.join(lifted, ["bucket", "centre"], "left").groupBy("bucket", "node")
+    by_few = by_few.agg(F.max("lifted").alias("lifted"), F.min("other").alias("other"))
+    known = met.where("is_centre is null").join(by_few, ["bucket", "node"], "left")
+    label = F.when(F.col("hit") | F.col("lifted"), F.col("main")).otherwise(F.coalesce("other", "comp"))
+    rest = known.select("bucket", "node", "comp", "main", label.alias("label"))
+    # Two members that are connected with the largest component need no comparison.
+    left = _beside(rest.where("label != main"), items, items="left")
+    right = _beside(rest, items, bucket="at", node="b", comp="other", label="its", main="its_main", items="right")
+    once = (F.col("its") == F.col("its_main")) | (F.col("node") < F.col("b"))
+    unlike = (F.col("bucket") == F.col("at")) & once & (F.col("label") != F.col("its")) & (F.col("comp") != F.col("other"))
+    last = left.join(right, unlike & similar("left", "right", percent)).select(*pairs(F.col("comp"), F.col("other")))
+    to_main = met.where("hit").select(*pairs(F.col("comp"), F.col("main")))
+    to_few = met.select("comp", F.explode("few.other").alias("other")).select(*pairs(F.col("comp"), F.col("other")))
+    return to_main.unionByName(to_few).unionByName(last).distinct()
+
+
 def linked_components(
-    members: DataFrame, candidates: DataFrame, items: DataFrame, percent: int, stage: Stage, sets: Sets | None = None
+    members: DataFrame,
+    candidates: DataFrame,
+    items: DataFrame,
+    percent: int,
+    stage: Stage,
+    sets: Sets | None = None,
+    rest_of: Callable[..., DataFrame | None] = rest_links,
 ) -> DataFrame:
     """(node, comp) over all links between nodes that share a bucket.
 
     First the centre of each bucket is compared with its members (``candidates``),
-    then what these links have not joined is compared within its buckets. ``sets``, if
-    given, makes the set of a node from its ``items``.
+    then what these links have not joined is compared within its buckets by ``rest_of``.
+    ``sets``, if given, makes the set of a node from its ``items``.
     """
     first = components(confirmed(candidates, items, percent, sets), stage)
-    rest = rest_links(members, first, items, percent, stage, sets)
+    rest = rest_of(members, first, items, percent, stage, sets)
+    if rest is None:
+        return first
     second = components(rest, stage).select(F.col("node").alias("comp"), F.col("comp").alias("root"))
     joined = first.join(second, "comp", "left").select("node", F.coalesce("root", "comp").alias("comp"))
     alone = second.select(F.col("comp").alias("node"), F.col("root").alias("comp")).join(first, "node", "left_anti")
