@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Stage = Callable[[DataFrame], DataFrame]
@@ -132,10 +132,6 @@ def rest_links(
     return found.select(*pairs(F.col("a"), F.col("b"))).distinct()
 
 
-#: Members of a bucket that are compared with all others before the rest is compared.
-FEW = 8
-
-
 def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
     """(bucket, node, comp) of buckets whose members, their centre aside, are not all of one component."""
     held = members.where("node != centre").select("bucket", "node").join(comps, "node", "left")
@@ -149,42 +145,18 @@ def _beside(rows: DataFrame, having: DataFrame, **names: str) -> DataFrame:
     return rows.join(having, "node").withColumnsRenamed(names)
 
 
-def _met(held: DataFrame, items: DataFrame, percent: int) -> DataFrame:
-    """(bucket, node, comp, main, hit, few): for each member outside the largest component
-    of its bucket, whether it is like a member of that, and like which of a few others.
-
-    The comparison with the largest component stops at the first hit.
-    """
-    counts = held.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
-    largest = counts.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most"))
-    wide = held.join(largest.select("bucket", F.col("most.comp").alias("main")), "bucket")
-    rest = wide.where("comp != main")
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy(masked(F.col("node"), F.col("bucket")), "node"))
-    centres = rest.select("bucket", "node", "comp").withColumn("place", place).where(F.col("place") <= FEW).drop("place")
-
-    left = _beside(rest, items, items="left")
-    alike = (F.col("bucket") == F.col("at")) & similar("left", "right", percent)
-    main = _beside(wide.where("comp = main").select("bucket", "node"), items, bucket="at", items="right").select("at", "right")
-    hit = left.join(main, alike, "left_semi").select("bucket", "node", F.lit(True).alias("hit"))
-    others = _beside(centres, items, bucket="at", node="centre", comp="other", items="right")
-    few = left.join(others, alike & (F.col("comp") != F.col("other"))).groupBy("bucket", "node")
-    few = few.agg(F.collect_list(F.struct("centre", "other")).alias("few"))  # at most FEW of them
-    met = rest.join(hit, ["bucket", "node"], "left").join(few, ["bucket", "node"], "left")
-    own = centres.select("bucket", "node", F.lit(True).alias("is_centre"))
-    return met.join(own, ["bucket", "node"], "left")
-
-
 def dense_rest_links(
     members: DataFrame, comps: DataFrame, items: DataFrame, percent: int, stage: Stage, sets: Sets | None = None
 ) -> DataFrame | None:
     """Links (a, b) between components of which members share a bucket; None if none is to be compared.
 
     All members were compared with their bucket's centre before. In a bucket whose members
-    are not of one component, those outside the largest one are compared with it and with a
-    few of their own; most of what is alike is then known to be connected, over one or two
-    links. What is not is compared with each other, and only links leave that join. So each
-    pair that shares a bucket is connected or compared, while of many alike members each
-    yields few rows; a bucket of many unlike ones costs their comparisons.
+    are not of one component, those outside the largest one are compared with that, up to the
+    first hit. Those without a hit are compared with those that had one, up to the first
+    hit, too, and with each other; only links leave that join. So each pair that shares a
+    bucket is connected or compared, while a member that is like many others of the largest
+    component, or of those connected with it, yields one row; a bucket of many unlike ones
+    costs their comparisons.
     """
     held = stage(_open(members, comps))
     if held.isEmpty():
@@ -192,24 +164,24 @@ def dense_rest_links(
     items = items.join(held.select("node").distinct(), "node", "left_semi")
     if sets:
         items = items.select("node", sets(F.col("items")).alias("items"))
-    met = stage(_met(held, items, percent))
-
-    links = met.select("bucket", "node", F.explode("few").alias("few")).select("bucket", "node", "few.centre", "few.other")
-    lifted = met.where("is_centre and hit").select("bucket", F.col("node").alias("centre"), F.lit(True).alias("lifted"))
-    by_few = links.join(lifted, ["bucket", "centre"], "left").groupBy("bucket", "node")
-    by_few = by_few.agg(F.max("lifted").alias("lifted"), F.min("other").alias("other"))
-    known = met.where("is_centre is null").join(by_few, ["bucket", "node"], "left")
-    label = F.when(F.col("hit") | F.col("lifted"), F.col("main")).otherwise(F.coalesce("other", "comp"))
-    rest = known.select("bucket", "node", "comp", "main", label.alias("label"))
-    # Two members that are connected with the largest component need no comparison.
-    left = _beside(rest.where("label != main"), items, items="left")
-    right = _beside(rest, items, bucket="at", node="b", comp="other", label="its", main="its_main", items="right")
-    once = (F.col("its") == F.col("its_main")) | (F.col("node") < F.col("b"))
-    unlike = (F.col("bucket") == F.col("at")) & once & (F.col("label") != F.col("its")) & (F.col("comp") != F.col("other"))
-    last = left.join(right, unlike & similar("left", "right", percent)).select(*pairs(F.col("comp"), F.col("other")))
-    to_main = met.where("hit").select(*pairs(F.col("comp"), F.col("main")))
-    to_few = met.select("comp", F.explode("few.other").alias("other")).select(*pairs(F.col("comp"), F.col("other")))
-    return to_main.unionByName(to_few).unionByName(last).distinct()
+    alike = (F.col("bucket") == F.col("at")) & similar("left", "right", percent)
+
+    counts = held.groupBy("bucket", "comp").agg(F.count("*").alias("n"))
+    largest = counts.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("most"))
+    wide = held.join(largest.select("bucket", F.col("most.comp").alias("main")), "bucket")
+    rest = _beside(wide.where("comp != main"), items, items="left")
+    main = _beside(wide.where("comp = main").select("bucket", "node"), items, bucket="at", items="right").select("at", "right")
+    hit = rest.join(main, alike, "left_semi").select("bucket", "node", F.lit(True).alias("hit"))
+    met = stage(wide.where("comp != main").join(hit, ["bucket", "node"], "left"))
+
+    alone = _beside(met.where("hit is null"), items, items="left")
+    ring = _beside(met.where("hit").select("bucket", "node"), items, bucket="at", items="right").select("at", "right")
+    second = alone.join(ring, alike, "left_semi").select(*pairs(F.col("comp"), F.col("main")))
+    others = _beside(met.where("hit is null").select("bucket", "node", "comp"), items, bucket="at", node="b", comp="other", items="right")
+    unlike = (F.col("node") < F.col("b")) & (F.col("comp") != F.col("other"))
+    last = alone.join(others, alike & unlike).select(*pairs(F.col("comp"), F.col("other")))
+    first = met.where("hit").select(*pairs(F.col("comp"), F.col("main")))
+    return first.unionByName(second).unionByName(last).distinct()
 
 
 def linked_components(
