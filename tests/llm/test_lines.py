@@ -152,3 +152,17 @@ def test_recall_of_the_bands(spark):
         buckets[r.node].add(r.bucket)
     found = sum(bool(buckets[node[a]] & buckets[node[b]]) for a, b in pairs)
     assert found / len(pairs) > 0.98, found / len(pairs)
+
+
+def test_links_by_unsigned_shingles(spark, documents_of):
+    """Lines that share all but their first shingle are linked, though the shingles behind
+    letters a to u, which alone made signatures, have none in common."""
+    pick = random.Random(3)
+    a = "".join(pick.choices("abcdefghijklmnopqrstu", k=300))
+    b = "x" + a[1:]
+    assert len(shingles(a) & shingles(b)) * 100 >= 75 * len(shingles(a) | shingles(b))
+    rows = [(1, a), (2, b), (3, "a line of its own here")]
+    got = {(r.doc_id, r.line_no): (r.first_doc_id, r.first_line_no) for r in lines.duplicate_lines(spark, documents_of(rows)).collect()}
+    assert got == {(1, 0): (1, 0), (2, 0): (1, 0), (3, 0): (3, 0)}
+    kept = {r.doc_id for r in lines.without_duplicate_lines(spark, documents_of(rows)).collect()}
+    assert kept == {1, 3}

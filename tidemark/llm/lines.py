@@ -77,10 +77,9 @@ def signatures(lines: DataFrame) -> DataFrame:
     """(node, bucket): the band keys of every distinct line.
 
     The minimum of the hashes under a mask picks a random shingle, as a permutation would.
-    Minima are formed before the shuffle, which carries no text. Only candidates are chosen
-    by the signed shingles: the similarity is that of all.
+    Minima are formed before the shuffle, which carries no text, over all of a line's shingles.
     """
-    hashed = lines.select("node", F.explode(signed(F.col("line"))).alias("shingle")).select("node", F.hash("shingle").alias("h"))
+    hashed = lines.select("node", F.explode(shingles(F.col("line"))).alias("shingle")).select("node", F.hash("shingle").alias("h"))
     least = hashed.groupBy("node").agg(
         *[F.min(F.col("h").bitwiseXOR(F.lit(m))).alias(f"m{i}") for i, m in enumerate(_masks())]
     )
