@@ -6,9 +6,8 @@ import sys
 from collections.abc import Iterator
 from datetime import datetime
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from tidemark.operators.history import CHANGED, STATE, entries
@@ -29,7 +28,7 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 
 
 def _plain(value):
-    """A missing text as None, however pandas has it."""
+    """A missing text as None."""
     return None if value is None or isinstance(value, float) else value
 
 
@@ -39,16 +38,14 @@ class LastVersions(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", _VERSION)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         newest = None
-        for batch in rows:
-            columns = [batch[c].tolist() for c in (_STAMP, *_COLUMNS)]
-            for version in zip(*columns, strict=True):
-                version = (int(version[0]), *map(_plain, version[1:]))
-                # Of equally new versions any will do, but the same for every attempt.
-                rank = (version[0], [(v is not None, v or "") for v in version[1:]])
-                if newest is None or rank > newest[0]:
-                    newest = (rank, version)
+        for row in rows:
+            version = (int(row[_STAMP]), *(_plain(row[c]) for c in _COLUMNS))
+            # Of equally new versions any will do, but the same for every attempt.
+            rank = (version[0], [(v is not None, v or "") for v in version[1:]])
+            if newest is None or rank > newest[0]:
+                newest = (rank, version)
         stamp, *now = newest[1]
         was = self.last.get() if self.last.exists() else None
         if was is None:
@@ -62,7 +59,7 @@ class LastVersions(StatefulProcessor):
             kind = " and ".join(text for text, c in reasons if value[c] != before[c])
         self.last.update((*now, stamp))
         if kind:
-            yield pd.DataFrame([[key[0], *now, kind]], columns=["id", *_COLUMNS, "Type"])
+            yield Row(**dict(zip(("id", *_COLUMNS, "Type"), (key[0], *now, kind), strict=True)))
 
     def close(self) -> None:
         pass
@@ -82,7 +79,8 @@ def stream_changes(
     at = F.unix_micros(F.col(CHANGED).cast("timestamp")) if CHANGED in states.columns else F.lit(None)
     stamp = F.coalesce(at.cast("bigint"), F.lit(_NEVER)).alias(_STAMP)
     keyed = states.filter(F.col("id").isNotNull()).select("id", *STATE, stamp)
-    changes = keyed.groupBy("id").transformWithStateInPandas(
+    # Rows rather than a pandas frame a key: most keys have one row, and the frames cost more than the work.
+    changes = keyed.groupBy("id").transformWithState(
         LastVersions(), outputStructType=_CHANGE, outputMode="Append", timeMode="None"
     )
 
