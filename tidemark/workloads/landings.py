@@ -14,7 +14,7 @@ from tidemark.plans.store import Store
 from tidemark.session import scratch
 from tidemark.sinks.commits import CommittedLog, Commits
 from tidemark.sinks.merged import MergedTable
-from tidemark.streaming.changes import STATE_STORE, stream_changes
+from tidemark.streaming.changes import stream_changes
 from tidemark.streaming.dedupe import dedupe_stream, late_rows
 from tidemark.streaming.upsert import stream_upsert
 from tidemark.workloads.changes import _CHANGE, revenue_records
@@ -320,8 +320,10 @@ def _files(parts: list[DataFrame], path: str) -> None:
         part.coalesce(1).write.mode("append").parquet(path)
 
 
-def _stream(spark: SparkSession, path: str, schema, files: int = 1) -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(path)
+def _stream(spark: SparkSession, path: str, schema, files: int | None = 1) -> DataFrame:
+    """``files`` a batch, or all that are there."""
+    reader = spark.readStream.schema(schema)
+    return (reader if files is None else reader.option("maxFilesPerTrigger", files)).parquet(path)
 
 
 @workload(
@@ -376,15 +378,14 @@ def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def stream_changes_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two files of states; the stream is stopped between them and goes on from its checkpoint."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    """Two landings of states, a batch each; the stream is stopped between them and goes on from its checkpoint."""
     root = scratch(spark, "changes")
     log = CommittedLog(spark, f"{root}/log", Commits(spark, f"{root}/commits"), "changes")
     for run, records in enumerate((first_records(spark, sf_dir), revenue_records(spark, sf_dir))):
         at: datetime = utc(f"2024-0{run + 5}-01T12:00:00")
         states = history_state(records).withColumn(CHANGED, F.lit(f"{at:%Y-%m-%d %H:%M:%S}Z").cast("timestamp"))
-        _files([states], f"{root}/landing")
-        stream = _stream(spark, f"{root}/landing", states.schema)
+        states.write.mode("append").parquet(f"{root}/landing")  # as many files as it takes
+        stream = _stream(spark, f"{root}/landing", states.schema, None)
         name = f"changes_{root.rsplit('-', 1)[-1]}"
         stream_changes(stream, log, at, name=name, checkpoint=f"{root}/check").awaitTermination()
     return log.read().drop("action_id", "action_timestamp")
