@@ -189,7 +189,7 @@ class TestChanges:
         self.land(spark, path, ("1", "5", "d", 1), ("2", "5", "d", 1))
         self.run(spark, path)
         self.land(spark, path, ("1", "6", "d", 2), ("2", "5", "d", 2), ("3", "5", "d", 2))
-        kind, method = {"log": (CommittedLog, "append"), "versions": (MergedTable, "upsert")}[dies]
+        kind, method = {"log": (CommittedLog, "append"), "versions": (MergedTable, "stage")}[dies]
 
         def fails(*args, **kwargs):
             raise OSError("lost")
@@ -203,6 +203,14 @@ class TestChanges:
         self.land(spark, path, ("2", "7", "d", 3), ("1", "9", "d", 1))
         assert rows(self.run(spark, path).select("revenue_id", "Type")) == sorted([*found, ("2", "Amount changed")])
 
+    def test_the_last_versions_are_tended_and_lie_there_once(self, spark, path):
+        for day in range(1, 5):
+            self.land(spark, path, *[(str(i), str(day), "d", day) for i in range(20)])
+        self.run(spark, path)
+        last = MergedTable(spark, f"{path}/check/versions", ["id"], name="versions")
+        assert rows(last.read().select("id", "amount")) == sorted(((str(i), "4") for i in range(20)), key=repr)
+        assert len([e for e in last.live() if e.kind == "delta"]) == 1
+
     def test_the_query_lands_states_in_many_tasks_and_two_batches(self, spark, path):
         orders = [(k, k % 7, "O", float(k), datetime(1997, 1, 1), p) for k in range(1, 41) for p in ("2-HIGH", "2-HIGH", "1-URGENT" if k % 2 else "5-LOW")]
         schema = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"

@@ -190,11 +190,14 @@ class MergedTable:
 
     # Writing
 
-    def stage(self, delta: DataFrame, order: Sequence[Column | str] = (), *, gone: bool = False) -> Entry | None:
+    def stage(
+        self, delta: DataFrame, order: Sequence[Column | str] = (), *, gone: bool = False, one_per_key: bool = False
+    ) -> Entry | None:
         """Write a delta that counts once the entry is committed; None if it has no keyed row.
 
-        ``order`` says which of several rows of a key is last. The first load, and one that
-        changes a column's type, write base files.
+        ``order`` says which of several rows of a key is last; a delta surely without them
+        (``one_per_key``) is not ranked. The first load, and one that changes a column's
+        type, write base files.
         """
         state = self._state()
         facts = dict(self._given if state is None else state.facts)
@@ -215,7 +218,7 @@ class MergedTable:
                 raise ValueError(f"{self.name}: the order has other types than before")
         facts["schema"] = schema.jsonValue()
         ties = F.xxhash64(*[quoted(c) for c in delta.columns])
-        rows = keep_last(delta, keys, [*([F.col(ORDER)] if facts["newest"] else by), ties])
+        rows = delta if one_per_key else keep_last(delta, keys, [*([F.col(ORDER)] if facts["newest"] else by), ties])
         rows = rows.select(
             *[(quoted(f.name) if f.name.lower() in {c.lower() for c in rows.columns} else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields],
             *([ORDER] if facts["newest"] else []),

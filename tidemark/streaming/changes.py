@@ -66,11 +66,12 @@ def stream_changes(
         run_id = f"{name}-{number}"
         if last.commits.made(run_id):
             return
+        last.tend()  # before it is read, as nobody else gains from that
         # Joined once, as both the log and the state are drawn from it.
         compared = materialize(compare_versions(batch, last.read()), f"{checkpoint}/compared")
         rows = compared.filter(F.col("Type") != "").select("id", F.struct(*STATE).alias("row"), "Type")
         log.append(entries(rows, run_id, run_ts), run_id)
-        last.upsert(compared.drop("Type"), txn=run_id)
+        last.commits.commit(run_id, [last.stage(compared.drop("Type"), one_per_key=True)])
 
     return (
         keyed.writeStream.foreachBatch(apply)
